@@ -45,11 +45,11 @@ def group_mean_median(t):
 
 @query("named_multi_agg", """
 SELECT event_type, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, round(sum(value), 2) AS total,
-       round(avg(value), 6) AS mean, max(value) AS hi, count(DISTINCT user_id) AS users
+       round(avg(value), 10) AS mean, max(value) AS hi, count(DISTINCT user_id) AS users
 FROM events GROUP BY 1, 2""")
 def named_multi_agg(t):
     return t.events.groupBy("event_type", F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total"), F.round(F.avg("value"), 6).alias("mean"),
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total"), F.round(F.avg("value"), 10).alias("mean"),
         F.max("value").alias("hi"), F.count_distinct("user_id").alias("users"))
 
 

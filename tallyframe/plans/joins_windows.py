@@ -136,7 +136,7 @@ def lag_features(t):
 
 ROLL = ", ".join(f"""
 CASE WHEN count(y) OVER w{n} >= 3 THEN round(avg(y) OVER w{n}, 4) END AS mean_{n},
-CASE WHEN count(y) OVER w{n} >= 3 THEN round(stddev(y) OVER w{n}, 4) END AS std_{n}""" for n in (7, 14, 30))
+CASE WHEN count(y) OVER w{n} >= 3 THEN round(stddev(y) OVER w{n}, 2) END AS std_{n}""" for n in (7, 14, 30))
 ROLLW = ", ".join(f"w{n} AS (PARTITION BY series ORDER BY day ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
                   for n in (7, 14, 30))
 
@@ -145,7 +145,8 @@ ROLLW = ", ".join(f"w{n} AS (PARTITION BY series ORDER BY day ROWS BETWEEN {n} P
 WITH {views.DAILY_BY_PRIORITY} SELECT strftime(day, '%Y-%m-%d') AS day, series, y, {ROLL} FROM dp WINDOW {ROLLW}""")
 def rolling_features(t):
     d = WD.rolling_features(views.daily_by_priority(t), "y", [7, 14, 30], ["series"])
-    return d.select(day_text(), "series", "y", *[F.round(c, 4).alias(c) for c in d.columns if c.startswith(("mean_", "std_"))])
+    return d.select(day_text(), "series", "y", *[F.round(c, 4 if c.startswith("mean_") else 2).alias(c)
+                                              for c in d.columns if c.startswith(("mean_", "std_"))])
 
 
 @query("momentum_ratio", f"""
