@@ -38,9 +38,9 @@ def correlation_matrix(pairs: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def spearman_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson on tie-averaged ranks. Ranks are found on distinct values and joined back."""
-    d = df.select(*cols).na.drop()
+    base = d = df.select(*cols).na.drop()
     for c in cols:
-        d = d.join(value_ranks(d, c).select(c, F.col("avg_rank").alias(f"__r_{c}")), c)
+        d = d.join(value_ranks(base, c).select(c, F.col("avg_rank").alias(f"__r_{c}")), c)
     return pearson_pairs(d.select(*[F.col(f"__r_{c}").alias(c) for c in cols]), cols)
 
 
