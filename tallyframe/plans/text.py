@@ -27,7 +27,9 @@ def bag_of_words(t):
 
 
 TFIDF = TOK + """,
-gr AS (SELECT doc_id, unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]))) AS term FROM tk),
+wp AS (SELECT doc_id, unnest(ws) AS w, unnest(range(len(ws))) AS p FROM tk),
+wn AS (SELECT doc_id, w, lead(w) OVER (PARTITION BY doc_id ORDER BY p) AS nx FROM wp),
+gr AS (SELECT doc_id, w AS term FROM wn UNION ALL SELECT doc_id, w || ' ' || nx FROM wn WHERE nx IS NOT NULL),
 tf AS (SELECT doc_id, term, count(*) AS tf FROM gr GROUP BY 1, 2),
 vo AS (SELECT term, sum(tf) AS total, count(*) AS df FROM tf GROUP BY 1 ORDER BY total DESC, term LIMIT 100),
 ww AS (SELECT doc_id, term, tf * (ln((1 + (SELECT count(*) FROM documents)) / (1 + df)) + 1) AS w FROM tf JOIN vo USING (term)),
