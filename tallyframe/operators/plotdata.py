@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -75,25 +77,38 @@ def group_mean_ci(df: DataFrame, col: str, by: str) -> DataFrame:
     return g.select(by, "n", "mean", (F.col("mean") - half).alias("low"), (F.col("mean") + half).alias("high"))
 
 
-def group_mean_bootstrap(df: DataFrame, col: str, by: str, key: str, rounds: int = 100) -> DataFrame:
-    """95 % percentile interval of the mean by a Poisson bootstrap: each row draws a hashed weight per round,
-    so one pass replaces the resampling and reruns give the same interval."""
-    u = lambda b: F.pmod(F.xxhash64(F.col(key), F.lit(b)), F.lit(1 << 30)) / float(1 << 30)
+def poisson_weights(keys: np.ndarray, rounds: int) -> np.ndarray:
+    """Poisson(1) weights, one row per key and one column per round, from mixed 64-bit hashes."""
     # fixed values: cumulative Poisson(1) probabilities
     cum = [0.36787944, 0.73575888, 0.91969860, 0.98101184, 0.99634015, 0.99940582]
+    with np.errstate(over="ignore"):
+        x = keys.astype(np.uint64)[:, None] + np.arange(1, rounds + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    u = ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(float) / float(1 << 53)
+    return np.searchsorted(cum, u, side="right").astype(float)
+
 
-    def weight(b):
-        w = F.when(u(b) < cum[0], 0)
-        for k, c in enumerate(cum[1:], 1):
-            w = w.when(u(b) < c, k)
-        return w.otherwise(len(cum))
-
-    d = df.select(by, col, *[weight(b).alias(f"w{b}") for b in range(rounds)])
-    s = d.groupBy(by).agg(F.avg(col).alias("mean"), *[
-        F.try_divide(F.sum(F.col(f"w{b}") * F.col(col)), F.sum(f"w{b}")).alias(f"m{b}") for b in range(rounds)])
-    arr = F.array_sort(F.array(*[F.col(f"m{b}") for b in range(rounds)]))
-    return s.select(by, "mean", F.element_at(arr, max(1, round(rounds * 0.025))).alias("low"),
-                    F.element_at(arr, max(1, round(rounds * 0.975))).alias("high"))
+def group_mean_bootstrap(df: DataFrame, col: str, by: str, key: str, rounds: int = 100) -> DataFrame:
+    """95 % percentile interval of the mean by a Poisson bootstrap: each row draws a hashed weight per round,
+    so one pass replaces the resampling and reruns give the same interval. Batches leave as weighted sums."""
+    d = df.where(F.col(col).isNotNull()).select(
+        F.col(by).cast("string").alias("g"), F.xxhash64(key).alias("k"), F.col(col).cast("double").alias("x"))
+
+    def sums(batches):
+        for pdf in batches:
+            w = poisson_weights(pdf["k"].to_numpy(), rounds)
+            x = pdf["x"].to_numpy()
+            for g, at in pdf.groupby("g", dropna=False).indices.items():
+                yield pd.DataFrame({"g": g, "b": np.arange(rounds), "n": float(len(at)), "s": float(x[at].sum()),
+                                    "sw": w[at].sum(axis=0), "sx": w[at].T @ x[at]})
+
+    part = d.mapInPandas(sums, "g string, b int, n double, s double, sw double, sx double")
+    m = part.groupBy("g", "b").agg(*[F.sum(c).alias(c) for c in ("n", "s", "sw", "sx")])
+    arr = F.array_sort(F.collect_list(F.try_divide("sx", "sw")))
+    out = m.groupBy(F.col("g").alias(by)).agg(F.try_divide(F.max("s"), F.max("n")).alias("mean"), arr.alias("ms"))
+    return out.select(by, "mean", F.element_at("ms", max(1, round(rounds * 0.025))).alias("low"),
+                      F.element_at("ms", max(1, round(rounds * 0.975))).alias("high"))
 
 
 def pair_correlations(df: DataFrame, cols: Sequence[str], by: str) -> DataFrame:
