@@ -109,9 +109,15 @@ def cleaning_counts(before: DataFrame, after: DataFrame) -> DataFrame:
     return one(before, "before").unionByName(one(after, "after"))
 
 
+def cap_iqr(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
+    """IQR capping of several columns whose bounds all come from one quantile pass."""
+    q = one_row(quantiles_wide(df, cols, {"q1": 0.25, "q3": 0.75}))
+    d = df.withColumn("__p", q)
+    span = lambda c: F.col(f"__p.{c}_q3") - F.col(f"__p.{c}_q1")
+    cap = lambda c: F.greatest(F.least(F.col(c), F.col(f"__p.{c}_q3") + k * span(c)), F.col(f"__p.{c}_q1") - k * span(c))
+    return d.withColumns({c: F.when(F.col(c).isNotNull(), cap(c)) for c in cols}).drop("__p")
+
+
 def clean(df: DataFrame, numeric: Sequence[str], text: Sequence[str], cap: Sequence[str]) -> DataFrame:
     """The whole flow in its fixed order: impute, cap, de-duplicate."""
-    d = impute_mode(impute_median(df, numeric), text)
-    for c in cap:
-        d = cap_outliers(d, c)
-    return d.dropDuplicates()
+    return cap_iqr(impute_mode(impute_median(df, numeric), text), cap).dropDuplicates()

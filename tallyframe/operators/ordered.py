@@ -12,6 +12,7 @@ column, so neither a hot group nor a hot value ends in one task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -111,8 +112,10 @@ def row_index(df: DataFrame, order: str, tie: str, by: Sequence[str] = (), ascen
     return prefix_sums(df, {name: F.lit(1).cast("long")}, order, tie, by, ascending, **kw)
 
 
-def hash_rank(df: DataFrame, key: str, by: Sequence[str] = (), name: str = "rn", digits: int = 3) -> DataFrame:
-    """1-based rank by ``md5(key)``: a reproducible shuffle. Buckets are hash prefixes, so even."""
+def hash_rank(df: DataFrame, key: str, by: Sequence[str] = (), name: str = "rn", digits: int | None = None) -> DataFrame:
+    """1-based rank by ``md5(key)``: a reproducible shuffle. Buckets are hash prefixes, so even;
+    the prefix is long enough for at least four buckets per shuffle partition."""
+    digits = digits or math.ceil(math.log(4 * bucket_count(df), 16))
     d = df.withColumn("__h", F.md5(F.col(key).cast("string")))
     return row_index(d, "__h", key, by, name=name, bucket=F.substring("__h", 1, digits)).drop("__h")
 
