@@ -1,5 +1,5 @@
-"""Feature building. Parameters are fitted as a one-row aggregate and applied as
-expressions: a scalar subquery carries them, so fit and transform stay one lazy plan."""
+"""Feature building. Parameters are fitted as a one-row aggregate (one job) and applied as
+expressions with constants, so a transform is a projection of the scan."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.operators.ordered import null_safe_join, one_row, quantiles_wide
+from tallyframe.operators.ordered import lookup_join, null_safe_join, one_row, quantiles_wide
 
 
 def column_pairs(cols: Sequence[str]) -> list[tuple[str, str]]:
@@ -113,7 +113,7 @@ def target_encode(train: DataFrame, apply_to: DataFrame, cat: str, y: str, k: fl
     # the global mean is read from the already grouped counts
     g = st.agg(F.try_divide(F.sum("s"), F.sum("n"))).scalar()
     enc = st.withColumn("__g", g).select(cat, ((F.col("s") + k * F.col("__g")) / (F.col("n") + k)).alias("__e"))
-    d = null_safe_join(apply_to, enc, [cat], "left").withColumn("__g", g)
+    d = lookup_join(apply_to, enc, [cat], "left").withColumn("__g", g)
     return d.withColumn(name, F.coalesce("__e", "__g")).drop("__e", "__g")
 
 
@@ -124,7 +124,7 @@ def target_encode_loo(df: DataFrame, cat: str, y: str, name: str = "encoded") ->
     """
     st = df.groupBy(cat).agg(F.count(y).alias("__n"), F.sum(y).alias("__s"))
     g = st.agg(F.try_divide(F.sum("__s"), F.sum("__n"))).scalar()
-    d = null_safe_join(df, st, [cat], "left").withColumn("__g", g)
+    d = lookup_join(df, st, [cat], "left").withColumn("__g", g)
     return d.withColumn(
         name, F.coalesce(F.try_divide(F.col("__s") - F.col(y), F.col("__n") - 1), F.col("__g"))
     ).drop("__n", "__s", "__g")

@@ -17,6 +17,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyframe.operators.ordered import lookup_join
 from tallyframe.operators.evaluation import auc, regression_metrics, risk_level, roc_points
 from tallyframe.operators.splits import stratified_folds
 
@@ -52,7 +53,7 @@ def balanced_weights(df: DataFrame, label: str, name: str = "weight") -> DataFra
     """n / (k · n_class), from class counts joined back (no window over a hot class)."""
     c = df.groupBy(label).agg(F.count(F.lit(1)).alias("__c"))
     tot = c.agg(F.struct(F.sum("__c").alias("n"), F.count(F.lit(1)).alias("k"))).scalar()
-    return df.join(c, label).withColumn("__t", tot).withColumn(
+    return lookup_join(df, c, [label]).withColumn("__t", tot).withColumn(
         name, F.col("__t.n") / (F.col("__t.k") * F.col("__c"))).drop("__c", "__t")
 
 
@@ -230,13 +231,13 @@ def model_search(df: DataFrame, cols: Sequence[str], label: str, trials: int = 1
 
 def learning_curve(df: DataFrame, make: Callable[[], Estimator], label: str, key: str, sizes: Sequence[float], folds: int = 5) -> DataFrame:
     """Accuracy on the used training rows and on the held-out fold for growing training shares."""
-    from tallyframe.operators.ordered import hash_rank, null_safe_join
+    from tallyframe.operators.ordered import hash_rank
 
     d = stratified_folds(df, key, label, folds)
     # rank within fold and class by a second hash, so each share keeps the class shares
     d = hash_rank(d.withColumn("__k2", F.concat_ws("#", F.col(key).cast("string"), F.lit("lc"))), "__k2", ["fold", label], "__rn")
     n = d.groupBy("fold", label).agg(F.count(F.lit(1)).alias("__n"))
-    d = null_safe_join(d, n, ["fold", label]).withColumn("__q", F.col("__rn") / F.col("__n")).drop("__rn", "__n", "__k2").persist()
+    d = lookup_join(d, n, ["fold", label]).withColumn("__q", F.col("__rn") / F.col("__n")).drop("__rn", "__n", "__k2").persist()
 
     def run(job):
         share, k = job

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyframe.session import shuffle_parallelism
+from tallyframe.session import checkpointed, shuffle_parallelism
 
 
 def bucket_count(df: DataFrame, buckets: int | None = None) -> int:
@@ -73,6 +73,22 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(r, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
+def lookup_join(rows: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join raw rows to a table of group statistics without shuffling the rows when that table is small.
+
+    The planner cannot see how small an aggregate will be and would shuffle both
+    sides, the rows by a key that may be hot. So the statistics are written
+    first: their true size is then known, and Spark broadcasts them below its
+    threshold or falls back to a shuffle join (with skew handling) above it.
+    """
+    return null_safe_join(rows, checkpointed(stats), keys, how)
+
+
+def _group_key(by: Sequence[str]) -> list[Column]:
+    """One never-null key for a group, so that plain equality joins keep the partitioning of the windows."""
+    return [F.struct(*by).alias("__g")] if by else []
+
+
 def prefix_sums(
     df: DataFrame,
     sums: dict[str, Column],
@@ -87,22 +103,26 @@ def prefix_sums(
     """Running sums in ``(order, tie)`` order per ``by`` group, over any number of rows.
 
     ``(order, tie)`` must be unique inside a group. ``bucket`` replaces the
-    quantile buckets when a monotone expression is already at hand.
+    quantile buckets when a monotone expression is already at hand. The rows are
+    shuffled once, by group and bucket; the window and the join with the carries
+    share that partitioning.
     """
     d = df.withColumns({f"__v_{k}": c for k, c in sums.items()})
     d = d.withColumn("__b", bucket) if bucket is not None else bucketize(d, order, tie, buckets)
+    d = d.select("*", *_group_key(by))
+    g = ["__g"] if by else []
     direction = (lambda c: F.col(c).asc()) if ascending else (lambda c: F.col(c).desc())
-    totals = d.groupBy(*by, "__b").agg(*[F.sum(f"__v_{k}").alias(f"__o_{k}") for k in sums])
-    before = W.partitionBy(*by).orderBy(direction("__b")).rowsBetween(W.unboundedPreceding, -1)
+    totals = d.groupBy(*g, "__b").agg(*[F.sum(f"__v_{k}").alias(f"__o_{k}") for k in sums])
+    before = W.partitionBy(*g).orderBy(direction("__b")).rowsBetween(W.unboundedPreceding, -1)
     offsets = totals.select(
-        *by, "__b", *[F.coalesce(F.sum(f"__o_{k}").over(before), F.lit(0)).alias(f"__o_{k}") for k in sums]
+        *g, "__b", *[F.coalesce(F.sum(f"__o_{k}").over(before), F.lit(0)).alias(f"__o_{k}") for k in sums]
     )
     sort = [direction(order)] + ([direction(tie)] if tie else [])
-    local = W.partitionBy(*by, "__b").orderBy(*sort).rowsBetween(W.unboundedPreceding, 0 if inclusive else -1)
+    local = W.partitionBy(*g, "__b").orderBy(*sort).rowsBetween(W.unboundedPreceding, 0 if inclusive else -1)
     d = d.withColumns({f"__l_{k}": F.coalesce(F.sum(f"__v_{k}").over(local), F.lit(0)) for k in sums})
-    d = null_safe_join(d, offsets, [*by, "__b"])
+    d = d.join(offsets, [*g, "__b"])
     return d.withColumns({k: F.col(f"__l_{k}") + F.col(f"__o_{k}") for k in sums}).drop(
-        "__b", *[f"__{p}_{k}" for k in sums for p in "vlo"]
+        "__b", "__g", *[f"__{p}_{k}" for k in sums for p in "vlo"]
     )
 
 
@@ -123,20 +143,16 @@ def hash_rank(df: DataFrame, key: str, by: Sequence[str] = (), name: str = "rn",
 def forward_fill(df: DataFrame, col: str, order: str, tie: str, by: Sequence[str] = (), name: str | None = None,
                  buckets: int | None = None) -> DataFrame:
     """Last non-null value so far in ``(order, tie)`` order."""
-    d = bucketize(df, order, tie, buckets)
-    last = d.where(F.col(col).isNotNull()).groupBy(*by, "__b").agg(
-        F.max_by(F.col(col), F.struct(order, tie)).alias("__last")
-    )
-    # one row per bucket and group, also where the bucket holds nulls only
-    last = d.groupBy(*by, "__b").agg(F.count(F.lit(1)).alias("__n")).transform(
-        lambda g: null_safe_join(g, last, [*by, "__b"], "left")
-    )
-    before = W.partitionBy(*by).orderBy("__b").rowsBetween(W.unboundedPreceding, -1)
-    carry = last.select(*by, "__b", F.last("__last", ignorenulls=True).over(before).alias("__carry"))
-    local = W.partitionBy(*by, "__b").orderBy(order, tie).rowsBetween(W.unboundedPreceding, 0)
-    d = d.withColumn("__f", F.last(col, ignorenulls=True).over(local))
-    d = null_safe_join(d, carry, [*by, "__b"])
-    return d.withColumn(name or col, F.coalesce("__f", "__carry")).drop("__b", "__f", "__carry")
+    d = bucketize(df, order, tie, buckets).select("*", *_group_key(by))
+    g = ["__g"] if by else []
+    # null values lose to any other under max_by with a null key, and a bucket of nulls keeps its row
+    key = F.when(F.col(col).isNotNull(), F.struct(order, tie))
+    last = d.groupBy(*g, "__b").agg(F.max_by(F.col(col), key).alias("__last"))
+    before = W.partitionBy(*g).orderBy("__b").rowsBetween(W.unboundedPreceding, -1)
+    carry = last.select(*g, "__b", F.last("__last", ignorenulls=True).over(before).alias("__carry"))
+    local = W.partitionBy(*g, "__b").orderBy(order, tie).rowsBetween(W.unboundedPreceding, 0)
+    d = d.withColumn("__f", F.last(col, ignorenulls=True).over(local)).join(carry, [*g, "__b"])
+    return d.withColumn(name or col, F.coalesce("__f", "__carry")).drop("__b", "__g", "__f", "__carry")
 
 
 def bounded_window(
@@ -184,55 +200,50 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     Spark's exact ``percentile`` keeps every distinct value of a group in one
     buffer. Here a sketch first brackets each wanted rank; then one counting
     pass keeps single values only inside the brackets (about 4/accuracy of the
-    rows) and reduces everything outside to a count before the shuffle.
+    rows each) and reduces what lies between two brackets to its count,
+    smallest and largest value before the shuffle.
     A bracket that misses its rank raises instead of returning a wrong value.
     """
     pad = 2.0 / accuracy
+    probs = sorted(set(map(float, probs)))
     sketch_probs = [q for p in probs for q in (max(0.0, p - pad), min(1.0, p + pad))]
-    long = df.select(
-        *by,
-        F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])),
-    ).where(F.col("v").isNotNull())
     keys = [*by, "column"]
-    sketch = long.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.percentile_approx("v", sketch_probs, accuracy).alias("q")
-    )
-    sketch = sketch.select(
-        *keys, "n",
-        F.array(*[
-            F.struct(F.lit(float(p)).alias("p"), F.element_at("q", 2 * i + 1).alias("lo"),
-                     F.element_at("q", 2 * i + 2).alias("hi"))
-            for i, p in enumerate(probs)
-        ]).alias("targets"),
-    )
-    hit = null_safe_join(long, sketch, keys).select(*keys, "n", "v", F.inline("targets"))
-    zone = F.when(F.col("v") < F.col("lo"), -1).when(F.col("v") > F.col("hi"), 1).otherwise(0)
-    counts = (
-        hit.withColumn("zone", zone)
-        .withColumn("inner", F.when(F.col("zone") == 0, F.col("v")))
-        .groupBy(*keys, "n", "p", "zone", "inner")
+    base = df.select(*by, *[F.col(c).cast("double").alias(f"__v{i}") for i, c in enumerate(cols)])
+    wide = base.groupBy(*by).agg(*[e for i in range(len(cols)) for e in (
+        F.count(f"__v{i}").alias(f"__n{i}"), F.percentile_approx(f"__v{i}", sketch_probs, accuracy).alias(f"__q{i}"))])
+    if by:
+        d = lookup_join(base, wide, by)
+    else:
+        d = base.withColumn("__p", one_row(wide))
+        d = d.withColumns({f"__{k}{i}": F.col(f"__p.__{k}{i}") for i in range(len(cols)) for k in "nq"})
+    d = d.select(*by, F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(f"__v{i}").alias("v"), F.col(f"__n{i}").alias("n"), F.col(f"__q{i}").alias("q"))
+        for i, c in enumerate(cols)]))).where(F.col("v").isNotNull())
+    v = F.col("v")
+    lo, hi = [F.col("q")[2 * i] for i in range(len(probs))], [F.col("q")[2 * i + 1] for i in range(len(probs))]
+    inside = reduce(lambda x, y: x | y, [(v >= a) & (v <= b) for a, b in zip(lo, hi)])
+    gap = sum(((v > b).cast("int") for b in hi), F.lit(0))
+    runs = (
+        d.select(*keys, "n", "v", F.when(inside, v).alias("single"), F.when(~inside, gap).alias("gap"))
+        .groupBy(*keys, "n", "gap", "single")
         .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("mn"), F.max("v").alias("mx"))
     )
-    # below the bracket only its largest value can be wanted, above it only its smallest
-    counts = counts.withColumn("v", F.when(F.col("zone") < 0, F.col("mx")).otherwise(F.col("mn")))
-    w = W.partitionBy(*keys, "p").orderBy("zone", "v")
-    cum = counts.withColumn("cum", F.sum("c").over(w.rowsBetween(W.unboundedPreceding, 0)))
-    pos = (F.col("n") - 1) * F.col("p")
-    r1, r2 = F.floor(pos) + 1, F.ceil(pos) + 1
-    picked = cum.groupBy(*keys, "n", "p").agg(
-        F.min(F.when(F.col("cum") >= r1, F.struct("zone", "v"))).alias("a"),
-        F.min(F.when(F.col("cum") >= r2, F.struct("zone", "v"))).alias("b"),
-        F.coalesce(F.sum(F.when(F.col("zone") < 0, F.col("c"))), F.lit(0)).alias("below"),
-        F.sum(F.when(F.col("zone") <= 0, F.col("c")).otherwise(0)).alias("through"),
-    )
-    ok = (r1 >= F.col("below")) & (r2 <= F.col("through") + 1)
-    value = F.col("a.v") + (F.col("b.v") - F.col("a.v")) * (pos - F.floor(pos))
-    return picked.select(
-        *keys, "p",
-        F.when(ok, value).otherwise(F.raise_error(F.lit("quantile bracket missed; raise accuracy")).cast("double"))
-        .alias("value"),
-        "n",
-    )
+    # the runs are disjoint value ranges, so their order is the order of their smallest values
+    w = W.partitionBy(*keys).orderBy("mn").rowsBetween(W.unboundedPreceding, 0)
+    runs = runs.withColumn("cum", F.sum("c").over(w))
+
+    def at(rank):
+        """First run that reaches the rank; outside the brackets only its two ends are known."""
+        r = F.min(F.when(F.col("cum") >= rank, F.struct("cum", "c", "mn", "mx")))
+        known = F.when(r["mn"] == r["mx"], r["mn"]).when(rank == r["cum"], r["mx"]).when(rank == r["cum"] - r["c"] + 1, r["mn"])
+        return known.otherwise(F.raise_error(F.lit("quantile bracket missed; raise accuracy")).cast("double"))
+
+    picked = runs.groupBy(*keys, "n").agg(*[e for i, p in enumerate(probs) for e in (
+        at(F.floor((F.col("n") - 1) * p) + 1).alias(f"a{i}"), at(F.ceil((F.col("n") - 1) * p) + 1).alias(f"b{i}"))])
+    part = lambda p: (F.col("n") - 1) * p - F.floor((F.col("n") - 1) * p)
+    return picked.select(*keys, "n", F.inline(F.array(*[
+        F.struct(F.lit(p).alias("p"), (F.col(f"a{i}") + (F.col(f"b{i}") - F.col(f"a{i}")) * part(p)).alias("value"))
+        for i, p in enumerate(probs)]))).select(*keys, "p", "value", "n")
 
 
 def quantiles_wide(df: DataFrame, cols: Sequence[str], probs: dict[str, float], by: Sequence[str] = (),
@@ -246,8 +257,14 @@ def quantiles_wide(df: DataFrame, cols: Sequence[str], probs: dict[str, float],
 
 
 def one_row(params: DataFrame) -> Column:
-    """A one-row parameter frame as a struct-valued scalar subquery (no join, no collect)."""
-    return params.select(F.struct(*params.columns).alias("s")).scalar()
+    """Fitted parameters: a one-row aggregate is read to the driver and becomes a constant struct.
+
+    The fit is one job over the input; applying it needs no join, and a chain of
+    fits does not run the earlier ones again.
+    """
+    row = params.first()
+    value = lambda f: F.lit(row[f.name] if row is not None else None).cast(f.dataType)
+    return F.struct(*[value(f).alias(f.name) for f in params.schema.fields])
 
 
 def value_ranks(df: DataFrame, col: str, by: Sequence[str] = (), buckets: int | None = None) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyframe.operators.features import column_pairs
-from tallyframe.operators.ordered import null_safe_join, one_row, quantiles_wide
+from tallyframe.operators.ordered import lookup_join, null_safe_join, one_row, quantiles_wide
 from tallyframe.operators.relational import unpivot
 
 
@@ -45,7 +45,7 @@ def box_stats(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:
         {f"{col}_{k}": k for k in ("q1", "q2", "q3")})
     iqr = F.col("q3") - F.col("q1")
     inside = (F.col(col) >= F.col("q1") - 1.5 * iqr) & (F.col(col) <= F.col("q3") + 1.5 * iqr)
-    d = null_safe_join(df.select(*by, col).where(F.col(col).isNotNull()), q, by)
+    d = lookup_join(df.select(*by, col).where(F.col(col).isNotNull()), q, by)
     s = d.groupBy(*by, "q1", "q2", "q3").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.when(inside, F.col(col))).alias("whisker_low"),
         F.max(F.when(inside, F.col(col))).alias("whisker_high"), F.count_if(~inside).alias("n_outliers"))
@@ -58,7 +58,7 @@ def kde(df: DataFrame, col: str, by: str, grid: Sequence[float]) -> DataFrame:
     st = df.groupBy(by).agg(F.count(col).alias("__n"), F.stddev_samp(col).alias("__s"))
     st = st.withColumn("__h", F.col("__s") * F.pow(F.col("__n"), F.lit(-0.2))).drop("__s")
     vc = df.where(F.col(col).isNotNull()).groupBy(by, col).agg(F.count(F.lit(1)).alias("__c"))
-    d = null_safe_join(vc, st, [by])
+    d = lookup_join(vc, st, [by])
     z = lambda g: (F.lit(float(g)) - F.col(col)) / F.col("__h")
     s = d.groupBy(by, "__n", "__h").agg(*[
         F.sum(F.col("__c") * F.exp(-0.5 * z(g) * z(g))).alias(f"g{i}") for i, g in enumerate(grid)])

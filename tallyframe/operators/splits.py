@@ -7,13 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.operators.ordered import hash_rank, null_safe_join
+from tallyframe.operators.ordered import hash_rank, lookup_join
 
 
 def _sized(df: DataFrame, key: str, by: Sequence[str]) -> DataFrame:
     ranked = hash_rank(df, key, by, "__rn")
     n = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
-    return null_safe_join(ranked, n, by) if by else ranked.withColumn("__n", n.scalar())
+    return lookup_join(ranked, n, by) if by else ranked.withColumn("__n", n.scalar())
 
 
 def random_split(df: DataFrame, key: str, test_size: float = 0.2) -> DataFrame:

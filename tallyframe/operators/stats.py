@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions import distributions as D
 from tallyframe.operators.features import column_pairs
-from tallyframe.operators.ordered import null_safe_join, one_row, prefix_sums, row_index, value_ranks
+from tallyframe.operators.ordered import lookup_join, null_safe_join, one_row, prefix_sums, row_index, value_ranks
 from tallyframe.operators.relational import unpivot
 
 
@@ -40,8 +40,8 @@ def spearman_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson on tie-averaged ranks. Ranks are found on distinct values and joined back."""
     base = d = df.select(*cols).na.drop()
     for c in cols:
-        d = d.join(value_ranks(base, c).select(c, F.col("avg_rank").alias(f"__r_{c}")), c)
-    return pearson_pairs(d.select(*[F.col(f"__r_{c}").alias(c) for c in cols]), cols)
+        d = lookup_join(d, value_ranks(base, c).select(c, F.col("avg_rank").alias(f"rank_{c}")), [c])
+    return pearson_pairs(d.select(*[F.col(f"rank_{c}").alias(c) for c in cols]), cols)
 
 
 def stars(p: Column) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyframe.operators.ordered import bounded_window, null_safe_join, prefix_sums
+from tallyframe.operators.ordered import bounded_window, lookup_join, prefix_sums
 
 
 def series_window(by: Sequence[str], order: str = "day"):
@@ -73,7 +73,7 @@ def competition_rank(df: DataFrame, col: str, name: str = "rank", ascending: boo
     """RANK() over the whole frame: equal values are counted once, ranked, and joined back."""
     vc = df.groupBy(col).agg(F.count(F.lit(1)).alias("__n"))
     rk = prefix_sums(vc, {"__before": F.col("__n")}, col, None, ascending=ascending, inclusive=False)
-    return null_safe_join(df, rk.select(col, (F.col("__before") + 1).alias(name)), [col])
+    return lookup_join(df, rk.select(col, (F.col("__before") + 1).alias(name)), [col])
 
 
 def row_features(df: DataFrame, col: str, order: str, tie: str, by: Sequence[str]) -> DataFrame:
@@ -88,4 +88,4 @@ def row_features(df: DataFrame, col: str, order: str, tie: str, by: Sequence[str
 def dense_rank_by(df: DataFrame, col: str, by: Sequence[str], name: str = "dense_rank") -> DataFrame:
     """DENSE_RANK within a group whose ``col`` has boundedly many distinct values (days, grades)."""
     d = df.select(*by, col).distinct().withColumn(name, F.row_number().over(W.partitionBy(*by).orderBy(col)).cast("long"))
-    return null_safe_join(df, d, [*by, col])
+    return lookup_join(df, d, [*by, col])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyframe.operators import evaluation as E, splits as SP
-from tallyframe.operators.ordered import one_row
+from tallyframe.operators.ordered import lookup_join
 from tallyframe.plans.registry import query
 
 
@@ -53,7 +53,7 @@ SELECT count(*) AS n, round(sqrt(avg(pow(y - f, 2))), 4) AS rmse, round(avg(abs(
   round(1 - sum(pow(y - f, 2)) / (var_pop(y) * count(*)), 8) AS r2 FROM p""")
 def regression_metrics(t):
     m = t.orders.groupBy("o_orderpriority").agg(F.avg("o_totalprice").alias("f"))
-    r = E.regression_metrics(t.orders.join(m, "o_orderpriority"), "o_totalprice", "f")
+    r = E.regression_metrics(lookup_join(t.orders, m, ["o_orderpriority"]), "o_totalprice", "f")
     return r.select("n", F.round("rmse", 4).alias("rmse"), F.round("mae", 4).alias("mae"), F.round("r2", 8).alias("r2"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyframe.operators import features as FE, relational as R, windows as WD
-from tallyframe.operators.ordered import one_row, value_ranks
+from tallyframe.operators.ordered import lookup_join, value_ranks
 from tallyframe.plans import views
 from tallyframe.plans.registry import query
 
@@ -49,8 +49,8 @@ def lookup_join_default(t):
     rich = t.customer.where("c_acctbal > 9950")
     st = rich.groupBy(F.col("c_nationkey").alias("k")).agg(F.avg("c_acctbal").alias("m"))
     mean = rich.agg(F.avg("c_acctbal")).scalar()
-    return t.customer.join(st, F.col("c_nationkey") == F.col("k"), "left").select(
-        "c_custkey", F.round(F.coalesce("m", mean), 4).alias("enc"))
+    d = lookup_join(t.customer, st.withColumnRenamed("k", "c_nationkey"), ["c_nationkey"], "left")
+    return d.select("c_custkey", F.round(F.coalesce("m", mean), 4).alias("enc"))
 
 
 FIXED_DATES = ["1996-01-01", "1996-12-25", "1997-05-01", "1998-03-15", "1999-10-23", "2000-08-20"]

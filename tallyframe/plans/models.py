@@ -13,6 +13,7 @@ from tallyframe.plans import views
 from tallyframe.plans.registry import query
 from tallyframe.session import checkpointed, shared_path
 from tallyframe.sources import sinks
+from tallyframe.sources.tables import spread
 
 COLS = views.FEATURE_COLUMNS
 
@@ -210,7 +211,7 @@ LANGS = ["de", "en", "es", "fr"]
 def texts(t):
     from tallyframe.operators.features import ordinal
 
-    words = t.documents.select("doc_id", "lang", tokens(F.col("text")).alias("ws"))
+    words = spread(t.documents).select("doc_id", "lang", tokens(F.col("text")).alias("ws"))
     d = words.select("doc_id", "lang", TX.ngrams(F.col("ws")).alias("terms"), ordinal("lang", LANGS).cast("double").alias("label"))
     return checkpointed(SP.stratified_folds(d, "doc_id", "lang", 3))
 
@@ -245,7 +246,7 @@ def classify_new_text(t):
 def word_embeddings(t):
     from pyspark.ml.feature import Word2Vec
 
-    w = t.documents.select(tokens(F.col("text")).alias("ws"))
+    w = spread(t.documents).select(tokens(F.col("text")).alias("ws"))
     model = Word2Vec(vectorSize=16, minCount=20, maxIter=1, seed=42, inputCol="ws", outputCol="v", numPartitions=4).fit(w)
-    top = TX.bag_of_words(t.documents, "doc_id", "text").groupBy("term").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "term").first()["term"]
+    top = TX.bag_of_words(spread(t.documents), "doc_id", "text").groupBy("term").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "term").first()["term"]
     return model.findSynonyms(top, 10).select(F.lit(top).alias("word"), F.col("word").alias("neighbour"), "similarity")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallyframe.functions.text import LETTERS, STOP_WORDS, tokens
 from tallyframe.operators import text as TX
 from tallyframe.plans.registry import query
+from tallyframe.sources.tables import spread
 
 STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
 TOK = rf"""
@@ -17,13 +18,13 @@ tk AS (SELECT doc_id, lang, list_filter(string_split_regex(regexp_replace(lower(
 
 @query("tokenize", f"""WITH {TOK} SELECT doc_id, CAST(len(ws) AS INT) AS n, md5(array_to_string(ws, ' ')) AS digest FROM tk""")
 def tokenize(t):
-    d = t.documents.select("doc_id", tokens(F.col("text")).alias("ws"))
+    d = spread(t.documents).select("doc_id", tokens(F.col("text")).alias("ws"))
     return d.select("doc_id", F.size("ws").alias("n"), F.md5(F.array_join("ws", " ")).alias("digest"))
 
 
 @query("bag_of_words", f"""WITH {TOK} SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest(ws) AS term FROM tk) GROUP BY 1, 2""")
 def bag_of_words(t):
-    return TX.bag_of_words(t.documents, "doc_id", "text")
+    return TX.bag_of_words(spread(t.documents), "doc_id", "text")
 
 
 TFIDF = TOK + """,
@@ -39,7 +40,7 @@ ti AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS w
 
 @query("tfidf", f"WITH {TFIDF} SELECT doc_id, term, round(weight, 6) AS weight FROM ti")
 def tfidf(t):
-    return TX.tfidf(t.documents, "doc_id", "text", 100).withColumn("weight", F.round("weight", 6))
+    return TX.tfidf(spread(t.documents), "doc_id", "text", 100).withColumn("weight", F.round("weight", 6))
 
 
 @query("top_terms_per_class", f"""
@@ -48,7 +49,7 @@ n AS (SELECT lang, count(*) AS n FROM documents GROUP BY 1),
 r AS (SELECT lang, term, s / n AS m, row_number() OVER (PARTITION BY lang ORDER BY s / n DESC, term) AS rank FROM s JOIN n USING (lang))
 SELECT lang, term, round(m, 6) AS mean_weight, CAST(rank AS INT) AS rank FROM r WHERE rank <= 5""")
 def top_terms_per_class(t):
-    w = TX.tfidf(t.documents, "doc_id", "text", 100)
+    w = TX.tfidf(spread(t.documents), "doc_id", "text", 100)
     return TX.top_terms_per_class(w, t.documents, "doc_id", "lang").withColumn("mean_weight", F.round("mean_weight", 6))
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyframe.session import shuffle_parallelism
+
 TABLE_NAMES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -25,6 +27,16 @@ class Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Spread a fresh scan over the cluster before heavy work per row, such as splitting long texts.
+
+    Only a scan with fewer partitions than the shuffle parallelism is
+    repartitioned, so a large table, which has more, is never shuffled here.
+    """
+    want = shuffle_parallelism(scan.sparkSession)
+    return scan.repartition(want) if scan.rdd.getNumPartitions() < want else scan
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with a header and a declared schema (no inference pass over the data)."""
     return spark.read.schema(schema).option("header", True).csv(path)
