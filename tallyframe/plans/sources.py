@@ -72,17 +72,19 @@ def integrity_check(t):
 
 
 @query("insert_rows", """
-SELECT n_nationkey, n_name, n_regionkey FROM nation UNION ALL SELECT 25, 'ATLANTIS', 3""")
+SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier
+UNION ALL SELECT -1, 'Supplier#new', 3, 12.5 UNION ALL SELECT -2, 'Supplier#other', 4, 0.0""")
 def insert_rows(t):
-    return sinks.insert_rows(t.nation.select("n_nationkey", "n_name", "n_regionkey"), [(25, "ATLANTIS", 3)])
+    return sinks.insert_rows(t.supplier.select("s_suppkey", "s_name", "s_nationkey", "s_acctbal"),
+                             [(-1, "Supplier#new", 3, 12.5), (-2, "Supplier#other", 4, 0.0)])
 
 
 @query("write_csv", """
-SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey""")
+SELECT c_custkey, c_name, c_acctbal, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey""")
 def write_csv(t):
-    d = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        "n_nationkey", "n_name", "r_name")
-    return sinks.write_csv(d, shared_path(t.spark, "nations"))
+    d = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        "c_custkey", "c_name", "c_acctbal", "n_name")
+    return sinks.write_csv(d, shared_path(t.spark, "customers"))
 
 
 def month_report(t):

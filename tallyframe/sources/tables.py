@@ -20,11 +20,15 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._schemas: dict[str, T.StructType] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLE_NAMES:
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if name not in self._schemas:  # footers are read once per table, not once per use
+            self._schemas[name] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[name]).parquet(path)
 
 
 def spread(scan: DataFrame) -> DataFrame:
@@ -45,7 +49,3 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 def parse_dates(df: DataFrame, *columns: str, fmt: str = "yyyy-MM-dd") -> DataFrame:
     """ISO date text to timestamps while reading."""
     return df.withColumns({c: F.to_timestamp(c, fmt) for c in columns})
-
-
-def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
