@@ -67,9 +67,11 @@ def _outside(col: str) -> Column:
     return (F.col(col) < F.col("__p.flag_lower")) | (F.col(col) > F.col("__p.flag_upper"))
 
 
-def cap_outliers(df: DataFrame, col: str, method: str = "iqr", k: float = 1.5) -> DataFrame:
-    """Clip to the bounds; rows are kept."""
+def cap_outliers(df: DataFrame, col: str, method: str = "iqr", k: float = 1.5, flag: str | None = None) -> DataFrame:
+    """Clip to the bounds; rows are kept. ``flag`` names a 0/1 column that marks the rows outside, judged before clipping."""
     d = df.withColumn("__p", one_row(_bounds(df, col, method, k)))
+    if flag is not None:
+        d = d.withColumn(flag, F.coalesce(_outside(col), F.lit(False)).cast("int"))
     capped = F.greatest(F.least(F.col(col), F.col("__p.upper")), F.col("__p.lower"))
     return d.withColumn(col, F.when(F.col(col).isNotNull(), capped)).drop("__p")
 

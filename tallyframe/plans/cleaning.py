@@ -99,12 +99,8 @@ zz AS (SELECT avg(value) AS m, stddev_pop(value) AS p, stddev(value) AS s FROM e
 WITH {ZS} SELECT event_id, round(greatest(least(value, m + 3 * s), m - 3 * s), 6) AS value,
   CAST(abs((value - m) / p) > 3 AS INT) AS flagged FROM events, zz""")
 def zscore_cap(t):
-    e = t.events.select("event_id", "value")
-    z = e.agg(F.avg("value").alias("m"), F.stddev_pop("value").alias("p"))
-    flagged = e.withColumn("z", ordered.one_row(z)).select(
-        "event_id", (F.abs((F.col("value") - F.col("z.m")) / F.col("z.p")) > 3).cast("int").alias("flagged"))
-    capped = C.cap_outliers(e, "value", "zscore").select("event_id", F.round("value", 6).alias("value"))
-    return capped.join(flagged, "event_id")
+    d = C.cap_outliers(t.events.select("event_id", "value"), "value", "zscore", flag="flagged")
+    return d.select("event_id", F.round("value", 6).alias("value"), "flagged")
 
 
 @query("outlier_drop", f"""

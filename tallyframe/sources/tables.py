@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyframe.session import shuffle_parallelism
-
 TABLE_NAMES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -34,10 +32,10 @@ class Tables:
 def spread(scan: DataFrame) -> DataFrame:
     """Spread a fresh scan over the cluster before heavy work per row, such as splitting long texts.
 
-    Only a scan with fewer partitions than the shuffle parallelism is
+    Only a scan with fewer partitions than the cluster has cores is
     repartitioned, so a large table, which has more, is never shuffled here.
     """
-    want = shuffle_parallelism(scan.sparkSession)
+    want = scan.sparkSession.sparkContext.defaultParallelism
     return scan.repartition(want) if scan.rdd.getNumPartitions() < want else scan
 
 
