@@ -37,9 +37,9 @@ weekly AS (SELECT CAST(day + INTERVAL 1 DAY * (7 - isodow(day)) AS DATE) AS week
 """
 
 
-@query("weekly_resample", f"WITH {WEEKLY} SELECT strftime(week, '%Y-%m-%d') AS week, round(y, 3) AS y FROM weekly")
+@query("weekly_resample", f"WITH {WEEKLY} SELECT strftime(week, '%Y-%m-%d') AS week, round(y, 5) AS y FROM weekly")
 def weekly_resample(t):
-    return TS.weekly_sums(clean_series(t)).select(text("week"), F.round("y", 3).alias("y"))
+    return TS.weekly_sums(clean_series(t)).select(text("week"), F.round("y", 5).alias("y"))
 
 
 @query("seasonal_decompose", f"""
