@@ -71,12 +71,14 @@ def drift_status(value: Column) -> Column:
     return F.when(value < 0.1, "stable").when(value < 0.25, "watch").otherwise("drift")
 
 
-def needs_retrain(psi_value: Column, accuracy_drop: Column | None = None, ks_p: Column | None = None) -> Column:
+def ks_status(p: Column) -> Column:
+    return F.when(p < 0.05, "drift").otherwise("stable")
+
+
+def needs_retrain(psi_value: Column, accuracy_drop: Column | None = None) -> Column:
     """PSI above 0.25, or accuracy down by five points or more."""
     out = psi_value > 0.25
-    if accuracy_drop is not None:
-        out = out | (accuracy_drop >= 0.05)
-    return out
+    return out if accuracy_drop is None else out | (accuracy_drop >= 0.05)
 
 
 def ks_two_sample(df: DataFrame, cols: Sequence[str], is_prod: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -60,7 +61,9 @@ def model_map(df: DataFrame, prompt: str, complete: Callable[..., str], system:
     return df.mapInPandas(run, schema)
 
 
-# The offline replies used when no model is given.
+# Words that choose the offline reply, and the replies used when no model is given.
+SENTIMENT_WORDS = ["sentiment", "hangulat"]
+SUMMARY_WORDS = ["summary", "analyse", "összefoglaló", "elemezd"]
 OFFLINE_SENTIMENT = '{"sentiment": "positive", "score": 0.85}'
 OFFLINE_SUMMARY = "The data show a positive trend."
 OFFLINE_OTHER = "[simulated reply]"
@@ -69,15 +72,15 @@ OFFLINE_OTHER = "[simulated reply]"
 def offline_reply(prompt: Column) -> Column:
     """Rule-based reply as an expression; needs no Python at all."""
     p = F.lower(prompt)
-    return F.when(p.contains("sentiment"), OFFLINE_SENTIMENT).when(
-        p.contains("summary") | p.contains("analyse"), OFFLINE_SUMMARY).otherwise(OFFLINE_OTHER)
+    has = lambda words: reduce(lambda a, b: a | b, [p.contains(w) for w in words])
+    return F.when(has(SENTIMENT_WORDS), OFFLINE_SENTIMENT).when(has(SUMMARY_WORDS), OFFLINE_SUMMARY).otherwise(OFFLINE_OTHER)
 
 
 def offline_complete(prompt: str, system: str = "", max_tokens: int = 1000) -> str:
     p = prompt.lower()
-    if "sentiment" in p:
+    if any(w in p for w in SENTIMENT_WORDS):
         return OFFLINE_SENTIMENT
-    return OFFLINE_SUMMARY if "summary" in p or "analyse" in p else OFFLINE_OTHER
+    return OFFLINE_SUMMARY if any(w in p for w in SUMMARY_WORDS) else OFFLINE_OTHER
 
 
 def month_change(df: DataFrame, day: str, value: str) -> DataFrame:

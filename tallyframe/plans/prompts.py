@@ -32,12 +32,14 @@ def reply_parse(t):
     return P.parse_reply(views.replies(t), "reply").drop("reply")
 
 
-@query("model_map", """
-SELECT conv_id, turn, CASE WHEN role = 'user' THEN '{"sentiment": "positive", "score": 0.85}'
-  WHEN role = 'assistant' THEN 'The data show a positive trend.'
-  WHEN contains(lower(text), 'sentiment') THEN '{"sentiment": "positive", "score": 0.85}'
-  WHEN contains(lower(text), 'summary') OR contains(lower(text), 'analyse') THEN 'The data show a positive trend.' ELSE '[simulated reply]' END AS reply,
-  error FROM (SELECT *, NULL::VARCHAR AS error FROM conversations)""")
+def _has(words):
+    return " OR ".join(f"contains(p, '{w}')" for w in words)
+
+
+@query("model_map", f"""
+WITH c AS (SELECT conv_id, turn, lower(CASE role WHEN 'user' THEN 'Sentiment of: ' WHEN 'assistant' THEN 'Write a summary of: ' ELSE '' END || text) AS p FROM conversations)
+SELECT conv_id, turn, CASE WHEN {_has(P.SENTIMENT_WORDS)} THEN '{P.OFFLINE_SENTIMENT}' WHEN {_has(P.SUMMARY_WORDS)} THEN '{P.OFFLINE_SUMMARY}'
+  ELSE '{P.OFFLINE_OTHER}' END AS reply, NULL::VARCHAR AS error FROM c""")
 def model_map(t):
     ask = F.when(F.col("role") == "user", "Sentiment of: ").when(F.col("role") == "assistant", "Write a summary of: ").otherwise("")
     d = t.conversations.select("conv_id", "turn", F.concat(ask, "text").alias("prompt"))

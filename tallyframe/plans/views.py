@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.sources.tables import Tables
+from tallyframe.sources.tables import Tables, spread
 
 DIRTY_LINEITEM_COLUMNS = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag"]
 
@@ -178,7 +178,7 @@ def label_features(t: Tables) -> DataFrame:
     n = F.length("text")
     words = F.size(F.filter(F.split("text", r"\s+"), lambda w: w != ""))
     count = lambda pat: F.length(F.regexp_replace("text", pat, ""))
-    f = t.documents.select(
+    f = spread(t.documents).select(
         "doc_id", "lang",
         F.col("n_chars").cast("double").alias("n_chars"),
         words.cast("double").alias("n_words"),
