@@ -1,8 +1,8 @@
 """Graph measures on an undirected edge table (u, v) with u <> v and one row per pair.
 
-Iterations are joins and aggregations; every few rounds the state is written
-to the shared checkpoint folder, so the plan stays short and lost executors
-cost at most those rounds.
+Iterations are joins and aggregations; the state of a round is written to the
+shared checkpoint folder, so the plan stays short, lost executors cost at most
+that round, and the planner knows the state's size when it picks the next join.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ def degree_distribution(edges: DataFrame) -> DataFrame:
 
 
 def pagerank(edges: DataFrame, rounds: int = 20, damping: float = 0.85, tol: float | None = None,
-             nodes: DataFrame | None = None, every: int = 5) -> DataFrame:
+             nodes: DataFrame | None = None, every: int = 1) -> DataFrame:
     """Uniform start, both edge directions, the rank of nodes without edges spread evenly.
 
     Contributions are summed before the shuffle, so a hub costs one row per task.
