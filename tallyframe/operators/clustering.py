@@ -8,7 +8,6 @@ from collections.abc import Sequence
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyframe.operators.graph import connected_components

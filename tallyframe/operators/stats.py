@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from tallyframe.functions import distributions as D
 from tallyframe.operators.features import column_pairs
 from tallyframe.operators.ordered import lookup_join, null_safe_join, one_row, prefix_sums, row_index, value_ranks
-from tallyframe.operators.relational import unpivot
 
 
 # -- correlation -----------------------------------------------------------------------------

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyframe.operators import features as FE, relational as R
+from tallyframe.operators import features as FE
 from tallyframe.plans import views
 from tallyframe.plans.registry import query
 

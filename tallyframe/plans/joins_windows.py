@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyframe.operators import features as FE, relational as R, windows as WD
+from tallyframe.operators import features as FE, windows as WD
 from tallyframe.operators.ordered import lookup_join, value_ranks
 from tallyframe.plans import views
 from tallyframe.plans.registry import query

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyframe.operators import prompts as P
-from tallyframe.operators.ordered import one_row
 from tallyframe.plans import views
 from tallyframe.plans.registry import query
 

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyframe.operators import features as FE, stats as S
-from tallyframe.plans import views
+from tallyframe.operators import stats as S
 from tallyframe.plans.registry import query
 
 COLS = ["l_discount", "l_extendedprice", "l_quantity", "l_tax"]
