@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyframe.llm import simhash, toxicity
+from tallyframe.llm import decontam, packing, simhash, toxicity
 from tallyframe.llm.registry import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -23,6 +23,21 @@ def _(t):
                       F.array_join(F.transform("toxic_segments", lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias("segments"))
 
 
+@query("op4_benchmark_decontamination")
+def _(t):
+    """Every document and test item it contains."""
+    return decontam.contaminated(t.documents, t.benchmark).drop("h")
+
+
+@query("op5_packing")
+def _(t):
+    """All documents' ids in sequences of 2048."""
+    import public_tokenizers
+
+    out = packing.pack(t.documents, public_tokenizers.path("word_bpe_49k.json"))
+    return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 @query("op7_simhash_near_dedup")
 def _(t):
     """Class of every document under fingerprints at most four bits apart."""
