@@ -119,7 +119,8 @@ def solve_patterns(size: np.ndarray, demand: np.ndarray, cap: int, gap: float =
     x, bound = inv @ demand, float(size @ demand) / cap
     for step in range(rounds):
         if step % 100 == 99:
-            inv = np.linalg.inv(basis)
+            # one Newton step against rounding; einsum, as a threaded BLAS can stall beside the driver's JVM
+            inv = 2 * inv - np.einsum("ij,jk->ik", np.einsum("ij,jk->ik", inv, basis), inv)
             x = np.maximum(inv @ demand, 0)
         if float(cost @ x) <= bound * (1 + gap):
             break
