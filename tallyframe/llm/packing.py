@@ -8,8 +8,13 @@ decreasing. Pieces of one unit length are numbered by a distributed rank and tak
 
 from __future__ import annotations
 
+import gc
+import os
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -22,33 +27,88 @@ from tallyframe.session import checkpointed, shuffle_parallelism
 CAPACITY = 2048
 UNIT = 16
 END_ID = 1
-CACHE = 400_000
+CHUNK_CACHE, PART_CACHE = 300_000, 1_000_000  # entries kept by a worker
+CHARS = 1 << 20  # characters split at once
 
 
-class _Ids(dict):
-    """Little-endian ids of a space-delimited chunk. The vocabulary's model never joins text across white space."""
+class _Ids:
+    """Little-endian ids of texts, looked up by space-delimited chunk.
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+    The vocabulary's model never joins text across white space, nor letters with the punctuation behind them, and
+    lower-cases. So chunks that differ in case or closing punctuation share the ids of their letters, and only
+    letters not seen before reach the tokenizer, many at a time.
+    """
 
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) > CACHE:
-            self.clear()
-        ids = self[chunk] = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
-        return ids
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
+        self.whole = Tokenizer.from_file(path)
+        # lower-case letters in composed form need neither the normalizer nor the splitting pattern
+        self.letters = Tokenizer.from_file(path)
+        self.letters.normalizer = normalizers.Sequence([])
+        self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.chunks: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def _learn(self, parts: list[str], tokenizer) -> None:
+        for p, e in zip(parts, tokenizer.encode_batch_fast(parts, add_special_tokens=False)):
+            self.parts[p] = array("I", e.ids).tobytes() if sys.byteorder == "little" else np.array(e.ids, "<u4").tobytes()
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        gc.disable()  # many small objects, no cycles
+        try:
+            return self._encode(texts)
+        finally:
+            gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        split = [t.replace("\n", " ").split(" ") for t in texts]
+        if len(self.chunks) > CHUNK_CACHE:
+            self.chunks.clear()
+        if len(self.parts) > PART_CACHE:
+            self.parts.clear()
+        parts, cut = self.parts, []
+        words, other = set(), set()
+        for c in set().union(*map(set, split)).difference(self.chunks):
+            letters = c.rstrip(".,!?;:")
+            low = letters.lower()
+            # a capital sigma is lower-cased by its place in a word, so it is left to the tokenizer
+            if letters.isalpha() and (letters.isascii() or "\u03a3" not in letters and low.isalpha() and is_normalized("NFC", low)):
+                rest = c[len(letters):]
+                if low not in parts:
+                    words.add(low)
+            else:
+                low, rest = c, ""
+                if c not in parts:
+                    other.add(c)
+            if rest not in parts:
+                other.add(rest)
+            cut.append((c, low, rest))
+        self._learn(list(words), self.letters)
+        self._learn(list(other), self.whole)
+        self.chunks.update([(c, parts[low] + parts[rest]) for c, low, rest in cut])
+        get = self.chunks.__getitem__
+        return [b"".join(map(get, s)) for s in split]
 
 
 _TOKENIZERS: dict[str, _Ids] = {}
 
 
-def token_bytes(text: str, path: str) -> bytes:
-    """Ids of the whole text as little-endian 32-bit numbers, equal to encoding it in one call."""
+def token_bytes(texts: list[str], path: str) -> Iterator[bytes]:
+    """Ids of whole texts as little-endian 32-bit numbers, equal to encoding each in one call."""
     ids = _TOKENIZERS.get(path)
     if ids is None:
         ids = _TOKENIZERS[path] = _Ids(path)
-    return b"".join([ids[c] for c in text.replace("\n", " ").split(" ")])
+    group, size = [], 0
+    for t in texts:
+        group.append(t)
+        size += len(t)
+        if size >= CHARS:
+            yield from ids.encode(group)
+            group, size = [], 0
+    if group:
+        yield from ids.encode(group)
 
 
 def cut_pieces(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY,
@@ -63,8 +123,8 @@ def cut_pieces(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             owners, start, ids, total = [], [], [], []
-            for i, t in enumerate(batch.column(1).to_pylist()):
-                b = token_bytes(t or "", path) + end
+            for i, b in enumerate(token_bytes(["" if t is None else t for t in batch.column(1).to_pylist()], path)):
+                b += end
                 for at in range(0, len(b), size):
                     owners.append(i)
                     start.append(at // 4)
