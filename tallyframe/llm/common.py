@@ -15,6 +15,11 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once a row, also where lambdas inside the body use it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def row_hash(df: DataFrame) -> Column:
     """A 64-bit hash of all columns of a row; equal rows are equal in it."""
     return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyframe.llm import decontam, packing, simhash, toxicity
+from tallyframe.llm import chat, decontam, lcp, licenses, packing, secrets, sharding, simhash, toxicity, urlfilter
 from tallyframe.llm.registry import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -23,6 +23,32 @@ def _(t):
                       F.array_join(F.transform("toxic_segments", lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias("segments"))
 
 
+CHAT_SQL = """
+with t as (
+  select conv_id, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as pos,
+         coalesce(role, '') as role, coalesce(text, '') as text
+  from conversations),
+c as (select conv_id, count(*) as n, list(role || chr(0) || text order by pos) as k from t group by conv_id),
+g as (select k, n, min(conv_id) as conv_id, count(*) as copies from c group by k, n),
+m as (select * from g where not exists (select 1 from g h where h.n > g.n and h.k[1:g.n] = g.k))
+select t.conv_id, cast((t.pos - 1) // 64 as bigint) as part, m.n as n_turns, m.copies,
+       string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' order by pos) as text
+from t join m on t.conv_id is not distinct from m.conv_id group by 1, 2, 3, 4
+"""
+
+
+@query("op2_chat_formatting", CHAT_SQL)
+def _(t):
+    """Maximal conversations in chat markup."""
+    return chat.render(t.conversations)
+
+
+@query("op3_secret_scan")
+def _(t):
+    """Secrets of every document: base spans and linked parts."""
+    return secrets.report(secrets.scan(t.documents))
+
+
 @query("op4_benchmark_decontamination")
 def _(t):
     """Every document and test item it contains."""
@@ -38,8 +64,58 @@ def _(t):
     return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+@query("op6_license_scan")
+def _(t):
+    """Licenses named in every document."""
+    return licenses.scan(t.documents).drop("h")
+
+
 @query("op7_simhash_near_dedup")
 def _(t):
     """Class of every document under fingerprints at most four bits apart."""
     out = simhash.near_duplicate_classes(t.documents)
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query("op8_sharding")
+def _(t):
+    """Shard and slot of every document, balanced by bytes."""
+    out = sharding.shard(t.documents.select("doc_id", "text"))
+    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    return out.select("doc_id", F.col("__size").alias("size"), crc.alias("text_crc32"), F.lit("bytes").alias("law"), F.col("__shard").alias("shard"),
+                      F.col("__slot").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op9_document_fingerprints")
+def _(t):
+    """Fingerprints of every text and its edited form, and their likeness."""
+    out = lcp.fingerprint_documents(t.documents)
+    return out.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
+                      "near_edited", "near_next")
+
+
+RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+#: Words that put a host of the corpus on the list when they stand alone between dots and hyphens.
+LISTED_WORDS = "casino|pills|spam|malware|phish|porn|warez|xxx"
+URL_SQL = f"""
+with p as (
+  select page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) as path
+  from pages),
+r(h, f, action) as (values {", ".join(map(str, RULES))}),
+m as (select *, (select h || f || chr(0) || action from r where (host = h or ends_with(host, '.' || h)) and starts_with(path, f)
+                 order by length(h || f) desc, length(h) desc limit 1) as best from p),
+s as (select distinct host from p where regexp_matches(host, '(^|[.-])({LISTED_WORDS})([.-]|$)'))
+select page_id, host, path, split_part(best, chr(0), 1) as rule,
+       case when best is not null then split_part(best, chr(0), 2)
+            when exists (select 1 from s where m.host = s.host or ends_with(m.host, '.' || s.host)) then 'block' else 'allow' end as verdict
+from m
+"""
+
+
+@query("op10_url_filter", URL_SQL)
+def _(t):
+    """Verdict on every page: the longest rule's, else the host list's."""
+    rules = t.spark.createDataFrame(RULES, "host string, path string, action string")
+    hosts = t.pages.select(urlfilter.host_of(F.col("url")).alias("host")).distinct()
+    return urlfilter.judge(t.pages, rules, hosts.where(F.col("host").rlike(f"(^|[.-])({LISTED_WORDS})([.-]|$)")))
