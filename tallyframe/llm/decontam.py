@@ -28,7 +28,7 @@ OVERLAP = 0.8
 ANSWER_OVERLAP = 0.5
 ITEMS_PER_INDEX = 2000  # items in one broadcast index; more items take more passes over the documents
 BYTES_PER_INDEX = 8 << 20
-BLOCK = 16
+BLOCK = 4
 CACHE = 400_000
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _SENTENCE = re.compile(r"[.?!\n]+")
@@ -112,8 +112,10 @@ def build_index(items: list[tuple], df: dict[str, int], n_items: int, avg_len: f
 
 
 def retrieve(index: Index, terms: np.ndarray, threshold: float) -> dict[int, float]:
-    """All items whose score for these distinct terms reaches the threshold."""
+    """All items whose score for these distinct terms reaches the threshold; most passages have no block to visit."""
     caps = index.bound[terms].sum(axis=0)
+    if caps.max() < threshold - 1e-6:
+        return {}
     found: dict[int, float] = {}
     for b in np.flatnonzero(caps >= threshold - 1e-6):
         block, acc = index.postings[b], {}
@@ -157,9 +159,8 @@ def match_text(text: str, index: Index, lookup: dict, threshold: float = THRESHO
         hi = min(len(at), lo + 2 * step)
         if run[hi] - run[lo] < threshold - 1e-6:
             continue
-        t = np.unique(at[lo:hi][known[lo:hi]])
-        if best[t].sum() < threshold - 1e-6:
-            continue
+        t = np.sort(at[lo:hi][known[lo:hi]])
+        t = t[np.concatenate([[True], t[1:] != t[:-1]])]
         hits = retrieve(index, t, threshold)
         if not hits:
             continue
