@@ -26,6 +26,7 @@ from tallyframe.session import checkpointed, shuffle_parallelism
 
 CAPACITY = 2048
 UNIT = 16
+LEAST_GAP = 2  # units of room in a sequence that are worth a cut
 END_ID = 1
 CHUNK_CACHE, PART_CACHE = 300_000, 1_000_000  # entries kept by a worker
 CHARS = 1 << 20  # characters split at once
@@ -246,6 +247,28 @@ def plan_patterns(counts: dict[int, int], cap: int) -> list[tuple[dict[int, int]
     return plan
 
 
+def split_plan(plan: list[tuple[dict[int, int], int]], cap: int, least: int = LEAST_GAP) -> tuple[list, int]:
+    """Gives up the sequences with most room until what stood in them fills the room (of ``least`` units or more) of the rest.
+
+    Returns the kept ``(pattern, times)`` and the units of room they offer to pieces that are cut.
+    """
+    room = lambda p: cap - sum(s * k for s, k in p.items())
+    kept = sorted(((dict(p), t) for p, t in plan), key=lambda x: room(x[0]))
+    gap = sum(room(p) * t for p, t in kept if room(p) >= least)
+    given = 0
+    while kept and gap > given:
+        pattern, times = kept[-1]
+        w = room(pattern)
+        if w < least:
+            break
+        n = min(times, max(1, -(-(gap - given) // cap)))  # a sequence given up adds its pieces and takes away its room
+        gap, given = gap - n * w, given + n * (cap - w)
+        kept[-1] = (pattern, times - n)
+        if times == n:
+            kept.pop()
+    return kept, gap
+
+
 def slot_table(plan: list[tuple[dict[int, int], int]]) -> list[tuple[int, int, int, int, int]]:
     """``(unit, first_rank, end_rank, first_sequence, slots_per_sequence)`` rows of a plan; ranks start at 0."""
     used, rows, seq = {}, [], 0
@@ -258,32 +281,77 @@ def slot_table(plan: list[tuple[dict[int, int], int]]) -> list[tuple[int, int, i
     return rows
 
 
+def gap_table(plan: list[tuple[dict[int, int], int]], cut_units: int, cap: int, least: int = LEAST_GAP) -> list[tuple[int, int, int, int]]:
+    """``(from, width, times, first_sequence)``: the room of the kept sequences as stretches of one line, then fresh sequences."""
+    rows, at, seq = [], 0, 0
+    for pattern, times in plan:
+        w = cap - sum(s * k for s, k in pattern.items())
+        if w >= least:
+            rows.append((at, w, times, seq))
+            at += w * times
+        seq += times
+    if cut_units > at:
+        rows.append((at, cap, -(-(cut_units - at) // cap), seq))
+    return rows
+
+
 def place(pieces: DataFrame, capacity: int = CAPACITY, unit: int = UNIT) -> DataFrame:
-    """Adds ``sequence_id`` and ``offset`` to ``(doc_id, start, length, ids_crc32, ..)`` pieces of at most ``capacity`` ids.
+    """``(doc_id, start, length, doc_tokens, ids_crc32, sequence_id, offset)`` of pieces with their ``ids``.
 
     Ranks inside one unit length are counted in hash buckets, so equal lengths of a third of all rows spread over
-    the tasks. The slot table has at most (capacity/unit)^2 rows plus the last few sequences, whatever the corpus:
-    it is safe to broadcast. A sequence has at most ``capacity`` pieces. No pieces give no rows.
+    the tasks. Where whole pieces leave much room (many pieces of one awkward length), the last ranks of each length
+    are laid end to end and cut to fill it; only their ids are carried along. The tables of slots and of room have
+    at most (capacity/unit)^2 rows plus the last few sequences, whatever the corpus, so they are broadcast or
+    literal. A sequence has at most ``capacity`` pieces. No pieces give no rows.
     """
     spark = pieces.sparkSession
+    cap = capacity // unit
     salts = max(16, shuffle_parallelism(spark))
     p = pieces.withColumn("__u", F.ceil(F.col("length") / unit).cast("int")).withColumn(
         "__s", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(salts)).cast("int"))
     per = checkpointed(p.groupBy("__u", "__s").agg(F.count(F.lit(1)).alias("__n")))
     counts = {r["__u"]: r["n"] for r in per.groupBy("__u").agg(F.sum("__n").alias("n")).collect()}
-    rows = slot_table(plan_patterns(counts, capacity // unit))
-    slots = F.broadcast(spark.createDataFrame(rows, "__v int, __a long, __e long, __q long, __k long"))
+    kept, _ = split_plan(plan_patterns(counts, cap), cap)
+    slots = slot_table(kept)
+    whole = {u: min(n, max((e for v, _, e, _, _ in slots if v == u), default=0)) for u, n in counts.items()}
+    line, at = [], 0
+    for u, n in sorted(counts.items()):
+        line.append((u, whole[u], at))
+        at += u * (n - whole[u])
+    gaps = gap_table(kept, at, cap)
     before = W.partitionBy("__u").orderBy("__s").rowsBetween(W.unboundedPreceding, -1)
-    base = per.select("__u", "__s", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))
+    limits = F.broadcast(spark.createDataFrame(line, "__u int, __whole long, __line long"))
+    base = checkpointed(per.join(limits, "__u").withColumn("__base", F.coalesce(F.sum("__n").over(before), F.lit(0))))
+    first = {r["__u"]: r["s"] for r in base.where(F.col("__base") + F.col("__n") > F.col("__whole")).groupBy("__u").agg(F.min("__s").alias("s")).collect()}
+    cut_from = F.create_map(*[F.lit(x) for kv in first.items() for x in kv]) if first else F.create_map().cast("map<int,int>")
+    p = p.withColumn("ids", F.when(F.col("__s") >= F.try_element_at(cut_from, F.col("__u")), F.col("ids")))
     local = W.partitionBy("__u", "__s").orderBy("doc_id", "start", "ids_crc32", "length")
-    p = p.withColumn("__r", F.row_number().over(local) - 1).join(base, ["__u", "__s"]).withColumn("__r", F.col("__r") + F.col("__base"))
-    p = p.join(slots, (F.col("__u") == F.col("__v")) & (F.col("__r") >= F.col("__a")) & (F.col("__r") < F.col("__e")))
-    p = p.withColumn("sequence_id", F.col("__q") + F.floor((F.col("__r") - F.col("__a")) / F.col("__k")).cast("long"))
-    inside = W.partitionBy("sequence_id").orderBy(F.desc("__u"), "__r").rowsBetween(W.unboundedPreceding, -1)
-    p = p.withColumn("offset", F.coalesce(F.sum("length").over(inside), F.lit(0)).cast("long"))
-    return p.select(*pieces.columns, "sequence_id", "offset")
+    p = p.withColumn("__r", F.row_number().over(local) - 1).join(base.drop("__n"), ["__u", "__s"]).withColumn("__r", F.col("__r") + F.col("__base"))
+
+    table = F.broadcast(spark.createDataFrame(slots, "__v int, __a long, __e long, __q long, __k long"))
+    stays = p.where(F.col("__r") < F.col("__whole")).join(
+        table, (F.col("__u") == F.col("__v")) & (F.col("__r") >= F.col("__a")) & (F.col("__r") < F.col("__e")))
+    stays = stays.select("doc_id", "start", "length", "doc_tokens", "ids_crc32", F.lit(0).alias("__part"), (-F.col("__u")).alias("__u"), "__r",
+                         (F.col("__q") + F.floor((F.col("__r") - F.col("__a")) / F.col("__k"))).cast("long").alias("sequence_id"))
+    out = stays
+    if gaps:
+        room = F.array(*[F.struct(*[F.lit(x).cast("long").alias(n) for x, n in zip(g, "fwtq")]) for g in gaps])
+        a, end = F.col("__x"), F.col("__x") + F.col("__u")
+        touched = F.filter(room, lambda g: (g["f"] < end) & (g["f"] + g["w"] * g["t"] > a))
+        parts = F.flatten(F.transform(touched, lambda g: F.transform(
+            F.sequence(F.floor((F.greatest(a, g["f"]) - g["f"]) / g["w"]).cast("long"), F.floor((F.least(end, g["f"] + g["w"] * g["t"]) - 1 - g["f"]) / g["w"]).cast("long")),
+            lambda j: F.struct((F.greatest(a, g["f"] + j * g["w"]) - a).alias("lo"), (F.least(end, g["f"] + (j + 1) * g["w"]) - a).alias("hi"), (g["q"] + j).alias("q")))))
+        cut = p.where(F.col("__r") >= F.col("__whole")).withColumn("__x", F.col("__line") + (F.col("__r") - F.col("__whole")) * F.col("__u"))
+        cut = cut.withColumn("__c", F.explode(parts)).withColumn("__n", F.least(F.col("length"), F.col("__c.hi") * unit) - F.col("__c.lo") * unit)
+        bytes_ = F.substring(F.col("ids"), (F.col("__c.lo") * (4 * unit) + 1).cast("int"), (F.col("__n") * 4).cast("int"))
+        out = stays.unionByName(cut.select(
+            "doc_id", (F.col("start") + F.col("__c.lo") * unit).alias("start"), F.col("__n").alias("length"), "doc_tokens", F.crc32(bytes_).alias("ids_crc32"),
+            F.lit(1).alias("__part"), (-F.col("__u")).alias("__u"), "__r", F.col("__c.q").alias("sequence_id")))
+    inside = W.partitionBy("sequence_id").orderBy("__part", "__u", "__r", "start").rowsBetween(W.unboundedPreceding, -1)
+    return out.withColumn("offset", F.coalesce(F.sum("length").over(inside), F.lit(0)).cast("long")).select(
+        "doc_id", "start", "length", "doc_tokens", "ids_crc32", "sequence_id", "offset")
 
 
 def pack(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, unit: int = UNIT) -> DataFrame:
-    """``(doc_id, start, length, doc_tokens, ids_crc32, sequence_id, offset)`` per piece; ids are cut again by ``cut_pieces``."""
-    return place(checkpointed(cut_pieces(docs, path, doc_id, text, capacity, with_ids=False)), capacity, unit)
+    """``(doc_id, start, length, doc_tokens, ids_crc32, sequence_id, offset)`` per piece; the ids are written once to the shared folder."""
+    return place(checkpointed(cut_pieces(docs, path, doc_id, text, capacity)), capacity, unit)
