@@ -69,7 +69,7 @@ def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
 def auc(points: DataFrame) -> DataFrame:
     """Trapezoid area; each point knows its own step, so no neighbour is looked up."""
     area = F.col("neg") * (F.col("tp") - F.col("pos") / 2)
-    return points.agg(F.try_divide(F.sum(area), F.sum("pos") * F.sum("neg")).alias("auc"))
+    return points.agg(F.try_divide(F.sum(area), F.sum("pos").cast("double") * F.sum("neg")).alias("auc"))
 
 
 def threshold_sweep(df: DataFrame, label: str, score: str, thresholds: Sequence[float]) -> DataFrame:

@@ -187,4 +187,4 @@ def mutual_information(df: DataFrame, x: str, y: str) -> DataFrame:
     py = joint.groupBy(y).agg(F.sum("n").alias("ny"))
     total = joint.agg(F.sum("n")).scalar()
     d = null_safe_join(null_safe_join(joint, px, [x]), py, [y]).withColumn("t", total)
-    return d.agg(F.sum(F.col("n") / F.col("t") * F.log(F.col("n") * F.col("t") / (F.col("nx") * F.col("ny")))).alias("mi"))
+    return d.agg(F.sum(F.col("n") / F.col("t") * F.log(F.col("n").cast("double") * F.col("t") / (F.col("nx").cast("double") * F.col("ny")))).alias("mi"))

@@ -38,12 +38,12 @@ def degree_distribution(edges: DataFrame) -> DataFrame:
     return degrees(edges).groupBy("degree").agg(F.count(F.lit(1)).alias("nodes"))
 
 
-def pagerank(edges: DataFrame, rounds: int = 20, damping: float = 0.85, tol: float | None = None,
+def pagerank(edges: DataFrame, rounds: int = 100, damping: float = 0.85, tol: float | None = 1e-6,
              nodes: DataFrame | None = None, every: int = 1) -> DataFrame:
     """Uniform start, both edge directions, the rank of nodes without edges spread evenly.
 
-    Contributions are summed before the shuffle, so a hub costs one row per task.
-    With ``tol`` the loop also ends when the summed change is below n·tol.
+    Contributions are summed before the shuffle, so a hub costs one row per task. The loop ends when the summed
+    change is below n·tol and raises if ``rounds`` do not get there; without ``tol`` it makes exactly ``rounds``.
     """
     e = checkpointed(both_ways(edges))
     deg = e.groupBy("a").agg(F.count(F.lit(1)).alias("deg"))
@@ -65,6 +65,9 @@ def pagerank(edges: DataFrame, rounds: int = 20, damping: float = 0.85, tol: flo
             r = nxt
             break
         r = nxt.drop("old")
+    else:
+        if tol is not None:
+            raise RuntimeError(f"PageRank did not converge in {rounds} rounds")
     return r.select(F.col("a").alias("node"), "rank")
 
 

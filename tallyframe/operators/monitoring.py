@@ -94,7 +94,7 @@ def ks_two_sample(df: DataFrame, cols: Sequence[str], is_prod: str) -> DataFrame
     t = g.groupBy("column").agg(F.sum("ref").alias("nr"), F.sum("prod").alias("np"))
     d = c.join(t, "column").groupBy("column", "nr", "np").agg(
         F.max(F.abs(F.try_divide("cr", "nr") - F.try_divide("cp", "np"))).alias("d"))
-    eff = F.sqrt(F.col("nr") * F.col("np") / (F.col("nr") + F.col("np")))
+    eff = F.sqrt(F.col("nr").cast("double") * F.col("np") / (F.col("nr") + F.col("np")))
     return d.withColumn("p", kolmogorov_pvalue(eff * F.col("d")))
 
 

@@ -19,6 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyframe.session import checkpointed, shuffle_parallelism
 
@@ -33,8 +34,13 @@ def bucket_count(df: DataFrame, buckets: int | None = None) -> int:
 
 
 def _bounds(df: DataFrame, col: str, n: int) -> Column:
+    """The sketch is read once and becomes a constant, so that all uses cut at the same places; times stay a subquery,
+    as their way through the driver depends on its time zone."""
     cuts = [i / n for i in range(1, n)]
-    return df.agg(F.percentile_approx(col, cuts, max(1000, 20 * n)).alias("b")).scalar()
+    sketch = df.agg(F.percentile_approx(col, cuts, max(1000, 20 * n)).alias("b"))
+    if not isinstance(df.schema[col].dataType, (T.NumericType, T.StringType)):
+        return sketch.scalar()
+    return F.lit(sketch.first()["b"]).cast(T.ArrayType(df.schema[col].dataType))
 
 
 def _search(x: Column, bounds: Column, n: int) -> Column:
@@ -228,9 +234,9 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         .groupBy(*keys, "n", "gap", "single")
         .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("mn"), F.max("v").alias("mx"))
     )
-    # the runs are disjoint value ranges, so their order is the order of their smallest values
-    w = W.partitionBy(*keys).orderBy("mn").rowsBetween(W.unboundedPreceding, 0)
-    runs = runs.withColumn("cum", F.sum("c").over(w))
+    # the runs are disjoint value ranges, so their order is the order of their smallest values; a column's or group's
+    # runs grow with the rows, so their running count is cut into buckets like any other
+    runs = prefix_sums(checkpointed(runs), {"cum": F.col("c")}, "mn", None, by=keys)
 
     def at(rank):
         """First run that reaches the rank; outside the brackets only its two ends are known."""

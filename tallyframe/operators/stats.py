@@ -76,16 +76,17 @@ def kendall_tau(df: DataFrame, x: str, y: str, bits: int = 40) -> DataFrame:
         F.when(F.expr("shiftright(r, b) & 1") == 0, F.col("n")).otherwise(0).alias("zeros"),
     ).groupBy("b", "g", "x").agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"))
     e = prefix_sums(e, {"before": F.col("ones")}, "x", None, by=["b", "g"], inclusive=False)
-    dis = e.agg(F.sum(F.col("zeros") * F.col("before"))).scalar()
-    pairs = lambda n: n * (n - 1) / 2
+    big = lambda c: F.col(c).cast("decimal(19,0)")  # products of counts pass 64 bits from about 3e9 rows
+    dis = e.agg(F.sum(big("zeros") * big("before")).cast("double")).scalar()
+    pairs = lambda n: n.cast("double") * (n - 1) / 2
     ties = lambda k: cells.groupBy(*k).agg(F.sum("n").alias("n")).agg(F.sum(pairs(F.col("n")))).scalar()
     base = cells.agg(F.sum("n").alias("n")).select(
-        "n", F.coalesce(dis, F.lit(0)).alias("discordant"), ties(["x"]).alias("tx"), ties(["y"]).alias("ty"),
+        "n", F.coalesce(dis, F.lit(0.0)).alias("discordant"), ties(["x"]).alias("tx"), ties(["y"]).alias("ty"),
         ties(["x", "y"]).alias("txy"))
     n0 = pairs(F.col("n"))
     con = n0 - F.col("tx") - F.col("ty") + F.col("txy") - F.col("discordant")
     return base.select(
-        "n", con.cast("long").alias("concordant"), "discordant",
+        "n", con.cast("long").alias("concordant"), F.col("discordant").cast("long").alias("discordant"),
         F.try_divide(con - F.col("discordant"), F.sqrt((n0 - F.col("tx")) * (n0 - F.col("ty")))).alias("tau"))
 
 
@@ -183,7 +184,7 @@ def contingency(df: DataFrame, a: str, b: str) -> DataFrame:
     grid = ra.withColumn("bs", rb).select("a", "na", F.inline("bs"))
     total = cells.agg(F.sum("o")).scalar()
     d = null_safe_join(grid, cells, ["a", "b"], "left").withColumn("o", F.coalesce("o", F.lit(0)))
-    return d.withColumn("n", total).withColumn("e", F.col("na") * F.col("nb") / F.col("n"))
+    return d.withColumn("n", total).withColumn("e", F.col("na").cast("double") * F.col("nb") / F.col("n"))
 
 
 def chi_square(df: DataFrame, a: str, b: str) -> DataFrame:

@@ -38,9 +38,19 @@ def _ranks(rounds):
     return ", ".join(out)
 
 
-@query("pagerank", f"WITH {views.MARKET.replace('gg AS', 'gg AS MATERIALIZED')}, {DEG}, {_ranks(20)} SELECT node, round(rank, 10) AS rank FROM r20")
+ROUNDS = 100
+
+
+def _first_converged(rounds):
+    steps = " UNION ALL ".join(f"SELECT {i} AS i, node, rank FROM r{i}" for i in range(rounds + 1))
+    return f"""allr AS (SELECT *, rank - lag(rank) OVER (PARTITION BY node ORDER BY i) AS d FROM ({steps})),
+    done AS (SELECT min(i) AS i FROM (SELECT i, sum(abs(d)) AS s FROM allr WHERE i > 0 GROUP BY i) WHERE s < 1e-6 * (SELECT count(*) FROM dg))"""
+
+
+@query("pagerank", f"WITH {views.MARKET.replace('gg AS', 'gg AS MATERIALIZED')}, {DEG}, {_ranks(ROUNDS)}, {_first_converged(ROUNDS)} "
+       "SELECT node, round(rank, 10) AS rank FROM allr JOIN done USING (i)")
 def pagerank(t):
-    return G.pagerank(views.market_graph(t), 20).withColumn("rank", F.round("rank", 10))
+    return G.pagerank(views.market_graph(t), ROUNDS).withColumn("rank", F.round("rank", 10))
 
 
 BFS = views.TRADE.replace("WITH", "") + """,

@@ -13,11 +13,38 @@ from tallyframe.sources import sinks
 from tallyframe.sources.tables import TABLE_NAMES, parse_dates
 
 
-@query("table_scan", " UNION ALL ".join(
-    f"SELECT '{n}' AS table_name, count(*) AS n_rows FROM {n}" for n in TABLE_NAMES))
+# The columns of the supplied tables.
+COLUMNS = {
+    'region': 'r_regionkey r_name',
+    'nation': 'n_nationkey n_name n_regionkey',
+    'customer': 'c_custkey c_name c_nationkey c_acctbal c_mktsegment',
+    'supplier': 's_suppkey s_name s_nationkey s_acctbal',
+    'part': 'p_partkey p_name p_brand p_type p_size p_retailprice',
+    'orders': 'o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority',
+    'lineitem': 'l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate',
+    'events': 'event_id ts user_id event_type value props',
+    'documents': 'doc_id text lang source n_chars',
+    'embeddings': 'vec_id embedding label',
+    'pages': 'page_id url html',
+    'benchmark': 'item_id text',
+    'labels': 'doc_id quality toxic',
+    'conversations': 'conv_id turn role text',
+}
+
+
+def _scan_sql(table: str) -> str:
+    values = " + ".join(f"count({c})" for c in COLUMNS[table].split())
+    return f"SELECT '{table}' AS table_name, count(*) AS n_rows, {values} AS n_values FROM {table}"
+
+
+@query("table_scan", " UNION ALL ".join(map(_scan_sql, TABLE_NAMES)))
 def table_scan(t):
-    parts = [getattr(t, n).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("table_name"), "n_rows")
-             for n in TABLE_NAMES]
+    """Every column of every table is read: rows, and values that are not null."""
+    parts = []
+    for n in TABLE_NAMES:
+        d = getattr(t, n)
+        values = reduce(lambda a, b: a + b, [F.count(c) for c in d.columns])
+        parts.append(d.agg(F.count(F.lit(1)).alias("n_rows"), values.alias("n_values")).select(F.lit(n).alias("table_name"), "n_rows", "n_values"))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 

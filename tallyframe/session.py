@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,11 +31,13 @@ def shuffle_parallelism(spark: SparkSession) -> int:
 
 
 def set_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; fall back only where none is named."""
+    """Use the shared folder the cluster names; a temporary one only in local mode, where all tasks see it."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is not None:
         return
     shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    if not shared and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="tallyframe-ckpt-"))
 
 

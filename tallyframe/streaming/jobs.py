@@ -10,19 +10,37 @@ from tallyframe.operators.monitoring import drift_status
 from tallyframe.session import shared_path
 
 
-def file_stream(spark: SparkSession, folder: str, table: str, files_per_batch: int = 1) -> DataFrame:
-    """The parquet files of one table as a stream; the schema comes from the files' footer."""
+def file_stream(spark: SparkSession, folder: str, table: str, bytes_per_batch: int = 64 << 30, files_per_batch: int | None = None) -> DataFrame:
+    """The parquet files of one table as a stream; the schema comes from the files' footer.
+
+    A table may be one file or a folder of part files. A batch takes files up to ``bytes_per_batch``, or a given
+    number of them.
+    """
     path = f"{folder.rstrip('/')}/{table}.parquet"
-    schema = spark.read.parquet(path).schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet")
-            .option("maxFilesPerTrigger", files_per_batch).parquet(folder))
+    batch = spark.read.parquet(path)
+    source = spark.readStream.schema(batch.schema)
+    source = source.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else source.option("maxBytesPerTrigger", bytes_per_batch)
+    if is_folder(spark, path):
+        return source.parquet(path)
+    return source.option("pathGlobFilter", f"{table}.parquet").parquet(folder)
+
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Asks the file system that the path names, so it also holds for stores only Spark can read."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
 
-def run_to_end(stream: DataFrame, name: str, mode: str, transform=lambda d: d) -> DataFrame:
+
+def run_to_end(stream: DataFrame, name: str, mode: str, transform=lambda d: d, at: str | None = None) -> DataFrame:
     """Run with ``availableNow``; complete-mode batches replace the table, append-mode batches are keyed by batch id,
-    so a batch that runs again after a failure overwrites its own output."""
+    so a batch that runs again after a failure overwrites its own output.
+
+    ``at`` is the folder of the state and the table: a later call with the same one goes on where the last ended.
+    Without it each call starts anew in a fresh folder. No input gives an empty table.
+    """
     spark = stream.sparkSession
-    base = shared_path(spark, name)
+    base = at.rstrip("/") if at else shared_path(spark, name)
     out = f"{base}/table"
 
     def write(batch: DataFrame, batch_id: int):
@@ -32,6 +50,8 @@ def run_to_end(stream: DataFrame, name: str, mode: str, transform=lambda d: d) -
     q = (stream.writeStream.outputMode(mode).option("checkpointLocation", f"{base}/state")
          .foreachBatch(write).trigger(availableNow=True).start())
     q.awaitTermination()
+    if not is_folder(spark, out):
+        return transform(spark.createDataFrame([], stream.schema))
     d = spark.read.parquet(out)
     return d.drop("batch") if mode != "complete" else d
 

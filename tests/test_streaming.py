@@ -58,3 +58,21 @@ def test_drift_report_of_the_reference_itself(spark, events):
         F.count(F.lit(1)).alias("n"))
     r = J.drift_report(counts, shares).first()
     assert r["psi"] == pytest.approx(0, abs=1e-9) and r["status"] == "stable"
+
+
+def test_folder_table_in_batches_and_resumed(spark, events, tmp_path):
+    folder, at = str(tmp_path), str(tmp_path / "job")
+    events.where("event_id % 2 = 0").repartition(3).write.parquet(f"{folder}/events.parquet")
+    run = lambda: J.run_to_end(J.window_report(J.file_stream(spark, folder, "events", files_per_batch=1), "ts", "value", "event_type", late="1000 days"),
+                               "resumed", "complete", at=at)
+    half = run().agg(F.sum("n")).first()[0]
+    assert half == events.where("event_id % 2 = 0").count()
+    events.where("event_id % 2 = 1").repartition(2).write.mode("append").parquet(f"{folder}/events.parquet")
+    got = {(str(r["start"].date()), r["event_type"]): r["n"] for r in run().collect()}
+    assert got == batch_report(events)
+
+
+def test_no_input_gives_an_empty_table(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    stream = spark.readStream.schema("ts timestamp, event_type string, value double").parquet(str(tmp_path / "in"))
+    assert J.run_to_end(J.window_report(stream, "ts", "value", "event_type"), "none", "complete").count() == 0
