@@ -140,14 +140,11 @@ def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bucke
     base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     cuts = base.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 10_000)).first()[0] or []
     cuts = sorted(set(cuts))
-    steps = 1 << max(0, (len(cuts)).bit_length() - 1)
-    where = F.lit(0)
+    steps = [1 << k for k in reversed(range(len(cuts).bit_length()))]
     bounds = F.array(*[F.lit(c).cast("long") for c in cuts])
-    while cuts and steps:
-        nxt = where + steps
-        where = F.when((nxt <= len(cuts)) & (F.try_element_at(bounds, nxt) <= F.col("doc_id")), nxt).otherwise(where)
-        steps //= 2
-    base = base.withColumn("bucket", F.coalesce(where, F.lit(0))).withColumn("h", F.xxhash64("text"))
+    where = F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda i, s: F.when(
+        F.coalesce(F.try_element_at(bounds, i + s) <= F.col("doc_id"), F.lit(False)), i + s).otherwise(i)) if cuts else F.lit(0)
+    base = base.withColumn("bucket", where).withColumn("h", F.xxhash64("text"))
     rank = F.struct(F.col("doc_id").isNotNull().alias("k"), F.col("doc_id"), F.col("h"))
     first = {r["bucket"]: r["m"] for r in base.groupBy("bucket").agg(F.max(rank).alias("m")).collect()}
     order = sorted(first, reverse=True)
