@@ -148,9 +148,9 @@ def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bucke
     rank = F.struct(F.col("doc_id").isNotNull().alias("k"), F.col("doc_id"), F.col("h"))
     first = {r["bucket"]: r["m"] for r in base.groupBy("bucket").agg(F.max(rank).alias("m")).collect()}
     order = sorted(first, reverse=True)
-    follow = [(b, order[i - 1], first[b]["doc_id"], first[b]["h"]) for i, b in enumerate(order)]  # a bucket's first row also ends the one before it
-    edges = F.broadcast(spark.createDataFrame(follow, "__b int, __to int, __d long, __h long"))
-    base = base.join(edges, (F.col("bucket") == F.col("__b")) & F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("h") == F.col("__h")), "left")
+    follow = [(order[i - 1], first[b]["doc_id"], first[b]["h"]) for i, b in enumerate(order)]  # a bucket's first row also ends the one before it
+    edges = F.broadcast(spark.createDataFrame(follow, "__to int, __d long, __h long"))
+    base = base.join(edges, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("h") == F.col("__h")), "left")
     place = F.array(F.struct(F.col("bucket").alias("b"), F.lit(0).alias("e")), F.struct(F.col("__to").alias("b"), F.lit(1).alias("e")))
     base = base.withColumn("x", F.explode(F.filter(place, lambda p: p["b"].isNotNull())))
     return base.select(F.col("x.b").alias("bucket"), F.col("x.e").alias("edge"), "doc_id", "h", "text")
