@@ -136,15 +136,20 @@ def excess(scores: list[float], n: int, model: Model) -> tuple[float, float]:
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
-    """Ridge logistic fit of two features by Newton steps."""
+    """Ridge logistic fit of two features by Newton steps, halved until the loss falls: full steps can swing for ever."""
     a = np.column_stack([np.ones(len(x)), x])
-    w, pen = np.zeros(3), np.diag([1e-3, 0.1, 0.1])
-    for _ in range(50):
+    pen = np.diag([1e-3, 0.1, 0.1])
+    loss = lambda w: float(np.logaddexp(0, a @ w).sum() - y @ (a @ w) + w @ pen @ w / 2)
+    w = np.zeros(3)
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
         h = (a * (p * (1 - p))[:, None]).T @ a + pen
         step = np.linalg.solve(h, a.T @ (y - p) - pen @ w)
-        w += step
-        if np.abs(step).max() < 1e-8:
+        size = 1.0
+        while loss(w + size * step) > loss(w) and size > 1e-6:
+            size /= 2
+        w = w + size * step
+        if size <= 1e-6 or np.abs(size * step).max() < 1e-8:
             break
     return tuple(map(float, w))
 

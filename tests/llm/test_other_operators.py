@@ -283,3 +283,12 @@ def test_text_hash_is_that_of_the_edited_text(spark):
     for r in rows:
         t, m = text[r.doc_id], len(text[r.doc_id]) // 3
         assert r.edited_sha256 == hashlib.sha256((t[:len(t) - m] + text[after[r.doc_id]][:m]).encode()).hexdigest()
+
+
+def test_logistic_fit_settles_on_separable_rows():
+    rng = np.random.default_rng(8)
+    for n in (40, 4000):
+        y = (rng.random(n) < 0.12).astype(float)
+        x = np.column_stack([y * rng.uniform(2, 50, n), y * rng.uniform(1, 5, n)])
+        b0, b1, b2 = toxicity._logistic(x, y)
+        assert (((b0 + b1 * x[:, 0] + b2 * x[:, 1]) >= 0) == (y == 1)).mean() > 0.99
