@@ -127,6 +127,8 @@ def cell_links(core: DataFrame, eps: float, side: float, rounds: int = 60) -> Da
         cand = j.join(yes, ["cx", "cy", "nx", "ny"], "left_anti").drop("low", "high")
         cand = checkpointed(cand)
         open_pairs = cand.select("cx", "cy", "nx", "ny").distinct()
+    if linked and not open_pairs.isEmpty():
+        raise RuntimeError(f"cell pairs still undecided after {rounds} halvings")
     out = linked[0] if linked else open_pairs.select("cx", "cy", "nx", "ny")
     for x in linked[1:]:
         out = out.unionByName(x)

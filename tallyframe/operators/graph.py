@@ -255,4 +255,6 @@ def communities(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
             break
         w, score = w2, score2
         label = checkpointed(rename(label, merge, "community"))
+    else:
+        raise RuntimeError(f"communities still merge after {max_rounds} rounds")
     return label

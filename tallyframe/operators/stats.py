@@ -66,7 +66,7 @@ def kendall_tau(df: DataFrame, x: str, y: str, bits: int = 40) -> DataFrame:
     cells = d.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"))
     yr = prefix_sums(cells.groupBy("y").agg(F.sum("n").alias("n")), {"r": F.lit(1).cast("long")}, "y", None,
                      inclusive=False).select("y", "r")
-    c = cells.join(yr, "y")
+    c = lookup_join(cells, yr, ["y"])  # few values of y would each be a hot key
     top = yr.agg(F.coalesce(F.max("r"), F.lit(0))).scalar()
     levels = F.sequence(F.lit(0), F.greatest(F.length(F.bin(F.col("top"))) - 1, F.lit(0)))
     e = c.withColumn("top", top).select("x", "n", "r", F.explode(levels).alias("b"))

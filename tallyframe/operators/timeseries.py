@@ -232,7 +232,10 @@ def arima_forecast(df: DataFrame, series: str, order: str = "week", steps: int =
         pdf = pdf.sort_values(order)
         y = pdf["y"].to_numpy(float)
         if len(y) <= steps + 5:
-            return pd.DataFrame(columns=["series", "step", "period", "actual", "yhat", "lower", "upper", "phi", "theta"])
+            # too short to fit: the periods stay, without a forecast
+            none = np.full(len(y), np.nan)
+            return pd.DataFrame({"series": str(pdf[series].iloc[0]), "step": range(1, len(y) + 1), "period": pdf[order].astype(str), "actual": y,
+                                 "yhat": none, "lower": none, "upper": none, "phi": none, "theta": none})
         m, lo, hi, phi, theta = forecast_arima111(y[:-steps], steps)
         return pd.DataFrame({
             "series": str(pdf[series].iloc[0]), "step": range(1, steps + 1), "period": pdf[order].iloc[-steps:].astype(str),
@@ -269,7 +272,9 @@ def additive_forecast(df: DataFrame, series: str, holidays: Sequence[str], order
         n = len(pdf) - horizon
         cols = ["series", "period", "is_test", "actual", "yhat", "lower", "upper", "trend", "weekly", "yearly", "holiday"]
         if n < 30:
-            return pd.DataFrame(columns=cols)
+            none = np.full(len(pdf), np.nan)  # too short to fit: the days stay, without a forecast
+            return pd.DataFrame({"series": str(pdf[series].iloc[0]), "period": pdf[order].astype(str), "is_test": False,
+                                 "actual": pdf["y"].to_numpy(float), **{c: none for c in cols[4:]}})[cols]
         parts = additive_design(pdf[order], pdf[order].iloc[0], pdf[order].iloc[n - 1], hol)
         x = np.column_stack(list(parts.values()))
         y = pdf["y"].to_numpy(float)

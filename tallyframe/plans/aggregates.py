@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyframe.operators import aggregates as A, relational as R
+from tallyframe.operators import aggregates as A, features as FE, relational as R
 from tallyframe.operators.ordered import exact_quantiles
 from tallyframe.plans.registry import query
 from tallyframe.plans.sources import MONTH_REPORT, month_report
@@ -94,7 +94,7 @@ def value_counts(t):
 SELECT l_returnflag, count(*) FILTER (l_linestatus = 'F') AS "F", count(*) FILTER (l_linestatus = 'O') AS "O"
 FROM lineitem GROUP BY 1""")
 def pivot_counts(t):
-    return R.pivot_counts(t.lineitem, "l_returnflag", "l_linestatus", ["F", "O"])
+    return R.pivot_counts(t.lineitem, "l_returnflag", "l_linestatus", FE.fitted_categories(t.lineitem, "l_linestatus"))
 
 
 REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
@@ -107,7 +107,7 @@ def crosstab(t):
     d = t.customer.groupBy("c_mktsegment", "c_nationkey").agg(F.count(F.lit(1)).alias("n"))
     d = d.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).join(
         t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-    return d.groupBy("c_mktsegment").pivot("r_name", REGIONS).agg(F.sum("n")).na.fill(0)
+    return d.groupBy("c_mktsegment").pivot("r_name", FE.fitted_categories(t.region, "r_name")).agg(F.sum("n")).na.fill(0)
 
 
 @query("share_of_total", """

@@ -31,7 +31,7 @@ def split(t, label="quality"):
 
 @query("forest_importance")
 def forest_importance(t):
-    return M.importances(M.forest(COLS, "quality", 20, 5).fit(features(t)), COLS, t.spark)
+    return M.importances(M.forest(COLS, "quality", 100, 5).fit(features(t)), COLS, t.spark)
 
 
 @query("recursive_elimination")
@@ -57,7 +57,8 @@ def feature_set_scores(t):
 @query("cross_val_scores")
 def cross_val_scores(t):
     d = checkpointed(SP.stratified_folds(features(t), "doc_id", "quality", 5))
-    return M.score_table(t.spark, M.cross_validate(d, lambda: M.logistic(COLS, "quality"), "quality"))
+    models = {"logistic": lambda: M.logistic(COLS, "quality"), "forest": lambda: M.forest(COLS, "quality", 50, 5)}
+    return M.score_table(t.spark, [{"model": n, **r} for n, make in models.items() for r in M.cross_validate(d, make, "quality")])
 
 
 def priced(t):
@@ -98,7 +99,7 @@ def logistic_balanced(t):
 
 @query("random_forest")
 def random_forest(t):
-    return _report(t, M.forest(COLS, "quality", 20, 5, weight="weight"), weighted=True)
+    return _report(t, M.forest(COLS, "quality", 200, 5, weight="weight"), weighted=True)
 
 
 @query("gradient_boosting")

@@ -88,7 +88,9 @@ def arima_forecast(t):
 
 @query("additive_forecast")
 def additive_forecast(t):
-    return TS.additive_forecast(views.daily_by_priority(t), "series", TS.holiday_dates(1994, 2002))
+    d = views.daily_by_priority(t)
+    lo, hi = d.agg(F.min(F.year("day")), F.max(F.year("day"))).first()
+    return TS.additive_forecast(d, "series", TS.holiday_dates(lo - 1, hi + 1) if lo is not None else [])
 
 
 HOLIDAYS = ", ".join(f"DATE '{d}'" for d in TS.holiday_dates(1995, 2001))
