@@ -32,9 +32,14 @@ SAMPLE = 65_536  # fingerprints the trees are shaped by; every fingerprint is ro
 BLOCK = 4096  # a shard with more is compared block against block
 
 
-def simhash(text: str, size: int = 4) -> int:
-    """64-bit SimHash of the word shingles, repeats included; fewer words than ``size``: one shingle; none: 0."""
+def simhash(text: str, size: int = 4, distinct: bool = False) -> int:
+    """64-bit SimHash of the word shingles, repeats included; fewer words than ``size``: one shingle; none: 0.
+
+    ``distinct`` counts every word once, so that frequent words do not make all texts of a language alike.
+    """
     words = text.encode("utf-8", "surrogatepass").lower().split()  # on bytes both touch ASCII only
+    if distinct:
+        words = sorted(set(words))
     if not words:
         return 0
     n = max(1, len(words) - size + 1)
@@ -113,33 +118,43 @@ class VantageTree:
         return np.concatenate([p for p, _ in done]), np.concatenate([n for _, n in done])
 
 
-def links_within(fp: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+def links_within(fp: np.ndarray, distance: int, ids: np.ndarray | None = None, other: np.ndarray | None = None,
+                 wide: int = 64) -> tuple[np.ndarray, np.ndarray]:
     """A spanning set of the links at most ``distance`` bits apart: it has the components of all of them.
 
     Each fingerprint is compared with those not yet reached; what is reached leaves the comparison. So a dense
-    group costs about one pass and never gives all its pairs.
+    group costs about one pass and never gives all its pairs. With ``other``, a second fingerprint of each, a link
+    also needs that one within ``wide`` bits. Links join ``ids``, by default the fingerprints.
     """
-    rest, src, dst = np.sort(np.unique(fp)), [], []
+    if ids is None:
+        fp = np.unique(fp)
+        ids = fp
+    order = np.argsort(ids, kind="stable")
+    rest, at, src, dst = order, fp[order], [], []
     while len(rest):
-        stack, rest = [rest[0]], rest[1:]
+        stack, rest, at = [rest[0]], rest[1:], at[1:]
         while stack and len(rest):
             p = stack.pop()
-            near = np.bitwise_count(rest ^ p) <= distance
+            near = np.bitwise_count(at ^ fp[p]) <= distance
+            if other is not None and near.any():
+                some = np.flatnonzero(near)
+                near[some[np.bitwise_count(other[rest[some]] ^ other[p]) > wide]] = False
             if near.any():
                 hit = rest[near]
-                src.append(np.full(len(hit), p, np.uint64))
-                dst.append(hit)
+                src.append(np.full(len(hit), ids[p], ids.dtype))
+                dst.append(ids[hit])
                 stack.extend(hit)
-                rest = rest[~near]
+                rest, at = rest[~near], at[~near]
     if not src:
-        return np.empty(0, np.uint64), np.empty(0, np.uint64)
+        return np.empty(0, ids.dtype), np.empty(0, ids.dtype)
     return np.concatenate(src), np.concatenate(dst)
 
 
 def fingerprint_links(fps: DataFrame, distance: int = DISTANCE, bands: int = BANDS, leaf: int = LEAF, block: int = BLOCK,
-                      sample: int = SAMPLE) -> DataFrame:
+                      sample: int = SAMPLE, wide: int | None = None) -> DataFrame:
     """Distinct ``fp`` longs to links ``(a, b)`` that connect exactly what is within ``distance`` bits.
 
+    With ``wide`` the rows are distinct ``(id, fp, other)``; links join ids and also need ``other`` within ``wide`` bits.
     A shard that holds more than ``block`` fingerprints (many that share a band) is cut by a hash into blocks, and
     every two of its blocks are compared in a task of their own, so no task holds more than two blocks.
     """
@@ -155,19 +170,21 @@ def fingerprint_links(fps: DataFrame, distance: int = DISTANCE, bands: int = BAN
             for t, tree in enumerate(trees):
                 pts, node = tree.route(fp, radius)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(pts), t, np.int32)), pa.array(node.astype(np.int32)), pa.array(fp[pts].view(np.int64))],
-                    names=["tree", "leaf", "fp"])
+                    [pa.array(np.full(len(pts), t, np.int32)), pa.array(node.astype(np.int32)), pa.array(fp[pts].view(np.int64)),
+                     *[c.take(pa.array(pts)) for c in b.columns[1:]]], names=["tree", "leaf", *b.schema.names])
 
-    routed = fps.select("fp").mapInArrow(route, "tree int, leaf int, fp long")
+    own = ["fp"] if wide is None else ["fp", "id", "other"]
+    routed = fps.select(*own).mapInArrow(route, "tree int, leaf int, " + ", ".join(f"{c} long" for c in own))
     sizes = checkpointed(routed.groupBy("tree", "leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block)
                          .select("tree", "leaf", F.ceil(F.col("n") / block).cast("int").alias("s")))
     routed = routed.join(sizes, ["tree", "leaf"], "left").withColumn("s", F.coalesce("s", F.lit(1)))
     routed = routed.withColumn("i", F.pmod(F.xxhash64("fp", "tree"), F.col("s")).cast("int"))
     routed = routed.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("s") - 1)))
-    routed = routed.select("tree", "leaf", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "fp")
+    routed = routed.select("tree", "leaf", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), *own)
 
     def compare(g: pd.DataFrame) -> pd.DataFrame:
-        a, b = links_within(g["fp"].to_numpy().view(np.uint64), distance)
+        bits = lambda c: g[c].to_numpy().view(np.uint64)
+        a, b = links_within(bits("fp"), distance) if wide is None else links_within(bits("fp"), distance, g["id"].to_numpy(), bits("other"), wide)
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
     return routed.groupBy("tree", "leaf", "i", "j").applyInPandas(compare, "a long, b long").distinct()
@@ -195,20 +212,33 @@ def _classes(rows: DataFrame, distance: int, bands: int, **kw) -> DataFrame:
     return named.select("fp", "label").join(named.groupBy("label").agg(F.min("first").alias("component_id")), "label")
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 4, distance: int = DISTANCE,
-             bands: int = BANDS, **kw) -> DataFrame:
+#: Near copies for ``keep_one``: a shingle similarity of 0.8 means about one word in 45 is different, which moves some
+#: four bits of the distinct words' fingerprint and nine of the shingles'. Unrelated texts are about 30 apart in both.
+WORD_DISTANCE, WORD_BANDS, SHINGLE_DISTANCE = 7, 8, 16
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, distance: int = WORD_DISTANCE,
+             bands: int = WORD_BANDS, wide: int = SHINGLE_DISTANCE, **kw) -> DataFrame:
     """The documents without near-duplicates: of each class the row with the smallest doc_id stays, once.
 
-    Ties on the id (or classes without any id) are decided by the hash of the row; of fully repeated rows one stays.
-    All columns are returned as they came.
+    Two texts are linked if the fingerprints of their distinct words are at most ``distance`` bits apart and those of
+    their shingles at most ``wide``. Ties on the id (or classes without any id) are decided by the hash of the row;
+    of fully repeated rows one stays. All columns are returned as they came.
     """
     cols = docs.columns
+
+    def run(texts: list[str]) -> dict[str, pa.Array]:
+        bits = lambda one: pa.array(np.array([one(t) for t in texts], np.uint64).view(np.int64))
+        return {"fp": bits(lambda t: simhash(t, 1, True)), "other": bits(lambda t: simhash(t, size))}
+
     base = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), row_hash(docs).alias("h"))
-    rows = checkpointed(with_fingerprint(base, size=size, name="fp").drop("text"))
+    rows = map_texts(base, run, {"fp": T.LongType(), "other": T.LongType()}, "text").drop("text")
+    rows = checkpointed(rows.withColumn("id", F.xxhash64("fp", "other")))
+    fps = checkpointed(rows.groupBy("id").agg(F.first("fp").alias("fp"), F.first("other").alias("other")))
+    labels = connected_components(fingerprint_links(fps, distance, bands, wide=wide, **kw)).withColumnRenamed("node", "id")
+    rows = checkpointed(rows.join(labels, "id", "left").select("doc_id", "h", F.coalesce("label", "id").alias("label")))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id"), F.col("h"))).alias("w")
-    winners = rows.join(_classes(rows, distance, bands, **kw).withColumnRenamed("component_id", "c"), "fp")
-    classes = winners.groupBy("label").agg(first)
-    won = checkpointed(classes.select(F.col("w.h").alias("__h"), F.col("w.doc_id").alias("__d")))
+    won = checkpointed(rows.groupBy("label").agg(first).select(F.col("w.h").alias("__h"), F.col("w.doc_id").alias("__d")))
     copies = checkpointed(rows.groupBy("h", "doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
                           .select(F.col("h").alias("__h"), F.col("doc_id").alias("__d"), F.lit(True).alias("__m")))
     on = lambda l, r: (l["__h"] == r["__h"]) & l["__d"].eqNullSafe(r["__d"])

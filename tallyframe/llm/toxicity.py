@@ -29,6 +29,7 @@ MAX_LABELLED = 100_000  # labelled rows the classifier learns from, the first by
 PREFIXES = (4, 5, 6)
 DRIFT = 0.7
 PRIOR = 3.0
+SURE = 0.01  # a prior's share stays this far from 0 and 1
 BACKGROUND = 1000.0
 CACHE = 400_000  # words kept per task
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
@@ -66,8 +67,8 @@ class Model:
         base = self.n_toxic / self.n_clean
         odds = base
         for b in _features(word):
-            q, s = odds / (1 + odds), self.prior[b]
-            odds = (self.toxic[b] + s * q) / (self.clean[b] + s * (1 - q))
+            q, s = min(max(odds / (1 + odds), SURE), 1 - SURE), float(self.prior[b])  # a sure prefix never decides alone
+            odds = (float(self.toxic[b]) + s * q) / (float(self.clean[b]) + s * (1 - q))
         return float(np.log(odds / base)) - DRIFT
 
 

@@ -248,7 +248,7 @@ def test_queries_with_sql(spark):
 
 def test_pipeline_stages(spark, tmp_path, odd_docs, no_docs):
     import corpus_pipeline as P
-    from tests.llm.test_simhash import classes, plain_simhash
+    from tests.llm.test_simhash import near_classes
 
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     for k, (name, stage) in enumerate(P.STAGES):
@@ -261,7 +261,7 @@ def test_pipeline_stages(spark, tmp_path, odd_docs, no_docs):
             assert len(after) == out.count() and set(after) <= set(before)
             if name == "near_dedup":
                 ids = sorted(before)
-                root = classes([plain_simhash(before[i]) for i in ids])
+                root = near_classes([before[i] or "" for i in ids])
                 assert set(after) == {ids[r] for r in set(root)}
             if name == "decontamination":
                 plain = lambda t: " ".join(t.lower().split())
@@ -292,3 +292,11 @@ def test_logistic_fit_settles_on_separable_rows():
         x = np.column_stack([y * rng.uniform(2, 50, n), y * rng.uniform(1, 5, n)])
         b0, b1, b2 = toxicity._logistic(x, y)
         assert (((b0 + b1 * x[:, 0] + b2 * x[:, 1]) >= 0) == (y == 1)).mean() > 0.99
+
+
+def test_weights_stay_finite_for_very_frequent_words():
+    big = np.full(toxicity.BUCKETS, 1e7, np.float32)
+    zero, prior = np.zeros(toxicity.BUCKETS, np.float32), np.full(toxicity.BUCKETS, 3, np.float32)
+    for toxic, clean, sign in ((big, zero, 1), (zero, big, -1)):
+        w = toxicity.Model(toxic, clean, prior, 2e6, 2e7).weight("Abcdefghijkl!")
+        assert np.isfinite(w) and w * sign > 0
