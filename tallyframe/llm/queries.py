@@ -10,15 +10,17 @@ from tallyframe.llm.registry import ORACLES, QUERIES, query
 __all__ = ["ORACLES", "QUERIES"]
 
 
-HELD_OUT = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+def held_out():
+    """The ids that nothing is learned from; a function, as columns need a session."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
 
 
 @query("op1_toxicity")
 def _(t):
     """Score of every document by its toxic segments, learned from the labels of four fifths of the ids."""
-    model = toxicity.train(t.documents, t.labels, ~HELD_OUT)
+    model = toxicity.train(t.documents, t.labels, ~held_out())
     out = toxicity.score_texts(t.documents.select("doc_id", "text"), model)
-    return out.select("doc_id", HELD_OUT.alias("held_out"), F.col("toxicity").alias("score"),
+    return out.select("doc_id", held_out().alias("held_out"), F.col("toxicity").alias("score"),
                       (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
                       F.array_join(F.transform("toxic_segments", lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias("segments"))
 
