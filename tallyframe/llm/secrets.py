@@ -2,9 +2,9 @@
 
 Everything on the way is column expressions. A pattern gives its matches in order and the text between them
 (``split`` uses the same matching), so positions are running sums of lengths in code points. Weak parts are
-account names, bare key values and endpoints; they meet in an interval join: parts are binned by their start, and
-since a bin is as wide as the reach, a part's own bin and the nearest starts of the two next to it decide exactly,
-without pairs.
+account names, bare key values and endpoints; they meet in an interval join: parts are filed in every bin they
+touch, and since a bin is as wide as the reach, a part's own bins and the last end before and the first start after
+them decide exactly, without pairs.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from tallyframe.llm.common import let
 from tallyframe.session import checkpointed
 
-REACH = 200  # code points between the starts of two parts of one scope
+REACH = 200  # code points between the end of a part and the start of the next in one scope
 
 # The base patterns (kind, expression, group whose length counts, least length).
 ASSIGN = ("(?i)(password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 12)
@@ -87,11 +87,12 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", reach: int
     found = checkpointed(found)
     key = F.struct(F.col("doc_id").isNull().alias("n"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")).alias("d"), F.col("h"))
     parts = found.where(F.size("weak") > 0).select(key.alias("key"), F.explode(F.concat("base", "weak")).alias("s"))
-    parts = parts.select("key", (F.col("s.start") / reach).cast("long").alias("bin"), "s").distinct()
+    touched = F.sequence((F.col("s.start") / reach).cast("long"), (F.col("s.end") / reach).cast("long"))
+    parts = parts.distinct().select("key", F.explode(touched).alias("bin"), "s")
     kinds = lambda names: F.col("s.kind").isin([KINDS.index(n) for n in names])
     group = {"secret": kinds(SECRETS), "name": kinds(NAMES), "endpoint": kinds(("endpoint",))}
     bins = parts.groupBy("key", "bin").agg(*[e for g, c in group.items() for e in (
-        F.min(F.when(c, F.col("s.start"))).alias(f"{g}_lo"), F.max(F.when(c, F.col("s.start"))).alias(f"{g}_hi"))])
+        F.min(F.when(c, F.col("s.start"))).alias(f"{g}_lo"), F.max(F.when(c, F.col("s.end"))).alias(f"{g}_hi"))])
     # every bin tells itself and its two neighbours how near its parts come
     near = bins.select("key", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))).alias("off"), F.col("bin").alias("from"), *[f"{g}_{e}" for g in group for e in ("lo", "hi")])
     near = near.groupBy("key", (F.col("from") + F.col("off")).alias("bin")).agg(*[e for g in group for e in (
@@ -99,11 +100,11 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", reach: int
         F.max(F.when(F.col("off") == 0, F.col(f"{g}_hi"))).alias(f"{g}_same"),
         F.min(F.when(F.col("off") == -1, F.col(f"{g}_lo"))).alias(f"{g}_after"))])
     s = F.col("s")
-    close = lambda g: F.coalesce(F.col(f"{g}_same").isNotNull() | (F.col(f"{g}_before") >= s["start"] - reach) | (F.col(f"{g}_after") <= s["start"] + reach), F.lit(False))
-    weak = parts.where(s["kind"] >= len(BASE)).join(near, ["key", "bin"])
-    complete = (F.when(s["kind"] == KINDS.index("user"), close("secret"))
-                .when(s["kind"] == KINDS.index("value"), close("name"))
-                .otherwise(close("secret") & close("name")))
+    close = lambda g: F.coalesce(F.col(f"{g}_same").isNotNull() | (F.col(f"{g}_before") >= s["start"] - reach) | (F.col(f"{g}_after") <= s["end"] + reach), F.lit(False))
+    weak = parts.where(s["kind"] >= len(BASE)).join(near, ["key", "bin"]).groupBy("key", "s").agg(*[F.max(close(g)).alias(g) for g in group])
+    complete = (F.when(s["kind"] == KINDS.index("user"), F.col("secret"))
+                .when(s["kind"] == KINDS.index("value"), F.col("name"))
+                .otherwise(F.col("secret") & F.col("name")))
     linked = weak.where(complete).groupBy("key").agg(F.array_sort(F.collect_set("s")).alias("linked"))
     out = found.withColumn("key", key).join(linked, "key", "left")
     return out.select("doc_id", "h", "base", F.coalesce("linked", F.array().cast(SPAN)).alias("linked"))

@@ -84,3 +84,16 @@ def test_redaction_keeps_documents_and_columns(spark, odd_docs, no_docs):
 def test_no_python_in_the_plan(odd_docs):
     plan = secrets.report(secrets.scan(odd_docs.withColumn("text", F.concat("text", F.lit("x")))))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+LONG = "Ab3" + "xY7" * 100
+
+
+def test_reach_is_the_gap_between_parts(spark):
+    """A part longer than the reach completes what stands beside it, on both sides, up to 200 code points away."""
+    texts = [f"{LONG} user=alice", f"user=alice {LONG}", f"{LONG}{' ' * 200}user=alice", f"{LONG}{' ' * 201}user=alice",
+             f"{LONG} https://db.example.org/x user=alice", f"user=alice{' ' * 200}{LONG}", f"user=alice{' ' * 201}{LONG}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [secrets.KINDS[s.kind] for s in r.linked] for r in secrets.scan(df).collect()}
+    assert got == {0: ["value", "user"], 1: ["user", "value"], 2: ["value", "user"], 3: [], 4: ["value", "endpoint", "user"], 5: ["user", "value"], 6: []}
+    assert {r.text for r in secrets.redact(df.where("doc_id = 0")).collect()} == {"[SECRET] [SECRET]"}
