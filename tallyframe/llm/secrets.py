@@ -24,7 +24,7 @@ ACCESS = ("AKIA[A-Z0-9]{14,}", 0, 18)  # a run too short to count has no longer
 HEX = ("[0-9a-f]{16,}", 0, 16)  # maximal runs, as any shorter run is skipped whole
 # Weak parts: reported only with a complement in reach.
 USER = ("(?i)(?:user(?:name|id)?|login|account|client_?id|access_?id)[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9@+/_.-]{3,})", 1, 3)
-VALUE = ("(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]{20})(?=[A-Za-z+/_-]{0,60}[0-9])(?=[a-z0-9+/_-]{0,60}[A-Z])(?=[A-Z0-9+/_-]{0,60}[a-z])"
+VALUE = ("(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]{20})(?=[A-Za-z+/_-]*+[0-9])(?=[a-z0-9+/_-]*+[A-Z])(?=[A-Z0-9+/_-]*+[a-z])"
          "[A-Za-z0-9+/_-]{20,}", 0, 20)
 ENDPOINT = ("(?i)[a-z][a-z0-9+.-]{1,15}://[^\\s\"'<>]{3,}", 0, 8)
 
@@ -103,7 +103,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", reach: int
     close = lambda g: F.coalesce(F.col(f"{g}_same").isNotNull() | (F.col(f"{g}_before") >= s["start"] - reach) | (F.col(f"{g}_after") <= s["end"] + reach), F.lit(False))
     weak = parts.where(s["kind"] >= len(BASE)).join(near, ["key", "bin"]).groupBy("key", "s").agg(*[F.max(close(g)).alias(g) for g in group])
     complete = (F.when(s["kind"] == KINDS.index("user"), F.col("secret"))
-                .when(s["kind"] == KINDS.index("value"), F.col("name"))
+                .when(s["kind"] == KINDS.index("value"), F.col("name") | F.col("endpoint"))
                 .otherwise(F.col("secret") & F.col("name")))
     linked = weak.where(complete).groupBy("key").agg(F.array_sort(F.collect_set("s")).alias("linked"))
     out = found.withColumn("key", key).join(linked, "key", "left")

@@ -97,3 +97,30 @@ def test_reach_is_the_gap_between_parts(spark):
     got = {r.doc_id: [secrets.KINDS[s.kind] for s in r.linked] for r in secrets.scan(df).collect()}
     assert got == {0: ["value", "user"], 1: ["user", "value"], 2: ["value", "user"], 3: [], 4: ["value", "endpoint", "user"], 5: ["user", "value"], 6: []}
     assert {r.text for r in secrets.redact(df.where("doc_id = 0")).collect()} == {"[SECRET] [SECRET]"}
+
+
+def test_values_beside_endpoints_and_late_changes(spark):
+    """An endpoint completes a bare value; the digit and the changes of case may come late in it."""
+    value = "Ab3" + "x" * 25
+    late = ["a" * 80 + "B7" + "c" * 10, "a" * 30 + "B" + "c" * 90 + "7", "A" * 100 + "7b", "7" * 100 + "aB"]
+    texts = [f"https://db.example.org/x {value}", f"{value} https://db.example.org/x", value, "https://db.example.org/x", *[f"user=alice {v}" for v in late]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [(s.start, secrets.KINDS[s.kind], s.end) for s in r.linked] for r in secrets.scan(df).collect()}
+    assert got[0] == [(25, "value", 53)] and got[1] == [(0, "value", 28)] and got[2] == got[3] == []
+    assert all(got[4 + i] == [(0, "user", 10), (11, "value", 11 + len(v))] for i, v in enumerate(late))
+    assert {r.text for r in secrets.redact(df.where("doc_id < 2")).collect()} == {"https://db.example.org/x [SECRET]", "[SECRET] https://db.example.org/x"}
+
+
+def test_gap_join_equals_all_pairs(spark):
+    rng = __import__("random").Random(6)
+    parts = [lambda: "user=u%05d" % rng.randrange(10 ** 5), lambda: "Ab1" + "".join(rng.choice("xyzXYZ189") for _ in range(rng.choice([25, 250, 700]))),
+             lambda: "https://h%d.example/x" % rng.randrange(99), lambda: "word" * rng.randrange(1, 90), lambda: "word" * rng.randrange(1, 90)]
+    docs = [(i, " ".join(rng.choice(parts)() for _ in range(40))) for i in range(25)]
+    got = {r.doc_id: {(s.start, secrets.KINDS[s.kind], s.end) for s in r.linked}
+           for r in secrets.scan(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for i, t in docs:
+        found = [(m.start(), k, m.end()) for k in secrets.WEAK for m in re.finditer(secrets.WEAK[k][0], t)]
+        near = lambda ks, x: any(k in ks and max(a - x[2], x[0] - b) <= secrets.REACH for a, k, b in found)
+        need = {"user": lambda x: near(secrets.SECRETS, x), "value": lambda x: near((*secrets.NAMES, "endpoint"), x),
+                "endpoint": lambda x: near(secrets.SECRETS, x) and near(secrets.NAMES, x)}
+        assert got[i] == {x for x in found if need[x[1]](x)}
