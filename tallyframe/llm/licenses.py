@@ -7,6 +7,9 @@ meets is ``(1 - j)^bands`` for similarity j: with 32 bands below one in a thousa
 
 from __future__ import annotations
 
+import math
+from importlib import resources
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +20,7 @@ SHINGLE = 5
 BANDS = 32
 CONTAINMENT = 0.8
 
-# Short notices as projects print them, and the first sentences of longer ones.
+# Short notices as projects print them, first sentences of longer ones, standard headers.
 TEMPLATES = {
     "MIT": "Released under the MIT License.",
     "MIT-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
@@ -28,6 +31,23 @@ TEMPLATES = {
     "BSD-grant": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
                  "the following conditions are met",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "Apache-2.0-header": "you may not use this file except in compliance with the License. You may obtain a copy of the License at "
+                         "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software "
+                         "distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, "
+                         "either express or implied. See the License for the specific language governing permissions and limitations under the License.",
+    # so short that another family or version leaves less than 0.8 of it
+    **{f"{name}-{v}-header": f"under the terms of the GNU {title} as published by the Free Software Foundation; either version {v.removesuffix('.0')} of the License"
+       for name, title, versions in (("GPL", "General Public License", ("2.0", "3.0")), ("LGPL", "Lesser General Public License", ("2.1", "3.0")),
+                                     ("AGPL", "Affero General Public License", ("3.0",))) for v in versions},
+    **{f"{name}-notice": f"This work is licensed under a Creative Commons {title} 4.0 International License."
+       for name, title in (("CC-BY-4.0", "Attribution"), ("CC-BY-SA-4.0", "Attribution-ShareAlike"), ("CC-BY-ND-4.0", "Attribution-NoDerivatives"),
+                           ("CC-BY-NC-4.0", "Attribution-NonCommercial"), ("CC-BY-NC-SA-4.0", "Attribution-NonCommercial-ShareAlike"),
+                           ("CC-BY-NC-ND-4.0", "Attribution-NonCommercial-NoDerivatives"))},
+    **{f"{name}-line": f"Licensed under {' '.join(name.replace('-', ' ', 1).rsplit('-', 1))}."
+       for name in ("CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-ND-4.0", "CC-BY-NC-SA-4.0", "CC-BY-NC-ND-4.0")},
+    # whole texts, as <id>-text
+    **{f"{f.name.removesuffix('.txt')}-text": f.read_text("utf-8") for f in sorted(resources.files(__package__).joinpath("license_texts").iterdir(), key=lambda f: f.name)
+       if f.name.endswith(".txt")},
 }
 
 
@@ -62,16 +82,19 @@ def _bands(hashes: Column) -> Column:
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, h, license, containment, first_word)``: templates of which a window holds at least 0.8 of the shingles.
 
-    The templates are a fixed list, so their hashes are literals. A window without any shingle of a template has no
-    band in common with one, so windows are cut only around such shingles. ``h`` is the hash of the text; rows
+    The templates are a fixed list, so their hashes are literals. A window that holds 0.8 of a template's shingles holds
+    one of any fifth and one more of them, so windows are cut only around those, in the class of their template. ``h`` is the hash of the text; rows
     alike in id and text give one row a license. Null or empty texts, and empty templates, give none.
     """
     spark: SparkSession = docs.sparkSession
     rows = [(k, v) for k, v in (templates or TEMPLATES).items()]
     made = spark.createDataFrame(rows, "license string, t string").select("license", F.array_distinct(shingle_hashes(words_of(F.col("t")))).alias("s"))
     known = [(r["license"], sorted(r["s"])) for r in made.collect() if r["s"]]
-    wanted = sorted({h for _, s in known for h in s})
-    classes = sorted({_class(len(s)) for _, s in known})
+    least = {}
+    for _, s in known:
+        least.setdefault(_class(len(s)), set()).update(s[:len(s) - math.ceil(CONTAINMENT * len(s) - 1e-9) + 1])
+    classes = sorted(least)
+    wanted = sorted(set().union(*least.values()))
     if not known:
         return spark.createDataFrame([], docs.select(F.col(doc_id).alias("doc_id")).schema.add("h", "long").add("license", "string")
                                      .add("containment", "double").add("first_word", "long"))
@@ -79,8 +102,9 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, doc_id: str =
     hits = lambda s: F.struct(s.alias("s"), F.filter(F.transform(s, lambda x, i: F.when(x.isin(wanted), i)), lambda i: i.isNotNull()).alias("at"))
     base = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(t).alias("h"), let(shingle_hashes(words_of(t)), hits).alias("x"))
     base = checkpointed(base.where(F.size("x.at") > 0).select("doc_id", "h", "x.s", "x.at"))
+    at = lambda c: F.filter("at", lambda i: F.get("s", i).isin(sorted(least[c])))
     windows = F.array_distinct(F.flatten(F.array(*[
-        F.flatten(F.transform("at", lambda i: F.array(
+        F.flatten(F.transform(at(c), lambda i: F.array(
             F.struct(F.lit(c).alias("c"), F.floor(i / c).cast("int").alias("k")),
             F.struct(F.lit(c).alias("c"), F.greatest(F.floor(i / c) - 1, F.lit(0)).cast("int").alias("k")))))
         for c in classes])))

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -154,6 +155,28 @@ def test_licenses(spark, odd_docs, no_docs):
     assert licenses.scan(no_docs).count() == 0 and licenses.scan(odd_docs).count() == 0
 
 
+def test_licenses_that_the_tables_do_not_hold(spark):
+    """Whole texts, bodies without their first sentence, standard headers and other Creative Commons lines."""
+    folder = Path(licenses.__file__).parent / "license_texts"
+    body = lambda name: (folder / f"{name}.txt").read_text()
+    filler = " ".join(f"x{i}" for i in range(500))
+    names = ["ISC", "Zlib", "BSD-3-Clause", "LGPL-2.1", "GPL-3.0", "Apache-2.0", "MPL-2.0"]
+    docs = [f"{filler}\n{body(n).upper()}\n{filler}" for n in names]
+    later = [("MIT-text", body("MIT").split("restriction, ")[1]), ("BSD-2-Clause-text", body("BSD-2-Clause").split("are met:")[1]),
+             ("AGPL-3.0-header", "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU Affero General Public "
+              "License as published by\n# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version."),
+             ("Apache-2.0-header", licenses.TEMPLATES["Apache-2.0-header"].replace("You may", "// You may")),
+             ("CC-BY-SA-4.0-line", f"{filler} Licensed under CC BY-SA 4.0. {filler}"),
+             ("CC-BY-4.0-notice", "This work is licensed under a Creative Commons Attribution 4.0 International License")]
+    docs += [t for _, t in later]
+    want = [f"{n}-text" for n in names] + [n for n, _ in later]
+    found = {}
+    for r in licenses.scan(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(4)).collect():
+        found.setdefault(r.doc_id, set()).add(r.license)
+    assert [i for i, n in enumerate(want) if n not in found.get(i, ())] == []
+    assert all(found[i] == {n} for i, n in enumerate(want) if not n.endswith("-text"))
+
+
 # -- sharding -------------------------------------------------------------------------------------
 
 def test_sharding(spark, odd_docs, no_docs):
