@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyframe.llm import chat, decontam, lcp, licenses, packing, secrets, sharding, simhash, toxicity, urlfilter
+from tallyframe.llm import (chat, decontam, lcp, licenses, mainblocks, negatives, packing, secrets, sharding, simhash, spelling, toxicity,
+                           urlfilter)
 from tallyframe.llm.registry import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -121,3 +122,67 @@ def _(t):
     rules = t.spark.createDataFrame(RULES, "host string, path string, action string")
     hosts = t.pages.select(urlfilter.host_of(F.col("url")).alias("host")).distinct()
     return urlfilter.judge(t.pages, rules, hosts.where(F.col("host").rlike(f"(^|[.-])({LISTED_WORDS})([.-]|$)")))
+
+
+@query("op11_html_extraction")
+def _(t):
+    """Main text of every page."""
+    out = mainblocks.extract(t.pages.select("page_id", "url", "html"))
+    return out.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"))
+
+
+SPELLING_SQL = """
+with recursive d as (
+  select coalesce(cast(doc_id as varchar), '') as id,
+         unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]{7,}')) as run
+  from documents),
+g as (select id, run, id || ':' || run as s, count(*) as c from d group by all),
+b as (select run, c, flatten(list_transform(range(1, length(s) + 1), lambda i: case when unicode(s[i]) < 128 then [cast(unicode(s[i]) as bigint)]
+                     else [192 + (cast(unicode(s[i]) as bigint) >> 6), 128 + (cast(unicode(s[i]) as bigint) & 63)] end)) as bytes from g),
+h as (select run, c, xor(4294967295, list_reduce(list_prepend(4294967295, bytes), lambda x, y:
+               list_reduce([xor(x, y), 0, 0, 0, 0, 0, 0, 0, 0], lambda u, v: case when u & 1 = 1 then xor(u >> 1, 3988292384) else u >> 1 end))) as h from b),
+w as (select word, cast(sum(c) as bigint) as n from (
+        select case when h % 31 = 0 then left(run, cast(h % length(run) as bigint)) || substr(run, cast(h % length(run) + 2 as bigint)) else run end as word, c from h)
+      where length(word) >= 7 group by word having sum(c) >= 2),
+i as (select word, n, unnest(range(1, length(word) + 2)) as i from w),
+p as (select word, n, left(word, i - 1) || '.' || substr(word, i + 1) as k from i where i <= length(word)
+      union all select word, n, left(word, i - 1) || '.' || substr(word, i) from i),
+e as (select distinct a.word, a.n, b.word as near, b.n as near_n from p a join p b using (k) where a.word <> b.word),
+m as (select word, n, count(*) as n_near, first(near order by near_n desc, near) as form, max(near_n) as form_n from e group by word, n),
+f as (select word, form, form_n from m where form_n >= 10 * n),
+r as (select word, form as root from f union all select r.word, f.form from r join f on r.root = f.word),
+z as (select word, root from r where root not in (select word from f))
+select w.word, f.form, coalesce(z.root, w.word) as root, w.n, coalesce(m.n_near, 0) as n_near, f.form_n
+from w left join m using (word) left join f using (word) left join z using (word)
+"""
+
+
+@query("op12_spelling_variants", SPELLING_SQL)
+def _(t):
+    """Words of all documents with their near words and the form they vary."""
+    return spelling.variants(t.documents)
+
+
+NEGATIVES_SQL = """
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * cast(x as double))) as x
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same, cast(list_inner_product(a.x, b.x) as bigint) as score
+      from v a, v b where a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+p as (select anchor_id, vec_id as positive_id, score as positive_score from s where same
+      qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from (
+  select anchor_id, positive_id, s.vec_id as negative_id, positive_score, score as negative_score,
+         cast(row_number() over (partition by anchor_id, positive_id order by score desc, s.vec_id) as integer) as rank
+  from p join s using (anchor_id)
+  where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score)
+where rank <= 10
+"""
+
+
+@query("op13_hard_negatives", NEGATIVES_SQL)
+def _(t):
+    """Hard negatives of every anchor and positive."""
+    return negatives.hard_negatives(t.embeddings)
