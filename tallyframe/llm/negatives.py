@@ -32,8 +32,8 @@ POSITIVES, NEGATIVES = 5, 10
 #: Bounds of a negative's score in hundredths of the positive's.
 LOWEST, HIGHEST = 30, 90
 SCALE = 256
-#: Room for rounding in a bound.
-SLACK = 1e-9
+#: Room for rounding in a bound: relative, and of angles, whose cosine is flat near 0.
+SLACK, ANGLE_SLACK = 1e-9, 1e-6
 
 
 def prepare(table: DataFrame, id_: str = "vec_id", vector: str = "embedding", label: str = "label") -> DataFrame:
@@ -51,7 +51,7 @@ def prepare(table: DataFrame, id_: str = "vec_id", vector: str = "embedding", la
 
 
 def _matrix(column, width: int) -> np.ndarray:
-    """Rows of whole numbers as float64 where no sum of products can pass 2^53, else as int64."""
+    """The lists as rows of one width, continued by zeros."""
     lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     sizes = np.diff(np.asarray(lists.offsets))
     flat = np.asarray(lists.flatten(), np.int64)
@@ -110,7 +110,7 @@ def walk(group: dict, shard: dict, same: bool, k: int) -> tuple[np.ndarray, np.n
             continue
         a = group["x"][members]
         centre = _unit(_unit(a).mean(0, keepdims=True))[0]
-        widest = np.arccos(np.clip(_unit(a) @ centre, -1, 1)).max() + SLACK
+        widest = np.arccos(np.clip(_unit(a) @ centre, -1, 1)).max() + ANGLE_SLACK
         angle = np.arccos(np.clip(unit @ centre, -1, 1))
         bound = length * np.cos(np.clip(angle - widest, 0, np.pi)) + SLACK * length
         order = np.lexsort((ids, -bound))
