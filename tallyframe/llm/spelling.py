@@ -118,8 +118,12 @@ def near_pairs(words: DataFrame) -> DataFrame:
     keys = words.select(F.explode(F.array(F.struct(F.lit(0).alias("d"), F.col("word").alias("s")),
                                           F.struct(F.lit(1).alias("d"), F.reverse("word").alias("s")))).alias("k")).select("k.*")
     edges = _Edges(edge_table(keys))
-    states = keys.select("d", F.col("s").alias("word"), F.col("s").alias("node"), F.lit("").alias("rest"), F.lit(0).alias("edits"))
     found = []
+    half = lambda node: F.length(node) >= F.floor((F.length("word") + F.col("d")) / 2)  # the last half of a reversed word is the longer one
+    at = lambda frame, node: frame.select("d", "word", F.col(node).alias("node"), F.lit("").alias("rest"), F.lit(0).alias("edits"))
+    words_in = edges.all.where("ends").withColumn("word", F.col("child"))
+    # a word's own node matters where edges leave it; its parent is known from the edge
+    states = at(words_in.where("firsts <> ''"), "child").unionByName(at(words_in.where(half("parent")), "parent"))
     try:
         while True:
             still, edited = states.where("edits = 0"), states.where("edits = 1 and rest <> ''")
@@ -134,8 +138,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
             leave = leave.where(F.startswith("rest", "tail")).withColumn("rest", _rest("rest", F.length("tail")))
             go = edited.withColumn("first", F.substring("rest", 1, 1)).join(edges.down.withColumn("first", first), ["d", "node", "first"])
             go = go.where(F.startswith("rest", "label")).withColumn("rest", _rest("rest", F.length("label")))
-            climb = still.join(edges.up, ["d", "node"]).where(F.length("parent") >= F.floor(F.length("word") / 2))
-            climb = climb.select("d", "word", F.col("parent").alias("node"), F.lit("").alias("rest"), F.lit(0).alias("edits"))
+            climb = at(still.where("node <> word").join(edges.up, ["d", "node"]).where(half("parent")), "parent")
             states = checkpointed(climb.unionByName(_arrive(leave)).unionByName(_arrive(go)))
             found.append(states.where("edits = 1 and rest = ''").select("d", "word", "node"))
             if states.where("edits = 0 or rest <> ''").isEmpty():
@@ -154,7 +157,7 @@ class _Edges:
 
     def __init__(self, edges: DataFrame):
         spark = edges.sparkSession
-        edges = checkpointed(edges)
+        self.all = edges = checkpointed(edges)
         self.names = []
         self.down = self._keep(spark, edges.withColumnRenamed("parent", "node"), ["d", "node", "label", "child", "ends", "firsts"])
         self.up = self._keep(spark, edges.withColumnRenamed("child", "node"), ["d", "node", "parent"])
