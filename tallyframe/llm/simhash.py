@@ -32,14 +32,9 @@ SAMPLE = 65_536  # fingerprints the trees are shaped by; every fingerprint is ro
 BLOCK = 4096  # a shard with more is compared block against block
 
 
-def simhash(text: str, size: int = 4, distinct: bool = False) -> int:
-    """64-bit SimHash of the word shingles, repeats included; fewer words than ``size``: one shingle; none: 0.
-
-    ``distinct`` counts every word once, so that frequent words do not make all texts of a language alike.
-    """
+def simhash(text: str, size: int = 4) -> int:
+    """64-bit SimHash of the word shingles, repeats included; fewer words than ``size``: one shingle; none: 0."""
     words = text.encode("utf-8", "surrogatepass").lower().split()  # on bytes both touch ASCII only
-    if distinct:
-        words = sorted(set(words))
     if not words:
         return 0
     n = max(1, len(words) - size + 1)
@@ -118,43 +113,34 @@ class VantageTree:
         return np.concatenate([p for p, _ in done]), np.concatenate([n for _, n in done])
 
 
-def links_within(fp: np.ndarray, distance: int, ids: np.ndarray | None = None, other: np.ndarray | None = None,
-                 wide: int = 64) -> tuple[np.ndarray, np.ndarray]:
+def links_within(fp: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     """A spanning set of the links at most ``distance`` bits apart: it has the components of all of them.
 
     Each fingerprint is compared with those not yet reached; what is reached leaves the comparison. So a dense
-    group costs about one pass and never gives all its pairs. With ``other``, a second fingerprint of each, a link
-    also needs that one within ``wide`` bits. Links join ``ids``, by default the fingerprints.
+    group costs about one pass and never gives all its pairs.
     """
-    if ids is None:
-        fp = np.unique(fp)
-        ids = fp
-    order = np.argsort(ids, kind="stable")
-    rest, at, src, dst = order, fp[order], [], []
+    fp = np.unique(fp)
+    rest, at, src, dst = np.arange(len(fp)), fp, [], []
     while len(rest):
         stack, rest, at = [rest[0]], rest[1:], at[1:]
         while stack and len(rest):
             p = stack.pop()
             near = np.bitwise_count(at ^ fp[p]) <= distance
-            if other is not None and near.any():
-                some = np.flatnonzero(near)
-                near[some[np.bitwise_count(other[rest[some]] ^ other[p]) > wide]] = False
             if near.any():
                 hit = rest[near]
-                src.append(np.full(len(hit), ids[p], ids.dtype))
-                dst.append(ids[hit])
+                src.append(np.full(len(hit), fp[p], fp.dtype))
+                dst.append(fp[hit])
                 stack.extend(hit)
                 rest, at = rest[~near], at[~near]
     if not src:
-        return np.empty(0, ids.dtype), np.empty(0, ids.dtype)
+        return np.empty(0, fp.dtype), np.empty(0, fp.dtype)
     return np.concatenate(src), np.concatenate(dst)
 
 
 def fingerprint_links(fps: DataFrame, distance: int = DISTANCE, bands: int = BANDS, leaf: int = LEAF, block: int = BLOCK,
-                      sample: int = SAMPLE, wide: int | None = None) -> DataFrame:
+                      sample: int = SAMPLE) -> DataFrame:
     """Distinct ``fp`` longs to links ``(a, b)`` that connect exactly what is within ``distance`` bits.
 
-    With ``wide`` the rows are distinct ``(id, fp, other)``; links join ids and also need ``other`` within ``wide`` bits.
     A shard that holds more than ``block`` fingerprints (many that share a band) is cut by a hash into blocks, and
     every two of its blocks are compared in a task of their own, so no task holds more than two blocks.
     """
@@ -170,21 +156,19 @@ def fingerprint_links(fps: DataFrame, distance: int = DISTANCE, bands: int = BAN
             for t, tree in enumerate(trees):
                 pts, node = tree.route(fp, radius)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(pts), t, np.int32)), pa.array(node.astype(np.int32)), pa.array(fp[pts].view(np.int64)),
-                     *[c.take(pa.array(pts)) for c in b.columns[1:]]], names=["tree", "leaf", *b.schema.names])
+                    [pa.array(np.full(len(pts), t, np.int32)), pa.array(node.astype(np.int32)), pa.array(fp[pts].view(np.int64))],
+                    names=["tree", "leaf", "fp"])
 
-    own = ["fp"] if wide is None else ["fp", "id", "other"]
-    routed = fps.select(*own).mapInArrow(route, "tree int, leaf int, " + ", ".join(f"{c} long" for c in own))
+    routed = fps.select("fp").mapInArrow(route, "tree int, leaf int, fp long")
     sizes = checkpointed(routed.groupBy("tree", "leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block)
                          .select("tree", "leaf", F.ceil(F.col("n") / block).cast("int").alias("s")))
     routed = routed.join(sizes, ["tree", "leaf"], "left").withColumn("s", F.coalesce("s", F.lit(1)))
     routed = routed.withColumn("i", F.pmod(F.xxhash64("fp", "tree"), F.col("s")).cast("int"))
     routed = routed.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("s") - 1)))
-    routed = routed.select("tree", "leaf", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), *own)
+    routed = routed.select("tree", "leaf", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "fp")
 
     def compare(g: pd.DataFrame) -> pd.DataFrame:
-        bits = lambda c: g[c].to_numpy().view(np.uint64)
-        a, b = links_within(bits("fp"), distance) if wide is None else links_within(bits("fp"), distance, g["id"].to_numpy(), bits("other"), wide)
+        a, b = links_within(g["fp"].to_numpy().view(np.uint64), distance)
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
     return routed.groupBy("tree", "leaf", "i", "j").applyInPandas(compare, "a long, b long").distinct()
@@ -212,121 +196,17 @@ def _classes(rows: DataFrame, distance: int, bands: int, **kw) -> DataFrame:
     return named.select("fp", "label").join(named.groupBy("label").agg(F.min("first").alias("component_id")), "label")
 
 
-#: Near copies for ``keep_one``: at least SIMILARITY[0] / SIMILARITY[1] of the 5-word shingles of both are common.
-#: Texts of exactly that similarity share no band with a chance of (1 - 0.8^5)^48, 6 in 10^9; the more alike, the less.
-SIMILARITY, MIN_BANDS, MIN_ROWS = (4, 5), 48, 5
-PAIR_BLOCK = 256  # texts a comparison of whole shingle sets holds twice
-
-
-def shingle_set(text: str, size: int = 5) -> np.ndarray:
-    """Sorted distinct hashes of the shingles of ``simhash``; no words, no shingles."""
-    words = text.encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    runs = {b" ".join(words[i:i + size]) for i in range(max(1, len(words) - size + 1))}
-    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, runs), np.uint64, len(runs)))
-
-
-def _min_bands(s: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    """One hash a band of the ``rows`` MinHashes in it."""
-    rng = np.random.default_rng(9)
-    flip, odd = (rng.integers(0, 2 ** 64, bands * rows, dtype=np.uint64) for _ in range(2))
-    flip, odd = flip[:, None], (odd | np.uint64(1))[:, None]
-    low = np.full(bands * rows, 2 ** 64 - 1, np.uint64)
-    for at in range(0, len(s), 1024):
-        low = np.minimum(low, ((s[None, at:at + 1024] ^ flip) * odd).min(axis=1))
-    low = low.reshape(bands, rows).astype("<u8")
-    return np.array([xxhash.xxh64_intdigest(low[k].tobytes(), k) for k in range(bands)], np.uint64)
-
-
-def alike(common, n, m, similarity: tuple[int, int] = SIMILARITY):
-    """Whether sets of ``n`` and ``m`` with ``common`` elements have at least that Jaccard similarity, in whole numbers."""
-    return common * (similarity[0] + similarity[1]) >= (n + m) * similarity[0]
-
-
-def set_links(ids: list[int], labels: list[int], sets: list[np.ndarray], similarity: tuple[int, int] = SIMILARITY) -> list[tuple[int, int]]:
-    """Links between sets of different labels; those whose labels are joined by a link already are not compared."""
-    up, out = {x: x for x in labels}, []
-
-    def root(x: int) -> int:
-        while up[x] != x:
-            up[x] = up[up[x]]
-            x = up[x]
-        return x
-
-    order = sorted(range(len(ids)), key=lambda i: len(sets[i]))
-    for at, i in enumerate(order):
-        for j in order[at + 1:]:
-            n, m = len(sets[i]), len(sets[j])
-            if not alike(n, n, m, similarity):
-                break
-            if root(labels[i]) != root(labels[j]) and alike(len(np.intersect1d(sets[i], sets[j], assume_unique=True)), n, m, similarity):
-                out.append((ids[i], ids[j]))
-                up[root(labels[i])] = root(labels[j])
-    return out
-
-
-def similar_links(members: DataFrame, sets: DataFrame, similarity: tuple[int, int] = SIMILARITY, block: int = PAIR_BLOCK) -> DataFrame:
-    """Links that connect exactly the sets of ``(id, s)`` that share a band of ``(band, id, n)`` and are alike.
-
-    First all of a band are compared with its smallest id, which settles groups of near copies without pairs. Bands
-    with members that are still apart are then compared in full, in blocks, with their sets.
-    """
-    lead = members.groupBy("band").agg(F.min(F.struct("id", "n")).alias("l"))
-    pairs = members.join(lead, "band").select(F.col("l.id").alias("a"), F.col("l.n").alias("an"), F.col("id").alias("b"), F.col("n").alias("bn"))
-    pairs = pairs.where((F.col("a") != F.col("b")) & alike(F.least("an", "bn"), F.col("an"), F.col("bn"), similarity)).distinct()
-    of = lambda c: sets.select(F.col("id").alias(c), F.col("s").alias(f"{c}s"))
-    both = pairs.join(of("b"), "b").join(of("a"), "a")
-    first = checkpointed(both.where(alike(F.size(F.array_intersect("as", "bs")), F.col("an"), F.col("bn"), similarity)).select("a", "b"))
-    labels = connected_components(first).withColumnRenamed("node", "id")
-    apart = checkpointed(members.join(labels, "id", "left").select("band", "id", F.coalesce("label", "id").alias("label")))
-    left = apart.groupBy("band").agg(F.count(F.lit(1)).alias("k"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-    left = checkpointed(left.where("k > 2 and lo <> hi").select("band", F.ceil(F.col("k") / block).cast("int").alias("w")))
-    cut = apart.join(left, "band").withColumn("x", F.pmod(F.xxhash64("id"), F.col("w")).cast("int"))
-    cut = cut.withColumn("y", F.explode(F.sequence(F.lit(0), F.col("w") - 1)))
-    cut = cut.select("band", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), "id", "label").join(sets, "id")
-
-    def compare(g: pd.DataFrame) -> pd.DataFrame:
-        got = set_links(g["id"].tolist(), g["label"].tolist(), [np.asarray(s) for s in g["s"]], similarity)
-        return pd.DataFrame({"a": pd.Series([a for a, _ in got], dtype="int64"), "b": pd.Series([b for _, b in got], dtype="int64")})
-
-    return first.unionByName(cut.groupBy("band", "x", "y").applyInPandas(compare, "a long, b long"))
-
-
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, similarity: tuple[int, int] = SIMILARITY,
-             bands: int = MIN_BANDS, rows_per_band: int = MIN_ROWS, block: int = PAIR_BLOCK) -> DataFrame:
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 4, distance: int = DISTANCE, bands: int = BANDS, **kw) -> DataFrame:
     """The documents without near-duplicates: of each class the row with the smallest doc_id stays, once.
 
-    Two texts are linked if the Jaccard similarity of their sets of ``size``-word shingles is at least ``similarity``;
-    MinHash bands only find the candidates. A class is what links reach; texts without words are one class.
-    Ties on the id (or classes without any id) are decided by the hash of the row; of fully repeated rows one stays.
-    All columns are returned as they came.
+    Classes are those of ``near_duplicate_classes``; texts without words are linked like any other. Ties on the id (or
+    classes without any id) are decided by the hash of the row; of fully repeated rows one stays. All columns are
+    returned as they came. An empty table gives an empty one.
     """
     cols = docs.columns
-
-    def run(texts: list[str]) -> dict[str, pa.Array]:
-        sets = [shingle_set(t, size) for t in texts]
-        return {"id": pa.array(np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)),
-                "n": pa.array([len(s) for s in sets], pa.int64()),
-                "bands": pa.array([_min_bands(s, bands, rows_per_band).view(np.int64) if len(s) else [] for s in sets], pa.list_(pa.int64()))}
-
-    def hashes(texts: list[str]) -> dict[str, pa.Array]:
-        return {"s": pa.array([shingle_set(t, size).view(np.int64) for t in texts], pa.list_(pa.int64()))}
-
-    t = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    base = docs.select(F.col(doc_id).alias("doc_id"), t.alias("text"), row_hash(docs).alias("h"), F.xxhash64(t).alias("th"))
-    many = T.ArrayType(T.LongType())
-    rows = checkpointed(map_texts(base, run, {"id": T.LongType(), "n": T.LongType(), "bands": many}, "text").drop("text"))
-    each = rows.groupBy("id").agg(F.min("th").alias("th"), F.first("n").alias("n"), F.first("bands").alias("bands"))
-    members = each.select("id", "th", "n", F.explode("bands").alias("band"))
-    shared = members.groupBy("band").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("band")
-    members = checkpointed(members.join(shared, "band"))
-    wanted = checkpointed(members.select("id", "th").distinct())
-    texts = docs.select(t.alias("text"), F.xxhash64(t).alias("th")).join(wanted, "th").groupBy("id").agg(F.min("text").alias("text"))
-    sets = checkpointed(map_texts(texts, hashes, {"s": many}, "text").select("id", "s"))
-    links = similar_links(members.select("band", "id", "n"), sets, similarity, block)
-    labels = connected_components(links).withColumnRenamed("node", "id")
-    rows = checkpointed(rows.join(labels, "id", "left").select("doc_id", "h", F.coalesce("label", "id").alias("label")))
+    base = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), row_hash(docs).alias("h"))
+    rows = checkpointed(with_fingerprint(base, size=size, name="fp").drop("text"))
+    rows = checkpointed(rows.join(_classes(rows, distance, bands, **kw).select("fp", "label"), "fp").select("doc_id", "h", "label"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id"), F.col("h"))).alias("w")
     won = checkpointed(rows.groupBy("label").agg(first).select(F.col("w.h").alias("__h"), F.col("w.doc_id").alias("__d")))
     copies = checkpointed(rows.groupBy("h", "doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")

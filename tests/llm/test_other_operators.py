@@ -296,6 +296,26 @@ def test_pipeline_stages(spark, tmp_path, odd_docs, no_docs):
     assert {r.doc_id for r in docs.collect()} == set(after)
 
 
+def test_pipeline_on_odd_and_empty_tables(spark, tmp_path, odd_docs, no_docs):
+    """Odd rows pass all stages: one of the texts without words and one of each group of copies stays; empty stays empty."""
+    import corpus_pipeline as P
+    from tests.llm.test_simhash import near_classes
+
+    for docs, empty in ((odd_docs, False), (no_docs, True)):
+        for k, (name, stage) in enumerate(P.STAGES):
+            out = stage(spark, docs, FOLDER)
+            assert name == "packing" or out.columns == docs.columns
+            before = docs.collect()
+            at = f"{tmp_path}/{empty}{k}"
+            out.write.parquet(at)
+            docs = spark.read.schema(out.schema).parquet(at)
+            if name == "near_dedup":
+                assert docs.count() == len(set(near_classes([r.text or "" for r in before])))
+            if name == "secrets":
+                assert docs.count() == len(before)
+        assert (docs.count() == 0) == empty
+
+
 def test_text_hash_is_that_of_the_edited_text(spark):
     import __spark_entry__ as entry
 

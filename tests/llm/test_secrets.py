@@ -55,21 +55,6 @@ def test_weak_parts_need_a_complement_in_reach(scanned):
     assert far == ""
 
 
-def test_interval_join_equals_all_pairs(spark):
-    rng = __import__("random").Random(5)
-    parts = [lambda: "user=u%05d" % rng.randrange(10 ** 5), lambda: "Ab1" + "".join(rng.choice("xyzXYZ189") for _ in range(25)),
-             lambda: "https://h%d.example/x" % rng.randrange(99), lambda: "word" * rng.randrange(1, 60)]
-    docs = [(i, " ".join(rng.choice(parts)() for _ in range(40))) for i in range(25)]
-    got = {r.doc_id: {(s.start, secrets.KINDS[s.kind], s.end) for s in r.linked}
-           for r in secrets.scan(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
-    for i, t in docs:
-        found = [(m.start(), k, m.end()) for k in secrets.WEAK for m in re.finditer(secrets.WEAK[k][0], t)]
-        kind = lambda ks, s: any(k in ks and abs(a - s) <= secrets.REACH for a, k, _ in found)
-        need = {"user": lambda s: kind(secrets.SECRETS, s), "value": lambda s: kind(secrets.NAMES, s),
-                "endpoint": lambda s: kind(secrets.SECRETS, s) and kind(secrets.NAMES, s)}
-        assert got[i] == {x for x in found if need[x[1]](x[0])}
-
-
 def test_redaction_keeps_documents_and_columns(spark, odd_docs, no_docs):
     assert secrets.redact(no_docs).columns == no_docs.columns and secrets.redact(no_docs).count() == 0
     out = secrets.redact(odd_docs)

@@ -33,17 +33,8 @@ def classes(fps, distance=4):
 
 
 def near_classes(texts):
-    """Brute force of the linking rule of ``keep_one``."""
-    words = [simhash.simhash(t, 1, True) for t in texts]
-    runs = [simhash.simhash(t, 5) for t in texts]
-    near = lambda i, j: (words[i] ^ words[j]).bit_count() <= 7 and (runs[i] ^ runs[j]).bit_count() <= 16
-    root = list(range(len(texts)))
-    for i in range(len(texts)):
-        for j in range(i):
-            if near(i, j) and root[i] != root[j]:
-                a, b = sorted((root[i], root[j]))
-                root = [a if x == b else x for x in root]
-    return root
+    """Brute force of the classes of ``keep_one``."""
+    return classes([plain_simhash(t) for t in texts])
 
 
 def test_fingerprint_and_classes(spark, odd_docs):
@@ -93,49 +84,3 @@ def test_keep_one(spark, odd_docs, no_docs):
     root = near_classes([r.text or "" for r in rows])
     want = [min((rows[i].doc_id for i in range(len(rows)) if root[i] == k and rows[i].doc_id is not None), default=None) for k in set(root)]
     assert kept == sorted(map(str, want))
-
-
-def jaccard_classes(texts):
-    """Brute force over all pairs: a link is a Jaccard similarity of the 5-word shingles of 0.8 or more."""
-    sets = []
-    for t in texts:
-        w = t.encode().lower().split()
-        sets.append({b" ".join(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
-    root, near = list(range(len(texts))), []
-    for i in range(len(texts)):
-        for j in range(i):
-            common = len(sets[i] & sets[j])
-            if sets[i] == sets[j] or 5 * common >= 4 * (len(sets[i]) + len(sets[j]) - common) > 0:
-                a, b = sorted((root[i], root[j]))
-                root = [a if x == b else x for x in root]
-                near.append((i, j))
-    return root, near
-
-
-@pytest.mark.parametrize("block", [256, 3])
-def test_keep_one_links_exact_similarity_alone(spark, block):
-    rng = np.random.default_rng(11)
-    vocab = [f"w{i}" for i in range(4000)]
-    words = lambda n: [vocab[i] for i in rng.integers(0, len(vocab), n)]
-
-    def edited(w, n):
-        w = list(w)
-        for i in rng.choice(len(w), n, replace=False):
-            w[i] = "new" + str(rng.integers(10 ** 6))
-        return w
-
-    texts = [[], [], ["one"], ["One"]]
-    for n in (6, 12, 60, 150, 400):
-        for _ in range(4):
-            base = words(n)
-            texts += [base, base + ["end"], *[edited(base, k) for k in (1, max(1, n // 60), max(1, n // 45), max(1, n // 40), max(1, n // 25), max(1, n // 10))]]
-            texts.append(base[: n // 2] + words(n // 2))
-    # the same words in another order: alike in words, not in shingles
-    base = words(200)
-    texts += [base, base[100:] + base[:100], base[::-1]]
-    texts += [edited(base, 3) for _ in range(20)]
-    texts = [" ".join(t) for t in texts]
-    root, near = jaccard_classes(texts)
-    assert len(near) > 60 and len(set(root)) > 60
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
-    assert sorted(r.doc_id for r in simhash.keep_one(df, block=block).collect()) == sorted(set(root))
