@@ -31,19 +31,26 @@ DRIFT = 0.7
 PRIOR = 3.0
 SURE = 0.01  # a prior's share stays this far from 0 and 1
 BACKGROUND = 1000.0
-CACHE = 400_000  # words kept per task
+CACHE = 200_000  # distinct words kept per task
+STEP = 100_000  # tokens whose weights are looked up together; a longer text is a step of its own
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _CHUNK = re.compile(r"\S+")
 
 
+#: Checksums of what stands before a word or its prefix in the name of a feature.
+_WORD, _PREFIX = zlib.crc32(b"w:"), [(k, zlib.crc32(f"{k}:".encode())) for k in PREFIXES]
+
+
 def _features(word: str) -> list[int]:
     """Buckets of a word from coarse to fine: its prefixes, then itself."""
-    parts = [f"{k}:{word[:k]}" for k in PREFIXES if len(word) > k] + [f"w:{word}"]
-    return [zlib.crc32(p.encode("utf-8", "surrogatepass")) % BUCKETS for p in parts]
+    whole = word.encode("utf-8", "surrogatepass")
+    part = whole.__getitem__ if len(whole) == len(word) else lambda s: word[s].encode("utf-8", "surrogatepass")
+    return [zlib.crc32(part(slice(k)), c) % BUCKETS for k, c in _PREFIX if len(word) > k] + [zlib.crc32(whole, _WORD) % BUCKETS]
 
 
 def _word(chunk: str) -> str:
-    return _EDGE.sub("", chunk.lower())
+    low = chunk.lower()
+    return low if low.isalpha() else _EDGE.sub("", low)
 
 
 @dataclass
@@ -59,28 +66,48 @@ class Model:
     k: float = 0.1
     curve: tuple[float, float, float] = (-1.0, 0.0, 1.0)
 
-    def weight(self, chunk: str) -> float:
-        """Log-odds of a white-space delimited token less the drift; a token without letters or digits has the drift only."""
-        word = _word(chunk)
-        if not word:
-            return -DRIFT
+    def weights(self, chunks: list[str]) -> np.ndarray:
+        """Log-odds of white-space delimited tokens less the drift; a token without letters or digits has the drift only."""
+        words = [_word(c) for c in chunks]
+        buckets = [_features(w) if w else [] for w in words]
+        levels = np.full((len(chunks), len(PREFIXES) + 1), -1, np.int64)
+        for i, b in enumerate(buckets):
+            levels[i, : len(b)] = b
         base = self.n_toxic / self.n_clean
-        odds = base
-        for b in _features(word):
-            q, s = min(max(odds / (1 + odds), SURE), 1 - SURE), float(self.prior[b])  # a sure prefix never decides alone
-            odds = (float(self.toxic[b]) + s * q) / (float(self.clean[b]) + s * (1 - q))
-        return float(np.log(odds / base)) - DRIFT
+        odds = np.full(len(chunks), base)
+        for b in levels.T:
+            i = np.flatnonzero(b >= 0)
+            b = b[i]
+            q, s = np.clip(odds[i] / (1 + odds[i]), SURE, 1 - SURE), self.prior[b].astype(float)  # a sure prefix never decides alone
+            odds[i] = (self.toxic[b] + s * q) / (self.clean[b] + s * (1 - q))
+        return np.where(levels[:, 0] < 0, -DRIFT, np.log(odds / base) - DRIFT)
 
+    def weight(self, chunk: str) -> float:
+        return float(self.weights([chunk])[0])
 
-class _Weights(dict):
-    def __init__(self, model: Model):
-        self.model = model
 
-    def __missing__(self, chunk: str) -> float:
-        if len(self) > CACHE:
-            self.clear()
-        w = self[chunk] = self.model.weight(chunk)
-        return w
+class _Weights:
+    """Weights of the tokens of one task, kept for at most CACHE distinct ones."""
+
+    def __init__(self, model: Model):
+        self.model, self.known = model, {}
+
+    def of(self, texts: list[list[str]]) -> Iterator[np.ndarray]:
+        """The weights of each list of tokens; what is not known yet is computed for some texts together."""
+        at = 0
+        while at < len(texts):
+            new, end, n = set(), at, 0
+            while end < len(texts) and (end == at or n + len(texts[end]) < STEP):
+                n += len(texts[end])
+                new.update(texts[end])
+                end += 1
+            if len(self.known) + len(new) > CACHE:
+                self.known.clear()
+            new = list(new.difference(self.known))
+            self.known.update(zip(new, self.model.weights(new).tolist()))
+            for chunks in texts[at:end]:
+                yield np.fromiter(map(self.known.__getitem__, chunks), float, len(chunks))
+            at = end
 
 
 def maximal_segments(w: np.ndarray) -> list[tuple[int, int, float]]:
@@ -227,8 +254,8 @@ def _calibrate(held: DataFrame, model: Model) -> Model:
         w = _Weights(sent.value)
         for batch in batches:
             out = []
-            for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                x = np.array([w[k] for k in (t or "").split()], float)
+            chunks = [(t or "").split() for t in batch.column(0).to_pylist()]
+            for x, y in zip(w.of(chunks), batch.column(1).to_pylist()):
                 hist = Counter(np.round(np.clip(x, -8, 8) * 16).astype(int).tolist()) if y == 0 else {}
                 out.append((y, len(x), [s for *_, s in maximal_segments(x)], list(hist.keys()), list(hist.values())))
             cols = list(zip(*out)) if out else [()] * 5
@@ -260,17 +287,18 @@ def score_texts(docs: DataFrame, model: Model, text: str = "text", name: str = "
     A null or empty text has no segments and the score of a text without any. Other columns pass through.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    task: list[_Weights] = []  # every task has its own copy, gone with the task
 
     def run(texts: list[str]) -> dict[str, pa.Array]:
         model, scores, spans = sent.value, [], []
-        w = _task_weights(model)
+        if not task:
+            task.append(_Weights(model))
         b0, b1, b2 = model.curve
-        for t in texts:
-            chunks = t.split()
-            found = maximal_segments(np.array([w[k] for k in chunks], float))
-            x1, x2 = excess([s for *_, s in found], len(chunks), model)
+        for t, w in zip(texts, (x for part in _parts(texts) for x in task[0].of([t.split() for t in part]))):
+            found = maximal_segments(w)
+            x1, x2 = excess([s for *_, s in found], len(w), model)
             scores.append(1 / (1 + np.exp(-np.clip(b0 + b1 * x1 + b2 * x2, -30, 30))))
-            base = np.log(model.k * max(len(chunks), 1) + 1e-9)
+            base = np.log(model.k * max(len(w), 1) + 1e-9)
             good = [(a, b, model.lam * s - base) for a, b, s in found if model.lam * s > base]
             if good:
                 at = [m.span() for m in _CHUNK.finditer(t)]
@@ -282,14 +310,16 @@ def score_texts(docs: DataFrame, model: Model, text: str = "text", name: str = "
     return map_texts(docs, run, {name: T.DoubleType(), segments: SEGMENTS}, text)
 
 
-_KEPT: list = [None, None]
-
-
-def _task_weights(model: Model) -> _Weights:
-    """The word cache of this worker for this model."""
-    if _KEPT[0] is not model:
-        _KEPT[0], _KEPT[1] = model, _Weights(model)
-    return _KEPT[1]
+def _parts(texts: list[str], most: int = 2_000_000) -> Iterator[list[str]]:
+    """The texts in runs of about ``most`` characters, so that few are held as tokens at a time."""
+    at = size = 0
+    for k, t in enumerate(texts):
+        if k > at and size + len(t) > most:
+            yield texts[at:k]
+            at, size = k, 0
+        size += len(t)
+    if at < len(texts):
+        yield texts[at:]
 
 
 def keep_clean(docs: DataFrame, model: Model, text: str = "text", at: float = 0.5) -> DataFrame:
