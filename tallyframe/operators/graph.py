@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.operators.ordered import one_row
-from tallyframe.session import checkpointed
+from tallyframe.operators.ordered import one_row, row_index
+from tallyframe.session import bucketed, checkpointed
 
 
 def both_ways(edges: DataFrame) -> DataFrame:
@@ -45,29 +45,30 @@ def pagerank(edges: DataFrame, rounds: int = 100, damping: float = 0.85, tol: fl
     Contributions are summed before the shuffle, so a hub costs one row per task. The loop ends when the summed
     change is below n·tol and raises if ``rounds`` do not get there; without ``tol`` it makes exactly ``rounds``.
     """
-    e = checkpointed(both_ways(edges))
-    deg = e.groupBy("a").agg(F.count(F.lit(1)).alias("deg"))
-    base = deg if nodes is None else nodes.select(F.col("node").alias("a")).join(deg, "a", "left").na.fill(0, ["deg"])
-    base = checkpointed(base)
-    n = base.count()
-    has_dangling = nodes is not None
-    r = base.select("a", "deg", F.lit(1.0 / n).alias("rank"))
-    for i in range(rounds):
-        share = r.where("deg > 0").select("a", (F.col("rank") / F.col("deg")).alias("s"))
-        got = e.join(share, "a").groupBy(F.col("b").alias("__b")).agg(F.sum("s").alias("s"))
-        loose = F.coalesce(r.where("deg = 0").agg(F.sum("rank")).scalar(), F.lit(0.0)) if has_dangling else F.lit(0.0)
-        nxt = r.join(got, F.col("a") == F.col("__b"), "left").select(
-            "a", "deg", F.col("rank").alias("old"),
-            ((1 - damping) / n + damping * (F.coalesce("s", F.lit(0.0)) + loose / n)).alias("rank"))
-        if (i + 1) % every == 0 or i + 1 == rounds or tol is not None:
-            nxt = checkpointed(nxt)
-        if tol is not None and nxt.agg(F.sum(F.abs(F.col("rank") - F.col("old")))).first()[0] < n * tol:
-            r = nxt
-            break
-        r = nxt.drop("old")
-    else:
-        if tol is not None:
-            raise RuntimeError(f"PageRank did not converge in {rounds} rounds")
+    with bucketed(both_ways(edges), "a") as e:
+        deg = e.groupBy("a").agg(F.count(F.lit(1)).alias("deg"))
+        base = deg if nodes is None else nodes.select(F.col("node").alias("a")).join(deg, "a", "left").na.fill(0, ["deg"])
+        base = checkpointed(base)
+        n = base.count()
+        has_dangling = nodes is not None
+        r = base.select("a", "deg", F.lit(1.0 / n).alias("rank"))
+        for i in range(rounds):
+            share = r.where("deg > 0").select("a", (F.col("rank") / F.col("deg")).alias("s"))
+            got = e.join(share, "a").groupBy(F.col("b").alias("__b")).agg(F.sum("s").alias("s"))
+            loose = F.coalesce(r.where("deg = 0").agg(F.sum("rank")).scalar(), F.lit(0.0)) if has_dangling else F.lit(0.0)
+            nxt = r.join(got, F.col("a") == F.col("__b"), "left").select(
+                "a", "deg", F.col("rank").alias("old"),
+                ((1 - damping) / n + damping * (F.coalesce("s", F.lit(0.0)) + loose / n)).alias("rank"))
+            last = i + 1 == rounds
+            if (i + 1) % every == 0 or last or tol is not None:
+                nxt = checkpointed(nxt)
+            if tol is not None and nxt.agg(F.sum(F.abs(F.col("rank") - F.col("old")))).first()[0] < n * tol:
+                r = nxt
+                break
+            r = nxt.drop("old")
+        else:
+            if tol is not None:
+                raise RuntimeError(f"PageRank did not converge in {rounds} rounds")
     return r.select(F.col("a").alias("node"), "rank")
 
 
@@ -104,48 +105,107 @@ def closeness(paths: DataFrame) -> DataFrame:
         F.try_divide(F.col("r"), F.col("s")) * F.try_divide(F.col("r"), n - 1), F.lit(0.0)).alias("closeness"))
 
 
-def betweenness(edges: DataFrame, sources: DataFrame | None = None) -> DataFrame:
+def distance_sums(edges: DataFrame, sources: DataFrame | None = None, words: int = 16) -> DataFrame:
+    """``(node, reached, total, farthest)`` over the shortest paths between each node and the sources (default: all nodes).
+
+    Breadth-first search from 64 sources per word at once: a node's state is one bit per source, a level is one ``bit_or``
+    over its neighbours, and what a level adds is counted on the spot. So a round holds one row per node whatever the number
+    of sources, and no table of pairs is kept. The sources go in portions of 64 * ``words``; each portion adds to the sums.
+    """
+    with bucketed(both_ways(edges), "a") as e:
+        nodes = checkpointed(e.select(F.col("a").alias("node")).distinct())
+        src = nodes if sources is None else nodes.join(sources.select(F.col("source").alias("node")).distinct(), "node", "left_semi")
+        numbered = checkpointed(row_index(src, "node", "node").select("node", (F.col("rn") - 1).alias("i")))
+        n, portion = numbered.count(), 64 * words
+        parts = []
+        for p in range(0, n, portion):
+            here = F.when((F.col("i") >= p) & (F.col("i") < p + portion), F.col("i") - p)
+            start = nodes.join(numbered, "node", "left").select("node", here.alias("i"))
+            bit = lambda k: F.when(F.floor(F.col("i") / 64) == k, F.expr("shiftleft(1L, cast(i % 64 as int))"))
+            state = start.select("node", *[F.coalesce(bit(k), F.lit(0).cast("long")).alias(f"s{k}") for k in range(words)])
+            state = checkpointed(state.select("node", *[F.col(f"s{k}") for k in range(words)], *[F.col(f"s{k}").alias(f"f{k}") for k in range(words)],
+                                              F.lit(0).cast("long").alias("reached"), F.lit(0).cast("long").alias("total"), F.lit(0).alias("farthest")))
+            level = 0
+            while True:
+                level += 1
+                front = state.where(" or ".join(f"f{k} <> 0" for k in range(words))).select(F.col("node").alias("a"), *[f"f{k}" for k in range(words)])
+                got = e.join(front, "a").groupBy(F.col("b").alias("node")).agg(*[F.bit_or(f"f{k}").alias(f"g{k}") for k in range(words)])
+                new = [F.coalesce(F.col(f"g{k}").bitwiseAND(F.bitwise_not(f"s{k}")), F.lit(0).cast("long")) for k in range(words)]
+                step = state.join(got, "node", "left").select("node", "reached", "total", "farthest", *[f"s{k}" for k in range(words)],
+                                                              *[x.alias(f"f{k}") for k, x in enumerate(new)])
+                added = sum((F.bit_count(f"f{k}") for k in range(words)), F.lit(0)).cast("long")
+                state = checkpointed(step.select(
+                    "node", *[F.col(f"s{k}").bitwiseOR(F.col(f"f{k}")).alias(f"s{k}") for k in range(words)], *[f"f{k}" for k in range(words)],
+                    (F.col("reached") + added).alias("reached"), (F.col("total") + level * added).alias("total"),
+                    F.when(added > 0, F.lit(level)).otherwise(F.col("farthest")).alias("farthest")))
+                if state.where(" or ".join(f"f{k} <> 0" for k in range(words))).isEmpty():
+                    break
+            parts.append(state.select("node", "reached", "total", "farthest"))
+        out = parts[0] if parts else nodes.select("node", F.lit(0).cast("long").alias("reached"), F.lit(0).cast("long").alias("total"), F.lit(0).alias("farthest"))
+        for x in parts[1:]:
+            out = out.unionByName(x)
+        return checkpointed(out.groupBy("node").agg(F.sum("reached").alias("reached"), F.sum("total").alias("total"), F.max("farthest").alias("farthest")))
+
+
+def closeness_from_sums(sums: DataFrame) -> DataFrame:
+    """Closeness of every node from the distance sums over all nodes; a node that reaches none has 0."""
+    n = sums.agg(F.count(F.lit(1))).scalar()
+    c = F.try_divide(F.col("reached").cast("double"), F.col("total")) * F.try_divide(F.col("reached").cast("double"), n - 1)
+    return sums.select("node", F.coalesce(c, F.lit(0.0)).alias("closeness"))
+
+
+#: Rows of (source, node) that a portion of a betweenness run holds at a level.
+PORTION_ROWS = 1 << 26
+
+
+def betweenness(edges: DataFrame, sources: DataFrame | None = None, portion_rows: int = PORTION_ROWS) -> DataFrame:
     """Share of shortest paths through each node, normalised by (n-1)(n-2)/2.
 
-    Path counts grow level by level outward, dependencies are summed level by
-    level inward; all sources advance together. ``sources`` limits the work to
-    a portion whose partial sums can be added up.
+    Path counts grow level by level outward, dependencies are summed level by level inward. Sources advance in portions, so
+    that a portion's states stay below ``portion_rows`` rows; a portion leaves one sum per node. ``sources`` takes some
+    nodes only (as pivots on graphs too large for all); their sums are not scaled up.
     """
-    e = checkpointed(both_ways(edges))
-    nodes = e.select(F.col("a").alias("node")).distinct()
-    src = nodes.select(F.col("node").alias("source")) if sources is None else sources
-    level = checkpointed(src.select("source", F.col("source").alias("node"), F.lit(1.0).alias("sigma")))
+    with bucketed(both_ways(edges), "a") as e:
+        nodes = checkpointed(e.select(F.col("a").alias("node")).distinct())
+        src = nodes.select(F.col("node").alias("source")) if sources is None else sources.select("source").distinct()
+        n = nodes.count()
+        k = max(1, -(-src.count() * n // portion_rows))
+        src = checkpointed(src.withColumn("portion", F.pmod(F.xxhash64("source"), F.lit(k))))
+        parts = [_dependencies(e, src.where(F.col("portion") == p).select("source")) for p in range(k)]
+        total = parts[0]
+        for x in parts[1:]:
+            total = total.unionByName(x)
+        got = nodes.join(total.groupBy("node").agg(F.sum("delta").alias("delta")), "node", "left")
+        share = F.coalesce("delta", F.lit(0.0)) / F.lit(float((n - 1) * (n - 2))) if n > 2 else F.lit(0.0)
+        return checkpointed(got.select("node", share.alias("betweenness")))
+
+
+def _dependencies(e: DataFrame, sources: DataFrame) -> DataFrame:
+    """``(node, delta)``: what all shortest paths from the sources pass through each node, written."""
+    level = checkpointed(sources.select("source", F.col("source").alias("node"), F.lit(1.0).alias("sigma")))
     levels, seen = [level], level.select("source", "node")
     while True:
-        nxt = level.join(e, level.node == e.a).groupBy("source", F.col("b").alias("node")).agg(F.sum("sigma").alias("sigma"))
+        nxt = e.join(level.withColumnRenamed("node", "a"), "a").groupBy("source", F.col("b").alias("node")).agg(F.sum("sigma").alias("sigma"))
         level = checkpointed(nxt.join(seen, ["source", "node"], "left_anti"))
         if level.isEmpty():
             break
         levels.append(level)
-        seen = checkpointed(seen.unionByName(level.select("source", "node")))
-    total = None
-    below = None  # (source, node, sigma, delta) of the level further out
-    for lv in range(len(levels) - 1, 0, -1):
-        cur = levels[lv]
+        seen = levels[-2].select("source", "node").unionByName(level.select("source", "node"))  # a neighbour is at most one level back
+    total, below = None, None  # (source, node, sigma, delta) of the level further out
+    for cur in reversed(levels[1:]):
         if below is None:
             d = cur.withColumn("delta", F.lit(0.0))
         else:
-            b = below.select("source", F.col("node").alias("w"), ((1 + F.col("delta")) / F.col("sigma")).alias("unit"))
-            gain = b.join(e, b.w == e.a).select("source", F.col("b").alias("node"), "unit")
-            gain = gain.groupBy("source", "node").agg(F.sum("unit").alias("unit"))
+            unit = below.select("source", F.col("node").alias("a"), ((1 + F.col("delta")) / F.col("sigma")).alias("unit"))
+            gain = e.join(unit, "a").groupBy("source", F.col("b").alias("node")).agg(F.sum("unit").alias("unit"))
             d = cur.join(gain, ["source", "node"], "left").select(
                 "source", "node", "sigma", F.coalesce(F.col("sigma") * F.col("unit"), F.lit(0.0)).alias("delta"))
         below = checkpointed(d)
         part = below.groupBy("node").agg(F.sum("delta").alias("delta"))
         total = part if total is None else total.unionByName(part)
-    n = nodes.agg(F.count(F.lit(1))).scalar()
-    base = nodes.withColumn("__n", n)
-    if total is not None:
-        base = base.join(total.groupBy("node").agg(F.sum("delta").alias("delta")), "node", "left")
-    else:
-        base = base.withColumn("delta", F.lit(0.0))
-    score = F.try_divide(F.coalesce("delta", F.lit(0.0)), (F.col("__n") - 1) * (F.col("__n") - 2))
-    return base.select("node", F.coalesce(score, F.lit(0.0)).alias("betweenness"))
+    if total is None:
+        total = levels[0].select("node", F.lit(0.0).alias("delta"))
+    return checkpointed(total.groupBy("node").agg(F.sum("delta").alias("delta")))
 
 
 def triangles(edges: DataFrame) -> DataFrame:

@@ -1,5 +1,5 @@
-"""Graph queries. Linear measures run on the market graph, whose nodes and edges grow with the tables;
-measures with one result per node pair run on the trade graph of nations, summed from all line items."""
+"""Graph queries on graphs whose nodes and edges grow with the tables: most on the market graph, those over all
+shortest paths on the sparser graph of main suppliers and home nations."""
 
 from __future__ import annotations
 
@@ -53,47 +53,54 @@ def pagerank(t):
     return G.pagerank(views.market_graph(t), ROUNDS).withColumn("rank", F.round("rank", 10))
 
 
-BFS = views.TRADE.replace("WITH", "") + """,
-bfs(source, node, dist) AS (
-  SELECT DISTINCT a, a, 0 FROM gg
-  UNION SELECT source, b, dist + 1 FROM bfs JOIN gg ON node = a WHERE dist < 24),
-sp AS (SELECT source, node, min(dist) AS dist FROM bfs GROUP BY 1, 2)
-"""
+LEVELS = 12
 
 
-def trade_paths(t):
-    return G.shortest_paths(checkpointed(views.trade_graph(t)))
+def _levels() -> str:
+    """Path counts of every source level by level; the levels past the last are empty."""
+    out = ["l0 AS MATERIALIZED (SELECT DISTINCT a AS source, a AS node, 1::DOUBLE AS sigma FROM gg)"]
+    for k in range(1, LEVELS + 1):
+        old = f"SELECT source, node FROM l{k - 1}" + (f" UNION ALL SELECT source, node FROM l{k - 2}" if k > 1 else "")
+        out.append(f"""l{k} AS MATERIALIZED (SELECT * FROM (SELECT source, b AS node, sum(sigma) AS sigma FROM l{k - 1} JOIN gg ON node = a GROUP BY 1, 2) x
+          WHERE NOT EXISTS (SELECT 1 FROM ({old}) o WHERE o.source = x.source AND o.node = x.node))""")
+    return ", ".join(out)
+
+
+def _inward() -> str:
+    """Dependencies of every source, from the outermost level inward."""
+    out = [f"d{LEVELS} AS (SELECT *, 0::DOUBLE AS delta FROM l{LEVELS})"]
+    for k in range(LEVELS - 1, 0, -1):
+        out.append(f"""d{k} AS MATERIALIZED (SELECT l.source, l.node, l.sigma, coalesce(l.sigma * g.unit, 0) AS delta FROM l{k} l LEFT JOIN
+          (SELECT source, b AS node, sum((1 + delta) / sigma) AS unit FROM d{k + 1} JOIN gg ON node = a GROUP BY 1, 2) g USING (source, node))""")
+    return ", ".join(out)
+
+
+PATHS = f"{views.HOME}, {_levels()}, sp AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT source, node, {k} AS dist FROM l{k}" for k in range(LEVELS + 1)) + \
+    "), sums AS (SELECT node, count(*) FILTER (dist > 0) AS reached, CAST(sum(dist) AS BIGINT) AS total, max(dist) AS farthest FROM sp GROUP BY 1)"
 
 
-@query("shortest_paths", f"WITH RECURSIVE {BFS} SELECT source, node, dist, (SELECT round(avg(dist), 8) FROM sp WHERE dist > 0) AS mean_distance FROM sp")
+@query("shortest_paths", f"""WITH {PATHS} SELECT node, reached, total, farthest, round(total / nullif(reached, 0), 8) AS mean_distance,
+  round((SELECT sum(total) / sum(reached) FROM sums), 8) AS graph_mean FROM sums""")
 def shortest_paths(t):
-    p = trade_paths(t)
-    return p.withColumn("mean_distance", F.round(G.path_summary(p).select("mean_distance").scalar(), 8))
+    """Reached nodes, distance sum, farthest and mean distance of every node, and the mean over all pairs."""
+    s = G.distance_sums(views.home_graph(t))
+    mean = s.agg(F.try_divide(F.sum("total"), F.sum("reached"))).scalar()
+    return s.select("node", "reached", "total", "farthest", F.round(F.try_divide("total", "reached"), 8).alias("mean_distance"),
+                    F.round(mean, 8).alias("graph_mean"))
 
 
 @query("closeness_centrality", f"""
-WITH RECURSIVE {BFS}, c AS (SELECT source, count(*) FILTER (dist > 0) AS r, sum(dist) AS s FROM sp GROUP BY 1)
-SELECT source AS node, round(coalesce(r / nullif(s, 0) * r / ((SELECT count(*) FROM c) - 1), 0), 10) AS closeness FROM c""")
+WITH {PATHS} SELECT node, round(coalesce(reached / nullif(total, 0) * reached / ((SELECT count(*) FROM sums) - 1), 0), 10) AS closeness FROM sums""")
 def closeness_centrality(t):
-    return G.closeness(trade_paths(t)).withColumn("closeness", F.round("closeness", 10))
+    return G.closeness_from_sums(G.distance_sums(views.home_graph(t))).withColumn("closeness", F.round("closeness", 10))
 
 
 @query("betweenness_centrality", f"""
-WITH RECURSIVE {BFS},
-wk(source, node, d) AS (SELECT DISTINCT a, a, 0 FROM gg
-  UNION ALL SELECT wk.source, gg.b, wk.d + 1 FROM wk JOIN gg ON wk.node = gg.a JOIN sp ON sp.source = wk.source AND sp.node = gg.b AND sp.dist = wk.d + 1),
-sg AS (SELECT source, node, count(*) AS sigma FROM wk GROUP BY 1, 2),
-tr AS (SELECT s.source AS s, t.node AS t, v.node AS v, s1.sigma * s2.sigma / st.sigma AS share
-  FROM sp s JOIN sp t ON s.source = t.source AND s.node = s.source AND t.dist > 0
-  JOIN sp v ON v.source = s.source AND v.node <> s.source AND v.node <> t.node
-  JOIN sp vt ON vt.source = v.node AND vt.node = t.node AND v.dist + vt.dist = t.dist
-  JOIN sg s1 ON s1.source = s.source AND s1.node = v.node JOIN sg s2 ON s2.source = v.node AND s2.node = t.node
-  JOIN sg st ON st.source = s.source AND st.node = t.node),
-n AS (SELECT DISTINCT a AS node FROM gg)
-SELECT n.node, round(coalesce(sum(share), 0) / (((SELECT count(*) FROM n) - 1) * ((SELECT count(*) FROM n) - 2)), 8) AS betweenness
-FROM n LEFT JOIN tr ON tr.v = n.node GROUP BY 1""")
+WITH {views.HOME}, {_levels()}, {_inward()}, tr AS (SELECT node, sum(delta) AS delta FROM (
+  {" UNION ALL ".join(f"SELECT node, delta FROM d{k}" for k in range(1, LEVELS + 1))}) GROUP BY 1), n AS (SELECT DISTINCT a AS node FROM gg)
+SELECT node, round(coalesce(delta, 0) / (((SELECT count(*) FROM n) - 1) * ((SELECT count(*) FROM n) - 2)), 8) AS betweenness FROM n LEFT JOIN tr USING (node)""")
 def betweenness_centrality(t):
-    return G.betweenness(checkpointed(views.trade_graph(t))).withColumn("betweenness", F.round("betweenness", 8))
+    return G.betweenness(views.home_graph(t)).withColumn("betweenness", F.round("betweenness", 8))
 
 
 @query("clustering_coefficient", f"""

@@ -252,6 +252,34 @@ gg AS (SELECT u AS a, v AS b FROM g UNION ALL SELECT v, u FROM g)
 """
 
 
+def home_graph(t: Tables) -> DataFrame:
+    """Customers, suppliers and nations with one link per customer to its main supplier, and one per customer and supplier
+    to its nation: a sparse graph whose nodes and edges grow with the rows. Node numbers as in ``market_graph``.
+
+    The main supplier is the one with most lines (ties: the smallest key).
+    """
+    per = t.lineitem.groupBy("l_orderkey", "l_suppkey").agg(F.count(F.lit(1)).alias("n"))
+    per = per.join(t.orders.select("o_orderkey", "o_custkey"), per.l_orderkey == F.col("o_orderkey"))
+    per = per.groupBy("o_custkey", "l_suppkey").agg(F.sum("n").alias("n"))
+    main = per.groupBy("o_custkey").agg(F.min(F.struct(-F.col("n"), F.col("l_suppkey").alias("s"))).alias("m"))
+    main = main.select((F.col("o_custkey") * 3 + 1).alias("x"), (F.col("m.s") * 3 + 2).alias("y"))
+    home_c = t.customer.select((F.col("c_custkey") * 3 + 1).alias("x"), (F.col("c_nationkey").cast("long") * 3).alias("y"))
+    home_s = t.supplier.select((F.col("s_suppkey") * 3 + 2).alias("x"), (F.col("s_nationkey").cast("long") * 3).alias("y"))
+    e = main.unionByName(home_c).unionByName(home_s)
+    return e.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v"))
+
+
+HOME = """
+hp AS (SELECT o_custkey, l_suppkey, count(*) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2),
+h0 AS (
+  SELECT o_custkey * 3 + 1 AS x, l_suppkey * 3 + 2 AS y FROM hp QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY n DESC, l_suppkey) = 1
+  UNION ALL SELECT c_custkey * 3 + 1, CAST(c_nationkey AS BIGINT) * 3 FROM customer
+  UNION ALL SELECT s_suppkey * 3 + 2, CAST(s_nationkey AS BIGINT) * 3 FROM supplier),
+g AS (SELECT least(x, y) AS u, greatest(x, y) AS v FROM h0),
+gg AS MATERIALIZED (SELECT u AS a, v AS b FROM g UNION ALL SELECT v, u FROM g)
+"""
+
+
 def customer_points(t: Tables) -> DataFrame:
     """Customers as two standard-scaled numbers: balance and total of their orders."""
     spent = t.orders.groupBy("o_custkey").agg(F.round(F.sum("o_totalprice"), 2).alias("spent"))

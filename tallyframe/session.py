@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,6 +59,20 @@ def checkpointed(df: DataFrame) -> DataFrame:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder, for tables a job writes and reads back."""
     set_checkpoint_dir(spark)
-    import uuid
-
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def bucketed(df: DataFrame, *keys: str) -> Iterator[DataFrame]:
+    """The frame as a written table bucketed and sorted by ``keys``, for loops that join the same rows in every round.
+
+    Joins on the keys then read it in place and shuffle only the other side. Inside the block the table has a name in the
+    session's catalog; results that outlive the block must be written before it ends.
+    """
+    spark = df.sparkSession
+    name, n = f"bucketed_{uuid.uuid4().hex}", shuffle_parallelism(spark)
+    df.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*keys).option("path", shared_path(spark, "bucketed")).saveAsTable(name)
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -51,6 +51,13 @@ def test_paths_closeness_betweenness(spark, edges, g):
         d = bfs(a, s)
         k = len(d) - 1
         assert c[s] == pytest.approx(k / sum(d.values()) * k / (n - 1))
+    for words in (1, 16):  # one word a portion: several portions
+        sums = {r.node: (r.reached, r.total, r.farthest) for r in G.distance_sums(edges, words=words).collect()}
+        assert sums == {s: (len(d) - 1, sum(d.values()), max(d.values())) for s in a for d in [bfs(a, s)]}
+    few = sorted(a)[:3]
+    sums = {r.node: r.total for r in G.distance_sums(edges, spark.createDataFrame([(s,) for s in few], "source long")).collect()}
+    assert sums == {x: sum(bfs(a, s).get(x, 0) for s in few) for x in a}
+    assert {r[0]: r[1] for r in G.closeness_from_sums(G.distance_sums(edges)).collect()} == pytest.approx(c)
     want = defaultdict(float)
     for s in a:  # Brandes
         order, pred, sigma, dist = [], defaultdict(list), defaultdict(float), {s: 0}
@@ -71,9 +78,21 @@ def test_paths_closeness_betweenness(spark, edges, g):
                 delta[x] += sigma[x] / sigma[y] * (1 + delta[y])
             if y != s:
                 want[y] += delta[y]
-    b = {r[0]: r[1] for r in G.betweenness(edges).collect()}
-    for x in a:
-        assert b[x] == pytest.approx(want[x] / ((n - 1) * (n - 2)))
+    for rows in (G.PORTION_ROWS, n * n // 4):
+        b = {r[0]: r[1] for r in G.betweenness(edges, portion_rows=rows).collect()}
+        for x in a:
+            assert b[x] == pytest.approx(want[x] / ((n - 1) * (n - 2)))
+
+
+def test_bucketed_edges_are_not_shuffled(spark):
+    from tallyframe.session import bucketed
+
+    e = spark.range(5000).select((F.col("id") % 97).alias("a"), F.col("id").alias("b"))
+    ranks = spark.range(97).select(F.col("id").alias("a"), F.lit(1.0).alias("s")).hint("merge")
+    with bucketed(e, "a") as t:
+        plan = t.join(ranks, "a")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and t.join(ranks, "a").count() == 5000
+    assert not [x for x in spark.catalog.listTables() if x.name.startswith("bucketed_")]
 
 
 def test_triangles_components(edges, g):
