@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.ml.clustering import BisectingKMeans, KMeans
+import numpy as np
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.operators.graph import connected_components
+from tallyframe.operators.ordered import one_row
 from tallyframe.session import checkpointed
 
 SEED = 42
@@ -63,10 +66,98 @@ def kmeans(df: DataFrame, cols: Sequence[str], k: int = 4) -> DataFrame:
     return KMeans(k=k, seed=SEED, maxIter=20).fit(d).transform(d).drop("features").withColumnRenamed("prediction", "cluster")
 
 
-def hierarchical(df: DataFrame, cols: Sequence[str], leaves: int = 8) -> DataFrame:
-    """Divisive tree by bisecting k-means; the cut is the number of leaves."""
-    d = vectorised(df, cols)
-    return BisectingKMeans(k=leaves, seed=SEED, maxIter=10).fit(d).transform(d).drop("features").withColumnRenamed("prediction", "cluster")
+def micro_clusters(df: DataFrame, cols: Sequence[str], most: int = 2000) -> tuple[DataFrame, DataFrame]:
+    """The rows with their ``cell``, and the clustering features ``(cell, n, <col>...)`` (means) of at most ``most`` cells.
+
+    Where there are no more distinct points than that, every point is its own cell. Otherwise the cells are those of the finest
+    grid of halved ranges that fits; the sizes of all grids come from one pass. Rows with a null coordinate have a null cell.
+    """
+    lo_hi = one_row(df.agg(*[e for c in cols for e in (F.min(c).cast("double").alias(f"lo_{c}"), F.max(c).cast("double").alias(f"hi_{c}"))]))
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
+    at = lambda k: F.array(*[F.least(F.floor(F.coalesce(F.try_divide(F.col(c) - lo_hi[f"lo_{c}"], lo_hi[f"hi_{c}"] - lo_hi[f"lo_{c}"]), F.lit(0.0)) * 2 ** k),
+                                     F.lit(2 ** k - 1)).cast("double") for c in cols])
+    grids = [F.array(*[F.col(c).cast("double") for c in cols]), *[at(k) for k in range(16, -1, -1)]]
+    sizes = df.where(whole).agg(*[F.approx_count_distinct(F.xxhash64(g), 0.02).alias(str(i)) for i, g in enumerate(grids)]).first()
+    for i, g in enumerate(grids):
+        if sizes[i] > 1.1 * most and i + 1 < len(grids):
+            continue
+        rows = df.withColumn("cell", F.when(whole, g))
+        cells = checkpointed(rows.where(whole).groupBy("cell").agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in cols]))
+        if i + 1 == len(grids) or cells.count() <= most:
+            return rows, cells
+    raise AssertionError("the coarsest grid has one cell")
+
+
+def ward_merges(points: np.ndarray, sizes: np.ndarray) -> list[tuple[int, int, float, int]]:
+    """Ward's tree of weighted points by the nearest-neighbour chain: ``(left, right, height, rows)`` from the lowest up.
+
+    Points are 0 to m - 1, the merge at place k makes cluster m + k. Heights are those of the usual Ward linkage:
+    ``sqrt(2 a b / (a + b))`` times the distance of the means.
+    """
+    m = len(points)
+    mean, size, alive = np.vstack([points, np.zeros_like(points)]).astype(float), np.r_[sizes, np.zeros(m)].astype(float), np.zeros(2 * m, bool)
+    alive[:m] = True
+    found, chain, new = [], [], m
+    while len(found) < m - 1:
+        if not chain:
+            chain.append(int(np.argmax(alive)))
+        i = chain[-1]
+        others = np.flatnonzero(alive)
+        others = others[others != i]
+        d = 2 * size[others] * size[i] / (size[others] + size[i]) * ((mean[others] - mean[i]) ** 2).sum(1)
+        k = int(np.argmin(d))
+        j = int(others[k])
+        if len(chain) > 1 and d[others == chain[-2]][0] <= d[k]:
+            j, k = chain[-2], int(np.flatnonzero(others == chain[-2])[0])
+            del chain[-2:]
+            size[new] = size[i] + size[j]
+            mean[new] = (mean[i] * size[i] + mean[j] * size[j]) / size[new]
+            alive[[i, j]], alive[new] = False, True
+            found.append((i, j, float(np.sqrt(d[k])), new))
+            new += 1
+        else:
+            chain.append(j)
+    order = sorted(range(len(found)), key=lambda x: (found[x][2], x))
+    name = {found[x][3]: m + place for place, x in enumerate(order)}
+    return [(*sorted((name.get(found[x][0], found[x][0]), name.get(found[x][1], found[x][1]))), found[x][2], int(size[found[x][3]])) for x in order]
+
+
+def _tree(df: DataFrame, cols: Sequence[str], most: int):
+    rows, cells = micro_clusters(df, cols, most)
+    kept = cells.orderBy("cell").collect()  # at most ``most`` rows
+    return rows, kept, ward_merges(np.array([[float(r[c]) for c in cols] for r in kept]).reshape(len(kept), len(cols)), np.array([r["n"] for r in kept]))
+
+
+def ward_tree(df: DataFrame, cols: Sequence[str], most: int = 2000) -> DataFrame:
+    """The merges as a table ``(step, left, right, height, n)``; numbers below the count of features are features."""
+    _, _, merges = _tree(df, cols, most)
+    return df.sparkSession.createDataFrame([(k, *m) for k, m in enumerate(merges)], "step int, left int, right int, height double, n long")
+
+
+def hierarchical(df: DataFrame, cols: Sequence[str], height: float | None = None, leaves: int = 8, most: int = 2000) -> DataFrame:
+    """Ward clusters of the rows (``cluster``), cut at a height or, without one, where ``leaves`` are left.
+
+    Rows are first summed into at most ``most`` clustering features, whose tree is built on the driver; on no more distinct
+    points than that it is Ward's tree of the points. Clusters are numbered by their first feature in order of coordinates. Rows with a
+    null coordinate have no cluster.
+    """
+    rows, kept, merges = _tree(df, cols, most)
+    m = len(kept)
+    up = list(range(2 * m))
+    for k, (a, b, h, _) in enumerate(merges):
+        if (h > height) if height is not None else (m - k <= leaves):
+            break
+        up[a] = up[b] = m + k
+
+    def root(x: int) -> int:
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    number: dict[int, int] = {}
+    labels = [(list(r["cell"]), number.setdefault(root(i), len(number))) for i, r in enumerate(kept)]
+    named = df.sparkSession.createDataFrame(labels, "cell array<double>, cluster int")
+    return rows.join(F.broadcast(named), "cell", "left").drop("cell")  # at most ``most`` rows
 
 
 def _gap2(lo1, hi1, lo2, hi2):

@@ -13,6 +13,7 @@ from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -300,21 +301,48 @@ def model_card(spark: SparkSession, model: PipelineModel, name: str, version: st
 
 # -- text ----------------------------------------------------------------------------------------
 
-def text_stages(size: int = 100):
-    from pyspark.ml.feature import IDF, CountVectorizer
+class SmoothIdf(Estimator):
+    """Term weights ``ln((1 + n) / (1 + df)) + 1``; the fitted stage is a plain element-wise product, so pipelines save as usual."""
 
-    return [CountVectorizer(inputCol="terms", outputCol="tf", vocabSize=size, minDF=1.0), IDF(inputCol="tf", outputCol="features")]
+    def __init__(self, inputCol: str, outputCol: str):
+        super().__init__()
+        self.input, self.output = inputCol, outputCol
 
+    def _fit(self, dataset: DataFrame):
+        from pyspark.ml.feature import IDF, ElementwiseProduct
 
-def text_classifier(kind: str, size: int = 100) -> Pipeline:
+        idf = IDF(inputCol=self.input, outputCol=self.output).fit(dataset).idf.toArray() + 1
+        return ElementwiseProduct(inputCol=self.input, outputCol=self.output, scalingVec=Vectors.dense(idf))
+
+
+def text_stages(size: int = 100) -> list:
+    """Counts of the most frequent terms, weighted and scaled to unit length as in ``operators.text.tfidf``."""
+    from pyspark.ml.feature import CountVectorizer, Normalizer
+
+    return [CountVectorizer(inputCol="terms", outputCol="tf", vocabSize=size, minDF=1.0), SmoothIdf("tf", "weighted"),
+            Normalizer(inputCol="weighted", outputCol="features", p=2.0)]
+
+
+def text_classifier(kind: str, train: DataFrame, label: str, size: int = 100) -> Pipeline:
+    """Classifier of ``terms`` whose classes are the labels of the training rows, in order; ``predicted`` is the label as text.
+
+    A row with a null label, or one the training rows do not have, is left out of a fit and of a score by label.
+    """
     from pyspark.ml.classification import LinearSVC, NaiveBayes, OneVsRest
+    from pyspark.ml.feature import IndexToString, StringIndexer
 
     clf = {
         "logistic": lambda: LogisticRegression(labelCol="label", maxIter=30, regParam=0.01),
         "naive_bayes": lambda: NaiveBayes(labelCol="label", smoothing=0.5),
         "linear_svc": lambda: OneVsRest(classifier=LinearSVC(maxIter=20, regParam=0.01), labelCol="label", parallelism=4),
     }[kind]()
-    return Pipeline(stages=[*text_stages(size), clf])
+    index = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc", handleInvalid="skip").fit(train)
+    return Pipeline(stages=[index, *text_stages(size), clf, IndexToString(inputCol="prediction", outputCol="predicted", labels=index.labels)])
+
+
+def without_labels(model: PipelineModel) -> PipelineModel:
+    """A fitted text classifier for rows that have no label column."""
+    return PipelineModel(model.stages[1:])
 
 
 def accuracy_by_fold(df: DataFrame, make: Callable[[], Estimator], folds: int) -> list[float]:
@@ -326,10 +354,14 @@ def accuracy_by_fold(df: DataFrame, make: Callable[[], Estimator], folds: int) -
         return list(pool.map(run, range(folds)))
 
 
-def top_coefficients(model: PipelineModel, classes: Sequence[str], spark: SparkSession, k: int = 10) -> DataFrame:
-    vocab, m = model.stages[0].vocabulary, model.stages[-1].coefficientMatrix.toArray()
+def top_coefficients(model: PipelineModel, spark: SparkSession, k: int = 10) -> DataFrame:
+    """The terms with the largest weights for every class of a fitted logistic text classifier."""
+    index, counts, *_, clf, names = model.stages
+    vocab, m = counts.vocabulary, clf.coefficientMatrix.toArray()
+    if len(m) == 1:  # two classes share one row
+        m = np.vstack([-m, m])
     rows = []
-    for i, c in enumerate(classes):
+    for i, c in enumerate(names.getLabels()):
         top = sorted(range(len(vocab)), key=lambda j: (-m[i, j], vocab[j]))[:k]
         rows += [(c, r + 1, vocab[j], float(m[i, j])) for r, j in enumerate(top)]
     return spark.createDataFrame(rows, "label string, rank int, term string, weight double")

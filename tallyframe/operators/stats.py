@@ -379,6 +379,18 @@ def fitted_residuals(df: DataFrame, y: str, beta: dict[str, float], numeric: Seq
     return df.withColumn("fitted", fit).withColumn("residual", F.col(y) - F.col("fitted"))
 
 
+def with_histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
+    """Adds the equal-width ``bin`` of each row (0 to bins - 1; the largest value is in the last) and the rows in it, ``bin_rows``.
+
+    Nulls have no bin; where all values are equal the bin is 0.
+    """
+    p = one_row(df.agg(F.min(col).cast("double").alias("lo"), F.max(col).cast("double").alias("hi")))
+    part = F.coalesce(F.try_divide(F.col(col) - p["lo"], p["hi"] - p["lo"]), F.lit(0.0))
+    d = df.withColumn("bin", F.when(F.col(col).isNotNull(), F.least(F.floor(part * bins), F.lit(bins - 1)).cast("int")))
+    counts = d.where("bin IS NOT NULL").groupBy("bin").agg(F.count(F.lit(1)).alias("bin_rows"))
+    return d.join(F.broadcast(counts), "bin", "left")  # one row a bin
+
+
 def qq_points(df: DataFrame, col: str, tie: str) -> DataFrame:
     """Ordered values against normal quantiles with Filliben's plotting positions."""
     d = row_index(df.where(F.col(col).isNotNull()), col, tie)

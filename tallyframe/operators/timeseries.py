@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from datetime import date, timedelta
 
 import numpy as np
 import pandas as pd
@@ -262,6 +263,24 @@ def additive_design(days: pd.Series, t0, t1, holidays: set, changepoints: int =
     }
 
 
+def fit_additive(days: pd.Series, y: np.ndarray, n: int, holidays: set, changepoint_scale: float = 0.05, season_scale: float = 10.0) -> dict[str, np.ndarray]:
+    """Parts of the penalised least-squares fit to the first ``n`` values, for all days."""
+    parts = additive_design(days, days.iloc[0], days.iloc[n - 1], holidays)
+    x = np.column_stack(list(parts.values()))
+    scale = np.abs(y[:n]).max() or 1.0
+    pen = {"base": 1e-6, "hinge": 1 / changepoint_scale ** 2, "weekly": 1 / season_scale ** 2,
+           "yearly": 1 / season_scale ** 2, "holiday": 1 / season_scale ** 2}
+    lam = np.concatenate([np.full(p.shape[1], pen[k]) for k, p in parts.items()])
+    xt, yt = x[:n], y[:n] / scale
+    s2 = max(float(np.var(np.diff(yt)) / 2), 1e-12)
+    beta = np.linalg.solve(xt.T @ xt + np.diag(lam * s2), xt.T @ yt) * scale
+    out, at = {}, 0
+    for k, p in parts.items():
+        out[k] = p @ beta[at:at + p.shape[1]]
+        at += p.shape[1]
+    return out
+
+
 def additive_forecast(df: DataFrame, series: str, holidays: Sequence[str], order: str = "day", horizon: int = 60,
                       changepoint_scale: float = 0.05, season_scale: float = 10.0) -> DataFrame:
     """Per series: penalised least squares on the additive design, forecast of the held-out last days."""
@@ -275,20 +294,8 @@ def additive_forecast(df: DataFrame, series: str, holidays: Sequence[str], order
             none = np.full(len(pdf), np.nan)  # too short to fit: the days stay, without a forecast
             return pd.DataFrame({"series": str(pdf[series].iloc[0]), "period": pdf[order].astype(str), "is_test": False,
                                  "actual": pdf["y"].to_numpy(float), **{c: none for c in cols[4:]}})[cols]
-        parts = additive_design(pdf[order], pdf[order].iloc[0], pdf[order].iloc[n - 1], hol)
-        x = np.column_stack(list(parts.values()))
         y = pdf["y"].to_numpy(float)
-        scale = np.abs(y[:n]).max() or 1.0
-        pen = {"base": 1e-6, "hinge": 1 / changepoint_scale ** 2, "weekly": 1 / season_scale ** 2,
-               "yearly": 1 / season_scale ** 2, "holiday": 1 / season_scale ** 2}
-        lam = np.concatenate([np.full(p.shape[1], pen[k]) for k, p in parts.items()])
-        xt, yt = x[:n], y[:n] / scale
-        s2 = max(float(np.var(np.diff(yt)) / 2), 1e-12)
-        beta = np.linalg.solve(xt.T @ xt + np.diag(lam * s2), xt.T @ yt) * scale
-        out, at = {}, 0
-        for k, p in parts.items():
-            out[k] = p @ beta[at:at + p.shape[1]]
-            at += p.shape[1]
+        out = fit_additive(pdf[order], y, n, hol, changepoint_scale, season_scale)
         yhat = sum(out.values())
         sd = float(np.std(y[:n] - yhat[:n]))
         return pd.DataFrame({
@@ -301,9 +308,67 @@ def additive_forecast(df: DataFrame, series: str, holidays: Sequence[str], order
              "trend double, weekly double, yearly double, holiday double")
 
 
+FORECASTERS = ["naive", "mean_7", "arima", "additive"]
+
+
+def backtest_forecasts(df: DataFrame, series: str, holidays: Sequence[str], order: str = "day", horizon: int = 60) -> DataFrame:
+    """Every forecaster on the same held-out last periods of each series: one row per period, one column per forecaster.
+
+    All see the periods before only: ``naive`` repeats the last value, ``mean_7`` the mean of the last seven, ``arima`` is
+    ARIMA(1,1,1), ``additive`` the trend and season fit. A series of fewer than ``horizon`` + 30 periods keeps its last
+    periods with null forecasts. One series is one group, bounded by the calendar.
+    """
+    hol = set(holidays)
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(order).reset_index(drop=True)
+        y, n = pdf["y"].to_numpy(float), len(pdf) - horizon
+        if n < 30:
+            forecasts = {m: np.full(len(pdf), np.nan) for m in FORECASTERS}
+        else:
+            flat = lambda v: np.full(len(pdf), v)
+            arima = np.concatenate([np.full(n, np.nan), forecast_arima111(y[:n], horizon)[0]])
+            forecasts = dict(zip(FORECASTERS, [flat(y[n - 1]), flat(y[n - 7:n].mean()), arima, sum(fit_additive(pdf[order], y, n, hol).values())]))
+        out = pd.DataFrame({"series": str(pdf[series].iloc[0]), "period": pdf[order].astype(str), "actual": y, **forecasts})
+        return out.iloc[max(n, 0):]
+
+    return df.groupBy(series).applyInPandas(run, "series string, period string, actual double, " + ", ".join(f"{m} double" for m in FORECASTERS))
+
+
+def ranked_forecasts(backtest: DataFrame, actual: str = "actual", models: Sequence[str] = FORECASTERS) -> DataFrame:
+    """Error measures of all forecasters, best mean absolute error first; the gain is against the first of ``models``."""
+    d = backtest.select(actual, *[F.nanvl(F.col(m), F.lit(None).cast("double")).alias(m) for m in models])
+    m = forecast_metrics(d, actual, models)
+    base = F.max(F.when(F.col("model") == models[0], F.col("mae"))).over(W.partitionBy())
+    return m.withColumn("rank", F.row_number().over(W.orderBy("mae", "model"))).withColumn("gain_pct", (1 - F.try_divide("mae", base)) * 100)
+
+
 # Fixed-date public holidays used as the holiday table, month and day.
 FIXED_HOLIDAYS = ["01-01", "03-15", "05-01", "08-20", "10-23", "11-01", "12-25", "12-26"]
 
 
+# Movable holidays as days after Easter Sunday (Good Friday, Easter Monday, Whit Monday).
+MOVABLE_HOLIDAYS = [-2, 1, 50]
+
+
+def easter(year: int) -> date:
+    """Easter Sunday of the Gregorian calendar: the Sunday after the first full moon of the computus on or after 21 March."""
+    golden, century = year % 19, year // 100
+    skipped = century - century // 4 - (8 * century + 13) // 25  # leap days left out, less the moon's own correction
+    moon = (19 * golden + skipped + 15) % 30
+    moon -= moon // 28 * (1 - moon // 28 * (29 // (moon + 1)) * ((21 - golden) // 11))
+    weekday = (year + year // 4 + moon + 2 - century + century // 4) % 7
+    return date(year, 3, 28) + timedelta(days=moon - weekday)
+
+
 def holiday_dates(first_year: int, last_year: int) -> list[str]:
-    return [f"{y}-{md}" for y in range(first_year, last_year + 1) for md in FIXED_HOLIDAYS]
+    """ISO days of the fixed and movable holidays of the years."""
+    years = range(first_year, last_year + 1)
+    fixed = [f"{y}-{md}" for y in years for md in FIXED_HOLIDAYS]
+    return fixed + [(easter(y) + timedelta(days=k)).isoformat() for y in years for k in MOVABLE_HOLIDAYS]
+
+
+def holidays_around(df: DataFrame, day: str) -> list[str]:
+    """The holidays of the years of a day column, and of the years beside them; none where it has no days."""
+    lo, hi = df.agg(F.min(F.year(day)), F.max(F.year(day))).first()
+    return holiday_dates(lo - 1, hi + 1) if lo is not None else []

@@ -11,6 +11,7 @@ from tallyframe.functions.text import tokens
 from tallyframe.operators import clustering as CL, evaluation as E, models as M, splits as SP, text as TX
 from tallyframe.plans import views
 from tallyframe.plans.registry import query
+from tallyframe.plans.text import TOK
 from tallyframe.session import checkpointed, shared_path
 from tallyframe.sources import sinks
 from tallyframe.sources.tables import spread
@@ -181,10 +182,18 @@ def dbscan(t):
 
 @query("hierarchical_clusters")
 def hierarchical_clusters(t):
-    h = CL.hierarchical(checkpointed(views.customer_points(t)), ["x", "y"], 8)
+    """Ward clusters of the customers, cut at the height 3 of a hundred points (Ward's heights grow with the root of the rows)."""
+    d = checkpointed(views.customer_points(t))
+    h = CL.hierarchical(d, ["x", "y"], height=3.0 * (d.count() / 100) ** 0.5)
     return h.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("x"), F.avg("y").alias("y"))
 
 
+@query("dendrogram")
+def dendrogram(t):
+    """Merges of the Ward tree from the lowest up: both sides, height and rows."""
+    return CL.ward_tree(checkpointed(views.customer_points(t)), ["x", "y"])
+
+
 @query("model_save_load")
 def model_save_load(t):
     """Predictions before saving and after loading agree; the card lists the features."""
@@ -206,48 +215,87 @@ def batch_score(t):
 
 # -- text ------------------------------------------------------------------------------------------
 
-LANGS = ["de", "en", "es", "fr"]
+FOLDS = 5
 
 
 def texts(t):
-    from tallyframe.operators.features import ordinal
-
-    words = spread(t.documents).select("doc_id", "lang", tokens(F.col("text")).alias("ws"))
-    d = words.select("doc_id", "lang", TX.ngrams(F.col("ws")).alias("terms"), ordinal("lang", LANGS).cast("double").alias("label"))
-    return checkpointed(SP.stratified_folds(d, "doc_id", "lang", 3))
+    words = spread(t.documents).select("doc_id", "lang", TX.ngrams(tokens(F.col("text"))).alias("terms"))
+    return checkpointed(SP.stratified_folds(words, "doc_id", "lang", FOLDS))
 
 
 @query("text_classifiers")
 def text_classifiers(t):
+    """Accuracy of three classifiers over five folds, and of the best on the rows it was refitted on."""
     d = texts(t)
     rows = []
     for kind in ("logistic", "naive_bayes", "linear_svc"):
-        acc = M.accuracy_by_fold(d, lambda: M.text_classifier(kind), 3)
+        acc = M.accuracy_by_fold(d, lambda: M.text_classifier(kind, d, "lang"), FOLDS)
         rows.append({"model": kind, "accuracy_mean": sum(acc) / len(acc), "accuracy_min": min(acc)})
     best = max(rows, key=lambda r: r["accuracy_mean"])["model"]
-    final = M.text_classifier(best).fit(d).transform(d).agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).scalar()
+    final = M.text_classifier(best, d, "lang").fit(d).transform(d).agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).scalar()
     return M.score_table(t.spark, rows).withColumn("best", F.col("model") == best).withColumn(
         "refit_accuracy", F.when(F.col("best"), final))
 
 
+def held_out_texts(t):
+    """The fifth of the documents that a logistic classifier of the other four fifths has not seen, with its answers."""
+    d = texts(t)
+    train = d.where("fold <> 0")
+    return checkpointed(M.text_classifier("logistic", train, "lang").fit(train).transform(d.where("fold = 0")).select("doc_id", "lang", "predicted"))
+
+
+@query("text_classifier_report")
+def text_classifier_report(t):
+    """Precision, recall and F1 of every class on held-out documents."""
+    return E.classification_report(held_out_texts(t), "lang", "predicted")
+
+
+@query("text_confusion")
+def text_confusion(t):
+    """Held-out documents by true and predicted class."""
+    return held_out_texts(t).groupBy("lang", "predicted").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("top_coefficients")
 def top_coefficients(t):
-    return M.top_coefficients(M.text_classifier("logistic").fit(texts(t)), LANGS, t.spark)
+    d = texts(t)
+    return M.top_coefficients(M.text_classifier("logistic", d, "lang").fit(d), t.spark)
 
 
 @query("classify_new_text")
 def classify_new_text(t):
-    model = M.save_and_reload(M.text_classifier("logistic").fit(texts(t)), shared_path(t.spark, "text-model"))
+    d = texts(t)
+    model = M.without_labels(M.text_classifier("logistic", d, "lang").fit(d))
+    model = M.save_and_reload(model, shared_path(t.spark, "text-model"))
     new = t.conversations.select("conv_id", "turn", TX.ngrams(tokens(F.col("text"))).alias("terms"))
-    names = F.array(*[F.lit(x) for x in LANGS])
-    return model.transform(new).select("conv_id", "turn", F.element_at(names, F.col("prediction").cast("int") + 1).alias("lang"))
+    return model.transform(new).select("conv_id", "turn", F.col("predicted").alias("lang"))
+
+
+PPMI_SQL = f"""
+WITH {TOK}, p AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM tk),
+c AS (SELECT a.w AS word, b.w AS context, count(*) AS n FROM p a JOIN p b ON a.doc_id = b.doc_id AND a.i <> b.i AND abs(a.i - b.i) <= 2 GROUP BY 1, 2),
+m AS (SELECT word, sum(n) AS n FROM c GROUP BY 1), t AS (SELECT sum(n) AS n FROM c),
+s AS (SELECT c.word, context, c.n, ln(c.n::DOUBLE * t.n / (x.n::DOUBLE * y.n)) AS pmi FROM c JOIN m x ON c.word = x.word JOIN m y ON c.context = y.word, t)
+SELECT word, count(*) AS contexts, CAST(sum(n) AS BIGINT) AS pairs, count(*) FILTER (pmi > 1e-9) AS positive, round(greatest(max(pmi), 0), 6) AS strongest
+FROM s GROUP BY 1"""
+
+
+def contexts(t):
+    return spread(t.documents).select("doc_id", tokens(F.col("text")).alias("ws"))
+
+
+@query("cooccurrence_ppmi", PPMI_SQL)
+def cooccurrence_ppmi(t):
+    """Contexts of every word within two words of it, and their strongest association."""
+    c = TX.ppmi(contexts(t), "ws", window=2)
+    return c.groupBy("word").agg(F.count(F.lit(1)).alias("contexts"), F.sum("n").alias("pairs"), F.count_if(F.col("ppmi") > 1e-9).alias("positive"),
+                                 F.round(F.max("ppmi"), 6).alias("strongest"))
 
 
 @query("word_embeddings")
 def word_embeddings(t):
-    from pyspark.ml.feature import Word2Vec
-
-    w = spread(t.documents).select(tokens(F.col("text")).alias("ws"))
-    model = Word2Vec(vectorSize=16, minCount=20, maxIter=1, seed=42, inputCol="ws", outputCol="v", numPartitions=4).fit(w)
-    top = TX.bag_of_words(spread(t.documents), "doc_id", "text").groupBy("term").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "term").first()["term"]
-    return model.findSynonyms(top, 10).select(F.lit(top).alias("word"), F.col("word").alias("neighbour"), "similarity")
+    """Nearest words of the most frequent one by the cosine of their vectors."""
+    p = checkpointed(TX.ppmi(contexts(t), "ws", window=2))
+    vectors = checkpointed(TX.word_vectors(p, dims=16))
+    top = p.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").first()
+    return TX.nearest_words(vectors, top["word"] if top else "", 10)

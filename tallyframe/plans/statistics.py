@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallyframe.functions import distributions as D
 from tallyframe.operators import stats as S
 from tallyframe.plans.registry import query
 
@@ -67,18 +68,26 @@ def simple_regression(t):
                           F.round(F.lit(beta["Intercept"]), 4).alias("intercept"), F.round("r2", 6).alias("r2"))
 
 
-@query("residual_diagnostics", """
+BINS = 30
+
+
+@query("residual_diagnostics", f"""
 WITH c AS (SELECT regr_slope(o_totalprice, c_acctbal) AS a, regr_intercept(o_totalprice, c_acctbal) AS b
-           FROM orders JOIN customer ON o_custkey = c_custkey)
-SELECT o_orderkey, round(a * c_acctbal + b, 3) AS fitted, round(o_totalprice - (a * c_acctbal + b), 3) AS residual,
-  row_number() OVER (ORDER BY o_totalprice - (a * c_acctbal + b), o_orderkey) AS rn
-FROM orders JOIN customer ON o_custkey = c_custkey, c""")
+           FROM orders JOIN customer ON o_custkey = c_custkey),
+r AS (SELECT o_orderkey, a * c_acctbal + b AS fitted, o_totalprice - (a * c_acctbal + b) AS residual FROM orders JOIN customer ON o_custkey = c_custkey, c),
+q AS (SELECT *, row_number() OVER (ORDER BY residual, o_orderkey) AS rn, count(*) OVER () AS n, min(residual) OVER () AS lo, max(residual) OVER () AS hi FROM r),
+p AS (SELECT *, CASE WHEN rn = 1 THEN 1 - pow(0.5, 1.0 / n) WHEN rn = n THEN pow(0.5, 1.0 / n) ELSE (rn - 0.3175) / (n + 0.365) END::DOUBLE AS p,
+  CAST(least(floor((residual - lo) / (hi - lo) * {BINS}), {BINS - 1}) AS INT) AS bin FROM q)
+SELECT o_orderkey, round(fitted, 3) AS fitted, round(residual, 3) AS residual, rn, round({D.normal_ppf_sql("p")}, 8) AS theoretical,
+  bin, count(*) OVER (PARTITION BY bin) AS bin_rows FROM p""")
 def residual_diagnostics(t):
+    """Fitted values, residuals, their Q-Q points and the histogram bin each falls into."""
     d = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "o_totalprice", "c_acctbal")
     _, _, beta = S.ols(d, "o_totalprice", ["c_acctbal"])
-    r = S.fitted_residuals(d, "o_totalprice", beta, ["c_acctbal"])
+    r = S.with_histogram(S.fitted_residuals(d, "o_totalprice", beta, ["c_acctbal"]), "residual", BINS)
     return S.qq_points(r, "residual", "o_orderkey").select(
-        "o_orderkey", F.round("fitted", 3).alias("fitted"), F.round("residual", 3).alias("residual"), "rn")
+        "o_orderkey", F.round("fitted", 3).alias("fitted"), F.round("residual", 3).alias("residual"), "rn", F.round("theoretical", 8).alias("theoretical"),
+        "bin", "bin_rows")
 
 
 @query("vif")
@@ -86,9 +95,16 @@ def vif(t):
     return S.vif(t.lineitem, COLS)
 
 
-@query("ks_normal")
+@query("ks_normal", f"""
+WITH s AS (SELECT avg(value) AS m, stddev_pop(value) AS s, count(value) AS n FROM events),
+v AS (SELECT value, count(*) AS c, sum(count(*)) OVER (ORDER BY value) AS upto FROM events WHERE value IS NOT NULL GROUP BY 1),
+z AS (SELECT *, (value - m) / s AS z FROM v, s), f AS (SELECT *, {D.normal_cdf_sql("z")} AS f FROM z),
+d AS (SELECT max(greatest(upto / n - f, f - (upto - c) / n)) AS d, min(n) AS n FROM f)
+SELECT round(d, 10) AS d, n, round(least(greatest(2 * (SELECT sum((CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END) * exp(-2 * k * k * n * d * d))
+  FROM (SELECT unnest(range(1, 101)) AS k)), 0), 1), 8) AS p FROM d""")
 def ks_normal(t):
-    return S.ks_normal(t.events, "value")
+    k = S.ks_normal(t.events, "value")
+    return k.select(F.round("d", 10).alias("d"), "n", F.round("p", 8).alias("p"))
 
 
 def _mom(x):

@@ -89,25 +89,32 @@ def arima_forecast(t):
 @query("additive_forecast")
 def additive_forecast(t):
     d = views.daily_by_priority(t)
-    lo, hi = d.agg(F.min(F.year("day")), F.max(F.year("day"))).first()
-    return TS.additive_forecast(d, "series", TS.holiday_dates(lo - 1, hi + 1) if lo is not None else [])
+    return TS.additive_forecast(d, "series", TS.holidays_around(d, "day"))
 
 
-HOLIDAYS = ", ".join(f"DATE '{d}'" for d in TS.holiday_dates(1995, 2001))
+FIXED = ", ".join(f"'{md}'" for md in TS.FIXED_HOLIDAYS)
 
 
 @query("holiday_features", f"""
-WITH h AS (SELECT unnest([{HOLIDAYS}]) AS h), x AS (SELECT CAST(h + INTERVAL 1 DAY * s AS DATE) AS day, s FROM h, (SELECT unnest([-1, 0, 1]) AS s)),
+WITH yr AS (SELECT unnest(range(min(year(o_orderdate)) - 1, max(year(o_orderdate)) + 2)) AS y FROM orders),
+e1 AS (SELECT y, y % 19 AS a, y // 100 AS b, y % 100 AS c FROM yr),
+e2 AS (SELECT *, (19 * a + b - b // 4 - (b - (b + 8) // 25 + 1) // 3 + 15) % 30 AS h FROM e1),
+e3 AS (SELECT *, (32 + 2 * (b % 4) + 2 * (c // 4) - h - c % 4) % 7 AS l FROM e2),
+e4 AS (SELECT y, h + l - 7 * ((a + 11 * h + 22 * l) // 451) + 114 AS k FROM e3),
+easter AS (SELECT make_date(y, k // 31, k % 31 + 1) AS d FROM e4),
+h AS (SELECT CAST(y || '-' || md AS DATE) AS h FROM yr, (SELECT unnest([{FIXED}]) AS md)
+      UNION SELECT CAST(d + INTERVAL 1 DAY * s AS DATE) FROM easter, (SELECT unnest({TS.MOVABLE_HOLIDAYS}) AS s)),
+x AS (SELECT CAST(h + INTERVAL 1 DAY * s AS DATE) AS day, s FROM h, (SELECT unnest([-1, 0, 1]) AS s)),
 f AS (SELECT day, max(CAST(s = -1 AS INT)) AS before, max(CAST(s = 0 AS INT)) AS on_day, max(CAST(s = 1 AS INT)) AS after FROM x GROUP BY 1)
 SELECT o_orderkey, coalesce(before, 0) AS before, coalesce(on_day, 0) AS on_day, coalesce(after, 0) AS after
 FROM orders LEFT JOIN f ON CAST(o_orderdate AS DATE) = day""")
 def holiday_features(t):
-    h = FE.holiday_days(t.spark, {d: d for d in TS.holiday_dates(1995, 2001)})
+    d = t.orders.select("o_orderkey", F.to_date("o_orderdate").alias("day"))
+    h = FE.holiday_days(t.spark, {d: d for d in TS.holidays_around(d, "day")})
     flag = lambda s: F.max((F.col("shift") == s).cast("int"))
-    # a literal table of a few hundred rows
+    # some thirty rows a year
     h = F.broadcast(h.groupBy("day").agg(flag(-1).alias("before"), flag(0).alias("on_day"), flag(1).alias("after")))
-    d = t.orders.select("o_orderkey", F.to_date("o_orderdate").alias("day")).join(h, "day", "left")
-    return d.select("o_orderkey", *[F.coalesce(c, F.lit(0)).alias(c) for c in ["before", "on_day", "after"]])
+    return d.join(h, "day", "left").select("o_orderkey", *[F.coalesce(c, F.lit(0)).alias(c) for c in ["before", "on_day", "after"]])
 
 
 BASE = """
@@ -132,6 +139,13 @@ def forecast_metrics(t):
     return m.select("model", "n", F.round("mae", 3).alias("mae"), F.round("rmse", 3).alias("rmse"), F.round("mape", 5).alias("mape"))
 
 
+@query("forecast_comparison")
+def forecast_comparison(t):
+    """All forecasters on the same held-out days of every series, ranked."""
+    d = views.daily_by_priority(t)
+    return TS.ranked_forecasts(TS.backtest_forecasts(d, "series", TS.holidays_around(d, "day")))
+
+
 @query("timeseries_split", f"""
 WITH {views.DAILY}, d AS (SELECT day, row_number() OVER (ORDER BY day) AS i, count(*) OVER () AS n FROM daily),
 f AS (SELECT day, i, n, k, n // 6 AS s, n - (6 - k) * (n // 6) AS start FROM d, (SELECT unnest([1, 2, 3, 4, 5]) AS k)),
