@@ -27,8 +27,10 @@ from tallyframe.session import checkpointed, shuffle_parallelism
 CAPACITY = 2048
 UNIT = 16
 LEAST_GAP = 2  # units of room in a sequence that are worth a cut
+ROUNDING = 0.02  # share of the tokens that may be lost to whole units; beyond it lengths are rounded by their size
+FINE, FINE_GAP = 6, 16  # lengths up to 2^FINE exact, then half as many steps an octave; tokens of room worth a cut
 END_ID = 1
-CHUNK_CACHE, PART_CACHE = 300_000, 1_000_000  # entries kept by a worker
+CHUNK_CACHE, PART_CACHE = 300_000, 500_000  # entries kept by a worker
 CHARS = 1 << 20  # characters split at once
 
 
@@ -295,30 +297,44 @@ def gap_table(plan: list[tuple[dict[int, int], int]], cut_units: int, cap: int,
     return rows
 
 
-def place(pieces: DataFrame, capacity: int = CAPACITY, unit: int = UNIT) -> DataFrame:
+def units_of(lengths: dict[int, int], unit: int = UNIT, most: float = ROUNDING) -> int:
+    """``unit`` where rounding the lengths of a histogram up to it loses at most that share of the tokens, else 1."""
+    tokens = sum(n * k for n, k in lengths.items())
+    lost = sum((-n % unit) * k for n, k in lengths.items())
+    return unit if lost <= most * tokens else 1
+
+
+def place(pieces: DataFrame, capacity: int = CAPACITY, unit: int | None = None) -> DataFrame:
     """``(doc_id, start, length, doc_tokens, ids_crc32, sequence_id, offset)`` of pieces with their ``ids``.
 
     Ranks inside one unit length are counted in hash buckets, so equal lengths of a third of all rows spread over
     the tasks. Where whole pieces leave much room (many pieces of one awkward length), the last ranks of each length
-    are laid end to end and cut to fill it; only their ids are carried along. The tables of slots and of room have
+    are laid end to end and cut to fill it; only their ids are carried along. Without a ``unit`` it is UNIT, or, where
+    short pieces would lose more than ROUNDING of the tokens to it, one token: lengths are then rounded up by at most a
+    32nd of their octave, so the program keeps some two hundred lengths. The tables of slots and of room have
     at most (capacity/unit)^2 rows plus the last few sequences, whatever the corpus, so they are broadcast or
     literal. A sequence has at most ``capacity`` pieces. No pieces give no rows.
     """
     spark = pieces.sparkSession
-    cap = capacity // unit
+    if unit is None:
+        unit = units_of({r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()})  # at most ``capacity`` rows
+    cap, least = capacity // unit, LEAST_GAP if unit > 1 else FINE_GAP
+    octave = F.length(F.bin(F.col("length") - 1))
+    step = F.pow(F.lit(2), F.greatest(octave - FINE, F.lit(0)))
+    units = F.ceil(F.col("length") / unit) if unit > 1 else F.least(F.ceil(F.col("length") / step) * step, F.lit(capacity))
     salts = max(16, shuffle_parallelism(spark))
-    p = pieces.withColumn("__u", F.ceil(F.col("length") / unit).cast("int")).withColumn(
+    p = pieces.withColumn("__u", units.cast("int")).withColumn(
         "__s", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(salts)).cast("int"))
     per = checkpointed(p.groupBy("__u", "__s").agg(F.count(F.lit(1)).alias("__n")))
     counts = {r["__u"]: r["n"] for r in per.groupBy("__u").agg(F.sum("__n").alias("n")).collect()}
-    kept, _ = split_plan(plan_patterns(counts, cap), cap)
+    kept, _ = split_plan(plan_patterns(counts, cap), cap, least)
     slots = slot_table(kept)
     whole = {u: min(n, max((e for v, _, e, _, _ in slots if v == u), default=0)) for u, n in counts.items()}
     line, at = [], 0
     for u, n in sorted(counts.items()):
         line.append((u, whole[u], at))
         at += u * (n - whole[u])
-    gaps = gap_table(kept, at, cap)
+    gaps = gap_table(kept, at, cap, least)
     before = W.partitionBy("__u").orderBy("__s").rowsBetween(W.unboundedPreceding, -1)
     limits = F.broadcast(spark.createDataFrame(line, "__u int, __whole long, __line long"))
     base = checkpointed(per.join(limits, "__u").withColumn("__base", F.coalesce(F.sum("__n").over(before), F.lit(0))))
@@ -342,7 +358,7 @@ def place(pieces: DataFrame, capacity: int = CAPACITY, unit: int = UNIT) -> Data
             F.sequence(F.floor((F.greatest(a, g["f"]) - g["f"]) / g["w"]).cast("long"), F.floor((F.least(end, g["f"] + g["w"] * g["t"]) - 1 - g["f"]) / g["w"]).cast("long")),
             lambda j: F.struct((F.greatest(a, g["f"] + j * g["w"]) - a).alias("lo"), (F.least(end, g["f"] + (j + 1) * g["w"]) - a).alias("hi"), (g["q"] + j).alias("q")))))
         cut = p.where(F.col("__r") >= F.col("__whole")).withColumn("__x", F.col("__line") + (F.col("__r") - F.col("__whole")) * F.col("__u"))
-        cut = cut.withColumn("__c", F.explode(parts)).withColumn("__n", F.least(F.col("length"), F.col("__c.hi") * unit) - F.col("__c.lo") * unit)
+        cut = cut.withColumn("__c", F.explode(parts)).withColumn("__n", F.least(F.col("length"), F.col("__c.hi") * unit) - F.col("__c.lo") * unit).where("__n > 0")
         bytes_ = F.substring(F.col("ids"), (F.col("__c.lo") * (4 * unit) + 1).cast("int"), (F.col("__n") * 4).cast("int"))
         out = stays.unionByName(cut.select(
             "doc_id", (F.col("start") + F.col("__c.lo") * unit).alias("start"), F.col("__n").alias("length"), "doc_tokens", F.crc32(bytes_).alias("ids_crc32"),
@@ -352,6 +368,6 @@ def place(pieces: DataFrame, capacity: int = CAPACITY, unit: int = UNIT) -> Data
         "doc_id", "start", "length", "doc_tokens", "ids_crc32", "sequence_id", "offset")
 
 
-def pack(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, unit: int = UNIT) -> DataFrame:
+def pack(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, unit: int | None = None) -> DataFrame:
     """``(doc_id, start, length, doc_tokens, ids_crc32, sequence_id, offset)`` per piece; the ids are written once to the shared folder."""
     return place(checkpointed(cut_pieces(docs, path, doc_id, text, capacity)), capacity, unit)

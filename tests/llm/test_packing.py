@@ -68,6 +68,14 @@ def test_many_equal_lengths_pack_tightly(spark, tokenizer):
     assert check(packing.pack(spark.createDataFrame(same, "doc_id long, text string"), PATH).collect(), same, tokenizer) < 0.015
 
 
+@pytest.mark.parametrize("words", [lambda i: 1 + i % 20, lambda i: 1 + i % 20 if i % 40 else 900 + i % 700, lambda i: 3, lambda i: 30 + i % 90])
+def test_short_rows_pack_tightly(spark, tokenizer, words):
+    docs = [(i, " ".join(["word"] * words(i))) for i in range(12000)]
+    waste = check(packing.pack(spark.createDataFrame(docs, "doc_id long, text string").repartition(4), PATH).collect(), docs, tokenizer)
+    ideal = sum(len(tokenizer.encode(x, add_special_tokens=False).ids) + 1 for _, x in docs) / 2048
+    assert ideal / (1 - waste) < 1.02 * ideal + 1  # the last sequence may be part full
+
+
 def test_patterns_cover_and_come_near_the_bound():
     rng = np.random.default_rng(0)
     for n in (3, 200, 20_000):
