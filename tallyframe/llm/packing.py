@@ -54,6 +54,9 @@ class _Ids:
         self.chunks: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        self.chunks, self.parts = {}, {}
+
     def _learn(self, parts: list[str], tokenizer) -> None:
         for p, e in zip(parts, tokenizer.encode_batch_fast(parts, add_special_tokens=False)):
             self.parts[p] = array("I", e.ids).tobytes() if sys.byteorder == "little" else np.array(e.ids, "<u4").tobytes()
@@ -124,6 +127,13 @@ def cut_pieces(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "
     end = int(END_ID).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from cut(batches)
+        finally:
+            if path in _TOKENIZERS:  # the worker may serve other stages next; only the tokenizer is worth its memory
+                _TOKENIZERS[path].forget()
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             owners, start, ids, total = [], [], [], []
             for i, b in enumerate(token_bytes(["" if t is None else t for t in batch.column(1).to_pylist()], path)):

@@ -254,8 +254,9 @@ def _calibrate(held: DataFrame, model: Model) -> Model:
         w = _Weights(sent.value)
         for batch in batches:
             out = []
-            chunks = [(t or "").split() for t in batch.column(0).to_pylist()]
-            for x, y in zip(w.of(chunks), batch.column(1).to_pylist()):
+            texts = [t or "" for t in batch.column(0).to_pylist()]
+            weights = (x for part in _parts(texts) for x in w.of([t.split() for t in part]))
+            for x, y in zip(weights, batch.column(1).to_pylist()):
                 hist = Counter(np.round(np.clip(x, -8, 8) * 16).astype(int).tolist()) if y == 0 else {}
                 out.append((y, len(x), [s for *_, s in maximal_segments(x)], list(hist.keys()), list(hist.values())))
             cols = list(zip(*out)) if out else [()] * 5
