@@ -76,11 +76,11 @@ def offline_reply(prompt: Column) -> Column:
     return F.when(has(SENTIMENT_WORDS), OFFLINE_SENTIMENT).when(has(SUMMARY_WORDS), OFFLINE_SUMMARY).otherwise(OFFLINE_OTHER)
 
 
-def offline_complete(prompt: str, system: str = "", max_tokens: int = 1000) -> str:
-    p = prompt.lower()
-    if any(w in p for w in SENTIMENT_WORDS):
-        return OFFLINE_SENTIMENT
-    return OFFLINE_SUMMARY if any(w in p for w in SUMMARY_WORDS) else OFFLINE_OTHER
+def rule_reply(prompt: Column) -> Column:
+    """The reply by key words as a column expression; a null prompt gets the reply of other prompts."""
+    low = F.lower(F.coalesce(prompt, F.lit("")))
+    has = lambda words: reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in words])
+    return F.when(has(SENTIMENT_WORDS), OFFLINE_SENTIMENT).when(has(SUMMARY_WORDS), OFFLINE_SUMMARY).otherwise(OFFLINE_OTHER)
 
 
 def month_change(df: DataFrame, day: str, value: str) -> DataFrame:
