@@ -9,7 +9,8 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.operators.ordered import lookup_join, null_safe_join, one_row, quantiles_wide
+from tallyframe.operators.ordered import bucketize, lookup_join, null_safe_join, one_row, quantiles_wide, row_index
+from tallyframe.session import checkpointed
 
 
 def column_pairs(cols: Sequence[str]) -> list[tuple[str, str]]:
@@ -136,13 +137,40 @@ def one_hot(df: DataFrame, col: str, categories: Sequence[str]) -> DataFrame:
 
 
 def fitted_categories(train: DataFrame, col: str, limit: int = 1000) -> list[str]:
-    """Distinct values in order; refuses a column with more than ``limit`` of them."""
+    """Distinct values in order, for forms with one column each; more than ``limit`` are refused (see ``one_hot_sparse``)."""
     rows = train.where(F.col(col).isNotNull()).select(col).distinct().limit(limit + 1).collect()
     if len(rows) > limit:
         raise ValueError(f"{col} has more than {limit} categories")
     return sorted(r[0] for r in rows)
 
 
+def category_index(train: DataFrame, col: str) -> DataFrame:
+    """Fitted categories as a table ``(col, index)``: 0 for the most frequent one, ties by the md5 of the value; nulls are none.
+
+    Any number of categories: rows are counted before they are ordered, and the order is cut into buckets, even where most
+    categories are equally frequent.
+    """
+    counts = train.where(F.col(col).isNotNull()).groupBy(col).agg((-F.count(F.lit(1))).alias("__n"))
+    counts = counts.withColumn("__h", F.md5(F.col(col).cast("string")))
+    cut = bucketize(counts.withColumn("__k", F.conv(F.substring("__h", 1, 15), 16, 10).cast("long")), "__n", "__k")
+    ranked = row_index(cut, "__n", "__h", bucket=F.col("__b"))
+    return checkpointed(ranked.select(col, (F.col("rn") - 1).cast("int").alias("index")))
+
+
+def one_hot_sparse(df: DataFrame, col: str, index: DataFrame, name: str = "hot") -> DataFrame:
+    """One-hot code as a sparse vector ``(size, indices, values)``, for columns with too many categories for one column each.
+
+    ``index`` is a table made by ``category_index``. Values that it does not hold, and null, give a vector without entries.
+    """
+    size = one_row(index.agg(F.count(F.lit(1)).cast("int").alias("n")))["n"]
+    ix = F.col("__ix.index")
+    d = lookup_join(df, index.select(col, F.struct("index").alias("__ix")), [col], "left")
+    none = lambda t: F.array().cast(f"array<{t}>")
+    return d.withColumn(name, F.struct(
+        size.alias("size"), F.when(ix.isNull(), none("int")).otherwise(F.array(ix)).alias("indices"),
+        F.when(ix.isNull(), none("double")).otherwise(F.array(F.lit(1.0))).alias("values"))).drop("__ix")
+
+
 def ordinal(col: str, order: Sequence[str]) -> Column:
     """0-based place in the given order, -1 when unknown."""
     return F.coalesce(F.array_position(F.array(*[F.lit(v) for v in order]), F.col(col)) - 1, F.lit(-1)).cast("int")

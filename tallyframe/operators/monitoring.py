@@ -78,7 +78,22 @@ def ks_status(p: Column) -> Column:
 def needs_retrain(psi_value: Column, accuracy_drop: Column | None = None) -> Column:
     """PSI above 0.25, or accuracy down by five points or more."""
     out = psi_value > 0.25
-    return out if accuracy_drop is None else out | (accuracy_drop >= 0.05)
+    return out if accuracy_drop is None else out | F.coalesce(accuracy_drop >= 0.05, F.lit(False))
+
+
+def accuracy_drop(df: DataFrame, correct: Column, is_prod: str) -> DataFrame:
+    """Accuracy of reference and production and the fall between them, from one pass; rows without an outcome take no part."""
+    share = lambda side: F.avg(F.when(side, correct.cast("double")))
+    return df.agg(share(~F.col(is_prod)).alias("ref_accuracy"), share(F.col(is_prod)).alias("prod_accuracy")).withColumn(
+        "drop", F.col("ref_accuracy") - F.col("prod_accuracy"))
+
+
+def drift_report(bins: DataFrame, ks: DataFrame, accuracy: DataFrame) -> DataFrame:
+    """One row per column: PSI and its status, the two-sample gap and its status, the accuracy fall, and whether to train again."""
+    d = psi(bins).join(ks.select("column", "d", "p"), "column").withColumn("accuracy_drop", one_row(accuracy)["drop"])
+    return d.withColumns({
+        "status": drift_status(F.col("psi")), "ks_status": ks_status(F.col("p")),
+        "retrain": needs_retrain(F.col("psi"), F.col("accuracy_drop"))})
 
 
 def ks_two_sample(df: DataFrame, cols: Sequence[str], is_prod: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.operators.ordered import row_index
+from tallyframe.session import checkpointed
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -81,3 +82,18 @@ def share_of_total(df: DataFrame, key: str) -> DataFrame:
 def pivot_counts(df: DataFrame, rows: str, cols: str, values: Sequence[str]) -> DataFrame:
     """Contingency table with zero for absent cells; the column values are given, so one pass."""
     return df.groupBy(rows).pivot(cols, list(values)).agg(F.count(F.lit(1))).na.fill(0)
+
+
+def co_occurrence(df: DataFrame, key: str, item: str) -> DataFrame:
+    """Pairs of items a < b that share keys: the number of such keys (``n_keys``) and of row pairs (``n_pairs``).
+
+    Rows are counted per key and item first, and the counts are joined on the key, so row pairs are never formed: a key of any size
+    is as many rows as it has different items. Work is the square of that number, so items should be categories. Rows with a null
+    key or item take no part.
+    """
+    one = df.where(F.col(key).isNotNull() & F.col(item).isNotNull()).groupBy(F.col(key).alias("k"), F.col(item).alias("i")).agg(
+        F.count(F.lit(1)).alias("n"))
+    one = checkpointed(one)
+    side = lambda i, n: one.select("k", F.col("i").alias(i), F.col("n").alias(n))
+    return side("a", "na").join(side("b", "nb"), "k").where("a < b").groupBy("a", "b").agg(
+        F.count(F.lit(1)).alias("n_keys"), F.sum(F.col("na") * F.col("nb")).alias("n_pairs"))

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions import distributions as D
 from tallyframe.operators.features import column_pairs
-from tallyframe.operators.ordered import lookup_join, null_safe_join, one_row, prefix_sums, row_index, value_ranks
+from tallyframe.operators.ordered import bucketize, lookup_join, null_safe_join, one_row, prefix_sums, row_index, value_ranks
+from tallyframe.session import checkpointed
 
 
 # -- correlation -----------------------------------------------------------------------------
@@ -128,12 +129,12 @@ def ttest_one_sample(df: DataFrame, col: str, popmean: float) -> DataFrame:
 
 def _welch(d: DataFrame) -> DataFrame:
     """Adds t, df and Cohen's d to rows holding n1, m1, v1, n2, m2, v2."""
-    a, b = F.col("v1") / F.col("n1"), F.col("v2") / F.col("n2")
+    a, b = F.try_divide("v1", "n1"), F.try_divide("v2", "n2")
     diff = F.col("m1") - F.col("m2")
     return d.withColumns({
-        "t": diff / F.sqrt(a + b),
-        "df": (a + b) * (a + b) / (a * a / (F.col("n1") - 1) + b * b / (F.col("n2") - 1)),
-        "d": diff / F.sqrt((F.col("v1") + F.col("v2")) / 2),
+        "t": F.try_divide(diff, F.sqrt(a + b)),
+        "df": F.try_divide((a + b) * (a + b), F.try_divide(a * a, F.col("n1") - 1) + F.try_divide(b * b, F.col("n2") - 1)),
+        "d": F.try_divide(diff, F.sqrt((F.col("v1") + F.col("v2")) / 2)),
     })
 
 
@@ -149,56 +150,76 @@ def effect_size(d: Column) -> Column:
     return F.when(F.abs(d) > 0.8, "large").when(F.abs(d) > 0.5, "medium").otherwise("small")
 
 
-def posthoc_pairwise(df: DataFrame, col: str, by: str, correction: str = "none") -> DataFrame:
-    """t and p of each pair of groups a < b.
+def posthoc_pairwise(df: DataFrame, col: str, by: str, correction: str = "none", blocks: int = 16) -> DataFrame:
+    """t and p of each pair of groups a < b, with ``p_corr`` by Bonferroni or Holm.
 
-    Works on one row per group. The rows are paired from a sorted array, whose
-    size is the number of groups.
+    Works on one row per group. Groups fall into ``blocks`` parts by hash, and parts meet part by part, so no task holds all
+    groups. Groups of one row have no variance and give null p; a null group takes no part.
     """
-    gs = group_stats(df, [col], by).select(F.struct("group", "n", "mean", "var").alias("g"))
-    arr = gs.agg(F.array_sort(F.collect_list("g")).alias("gs"))
-    pairs = arr.select(F.posexplode("gs").alias("i", "a"), "gs").select(
-        "a", F.explode(F.expr("slice(gs, i + 2, size(gs))")).alias("b"))
-    d = _welch(pairs.select(
-        F.col("a.group").alias("a"), F.col("b.group").alias("b"), F.col("a.n").alias("n1"), F.col("a.mean").alias("m1"),
-        F.col("a.var").alias("v1"), F.col("b.n").alias("n2"), F.col("b.mean").alias("m2"), F.col("b.var").alias("v2")))
+    gs = group_stats(df.where(F.col(by).isNotNull()), [col], by).select("group", "n", "mean", "var")
+    gs = checkpointed(gs.withColumn("part", F.pmod(F.xxhash64("group"), F.lit(blocks)).cast("int")))
+    other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("other")
+    side = lambda i, own, met: gs.select(
+        F.col("group").alias("ab"[i - 1]), F.col("n").alias(f"n{i}"), F.col("mean").alias(f"m{i}"), F.col("var").alias(f"v{i}"),
+        F.col("part").alias(own), other.alias(met))
+    pairs = side(1, "pa", "pb").join(side(2, "pb", "pa"), ["pa", "pb"]).where("a < b").drop("pa", "pb")
+    d = _welch(pairs)
     d = d.withColumn("p", D.t_pvalue(F.col("t"), F.col("df")))
-    m = F.count(F.lit(1)).over(W.partitionBy())
+    if correction == "none":
+        return d.withColumn("p_corr", F.col("p"))
+    d = checkpointed(d)
+    m = d.where("p IS NOT NULL").count()
     if correction == "bonferroni":
         return d.withColumn("p_corr", F.least(F.col("p") * m, F.lit(1.0)))
-    if correction == "holm":
-        w = W.partitionBy().orderBy("p", "a", "b")
-        d = d.withColumn("__h", F.least(F.col("p") * (m - F.row_number().over(w) + 1), F.lit(1.0)))
-        return d.withColumn("p_corr", F.max("__h").over(w.rowsBetween(W.unboundedPreceding, 0))).drop("__h")
-    return d.withColumn("p_corr", F.col("p"))
+    # Holm: the running maximum of p times what is left; buckets of p carry the maximum of the buckets before them
+    d = d.withColumn("pair", F.xxhash64("a", "b"))
+    known = row_index(d.where("p IS NOT NULL"), "p", "pair")
+    known = bucketize(known.withColumn("h", F.least(F.col("p") * (m - F.col("rn") + 1), F.lit(1.0))), "rn")
+    local = F.max("h").over(W.partitionBy("__b").orderBy("rn").rowsBetween(W.unboundedPreceding, 0))
+    tops = known.groupBy("__b").agg(F.max("h").alias("top"))
+    before = tops.select("__b", F.max("top").over(W.orderBy("__b").rowsBetween(W.unboundedPreceding, -1)).alias("before"))
+    done = known.withColumn("h", local).join(before, "__b").withColumn("p_corr", F.greatest("h", "before"))
+    out = done.select(*[c for c in d.columns if c != "pair"], "p_corr")
+    return out.unionByName(d.where("p IS NULL").drop("pair").withColumn("p_corr", F.lit(None).cast("double")))
 
 
 # -- contingency -------------------------------------------------------------------------------
 
 def contingency(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Observed and expected count for every cell, empty cells included."""
-    cells = df.groupBy(F.col(a).alias("a"), F.col(b).alias("b")).agg(F.count(F.lit(1)).alias("o"))
-    ra = cells.groupBy("a").agg(F.sum("o").alias("na"))
-    # marginal labels only: one row per category of the second variable
-    rb = cells.groupBy("b").agg(F.sum("o").alias("nb")).agg(F.collect_list(F.struct("b", "nb"))).scalar()
-    grid = ra.withColumn("bs", rb).select("a", "na", F.inline("bs"))
-    total = cells.agg(F.sum("o")).scalar()
-    d = null_safe_join(grid, cells, ["a", "b"], "left").withColumn("o", F.coalesce("o", F.lit(0)))
-    return d.withColumn("n", total).withColumn("e", F.col("na").cast("double") * F.col("nb") / F.col("n"))
+    """Observed ``o`` and expected ``e`` of each cell that occurs, with its marginals ``na``, ``nb`` and the total ``n``.
+
+    Rows with a null label take no part. Cells that do not occur are not formed: their number is that of both label sets
+    multiplied, and what they add to the statistics follows from the marginals.
+    """
+    cells = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(F.col(a).alias("a"), F.col(b).alias("b")).agg(
+        F.count(F.lit(1)).alias("o"))
+    cells = checkpointed(cells)
+    margin = lambda c: cells.groupBy(c).agg(F.sum("o").alias(f"n{c}"))
+    d = lookup_join(lookup_join(cells, margin("a"), ["a"]), margin("b"), ["b"])
+    d = d.withColumn("n", one_row(cells.agg(F.sum("o").alias("n")))["n"])
+    return d.withColumn("e", F.col("na").cast("double") * F.col("nb") / F.col("n"))
 
 
 def chi_square(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Chi-square (Yates only for 2 by 2), df, p and Cramér's V."""
-    d = contingency(df, a, b)
-    gap = F.abs(F.col("o") - F.col("e"))
-    s = d.agg(
-        F.count_distinct("a").alias("r"), F.count_distinct("b").alias("c"), F.max("n").alias("n"),
-        F.sum(gap * gap / F.col("e")).alias("plain"),
-        F.sum(F.pow(gap - F.least(F.lit(0.5), gap), 2) / F.col("e")).alias("yates"))
+    """Chi-square (Yates only for 2 by 2), df, p and Cramér's V; nulls where a variable has fewer than two labels.
+
+    An empty cell adds its expected count, so all empty cells add what the cells that occur leave of n. In a table of 2 by 2 all
+    four gaps are equal and the sum of 1/e is n times the sums of both inverse marginals.
+    """
+    d = checkpointed(contingency(df, a, b))
+    gap = F.col("o") - F.col("e")
+    margin = lambda c, k, inv: one_row(d.groupBy(c).agg(F.first(f"n{c}").alias("m")).agg(
+        F.count(F.lit(1)).alias(k), F.sum(1 / F.col("m").cast("double")).alias(inv)))
+    s = d.agg(F.count(F.lit(1)).alias("seen"), F.max("n").alias("n"), F.sum(gap * gap / F.col("e")).alias("part"),
+              F.sum("e").alias("covered"), F.max(F.abs(gap)).alias("gap"))
+    s = s.select("*", margin("a", "r", "ia").alias("__a"), margin("b", "c", "ib").alias("__b")).select("*", "__a.*", "__b.*")
+    empty = F.when(F.col("seen") == F.col("r") * F.col("c"), F.lit(0.0)).otherwise(F.col("n") - F.col("covered"))
+    yates = F.pow(F.col("gap") - F.least(F.lit(0.5), F.col("gap")), 2) * F.col("n") * F.col("ia") * F.col("ib")
     s = s.withColumn("df", (F.col("r") - 1) * (F.col("c") - 1))
-    s = s.withColumn("chi2", F.when(F.col("df") == 1, F.col("yates")).otherwise(F.col("plain")))
-    s = s.withColumn("p", D.chi2_pvalue(F.col("chi2"), F.col("df")))
-    return s.withColumn("v", F.sqrt(F.col("chi2") / (F.col("n") * (F.least("r", "c") - 1))))
+    s = s.withColumn("chi2", F.when(F.col("df") == 1, yates).when(F.col("df") > 1, F.col("part") + empty))
+    s = s.withColumn("p", F.when(F.col("chi2").isNotNull(), D.chi2_pvalue(F.col("chi2"), F.col("df"))))
+    s = s.withColumn("v", F.sqrt(F.try_divide(F.col("chi2"), F.col("n") * (F.least("r", "c") - 1))))
+    return s.select("r", "c", "n", "df", "chi2", "p", "v")
 
 
 # -- normality ---------------------------------------------------------------------------------

@@ -158,6 +158,18 @@ def one_hot(t):
     return FE.one_hot(t.orders.select("o_orderkey", "o_orderpriority"), "o_orderpriority", cats).drop("o_orderpriority")
 
 
+@query("one_hot_sparse", """
+WITH tr AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01'),
+ix AS (SELECT o_custkey, row_number() OVER (ORDER BY count(*) DESC, md5(CAST(o_custkey AS VARCHAR))) - 1 AS i FROM tr WHERE o_custkey IS NOT NULL GROUP BY 1)
+SELECT o_orderkey, CAST((SELECT count(*) FROM ix) AS INT) AS size, CAST(i AS INT) AS position, CAST(i IS NOT NULL AS INT) AS entries
+FROM orders LEFT JOIN ix USING (o_custkey)""")
+def one_hot_sparse(t):
+    """Customers as categories: fitted on the orders before 2000, so later customers are unknown."""
+    train = t.orders.where(F.col("o_orderdate") < F.lit("2000-01-01").cast("timestamp_ntz"))
+    d = FE.one_hot_sparse(t.orders.select("o_orderkey", "o_custkey"), "o_custkey", FE.category_index(train, "o_custkey"))
+    return d.select("o_orderkey", "hot.size", F.try_element_at("hot.indices", F.lit(1)).alias("position"), F.size("hot.values").alias("entries"))
+
+
 @query("ordinal_encode", """
 SELECT o_orderkey, CASE o_orderpriority WHEN '5-LOW' THEN 0 WHEN '3-MEDIUM' THEN 1 WHEN '2-HIGH' THEN 2 WHEN '1-URGENT' THEN 3 ELSE -1 END AS rank
 FROM orders""")

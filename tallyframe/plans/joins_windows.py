@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyframe.operators import features as FE, windows as WD
+from tallyframe.operators import features as FE, relational as RL, windows as WD
 from tallyframe.operators.ordered import lookup_join, value_ranks
 from tallyframe.plans import views
 from tallyframe.plans.registry import query
@@ -80,10 +80,22 @@ PAIR_COLUMNS = ["l_discount", "l_extendedprice", "l_quantity", "l_tax"]
 PAIRS = [(a, b) for i, a in enumerate(PAIR_COLUMNS) for b in PAIR_COLUMNS[i + 1:]]
 
 
-@query("self_pair_join", " UNION ALL ".join(
+@query("self_pair_join", """
+WITH x AS (SELECT l_orderkey, n_name, count(*) AS n FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+  GROUP BY 1, 2)
+SELECT x.n_name AS a, y.n_name AS b, count(*) AS n_orders, sum(x.n * y.n)::BIGINT AS n_pairs
+FROM x JOIN x AS y ON x.l_orderkey = y.l_orderkey AND x.n_name < y.n_name GROUP BY 1, 2""")
+def self_pair_join(t):
+    """Nations that supply the same order, joined on the order with a < b."""
+    home = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_name")
+    d = t.lineitem.select("l_orderkey", "l_suppkey").join(home, F.col("l_suppkey") == F.col("s_suppkey"))
+    return RL.co_occurrence(d, "l_orderkey", "n_name").withColumnRenamed("n_keys", "n_orders")
+
+
+@query("column_pairs", " UNION ALL ".join(
     f"SELECT '{a}' AS c1, '{b}' AS c2, count(*) FILTER ({a} < {b}) AS n_less, round(avg({a} * {b}), 4) AS mean_product "
     "FROM lineitem" for a, b in PAIRS))
-def self_pair_join(t):
+def column_pairs(t):
     """Every unordered pair of columns, all measured in one pass over the rows."""
     pairs = FE.column_pairs(PAIR_COLUMNS)
     one = t.lineitem.agg(*[e for i, (a, b) in enumerate(pairs) for e in (

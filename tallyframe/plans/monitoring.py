@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyframe.operators import monitoring as M
+from tallyframe.operators.ordered import one_row
 from tallyframe.plans import views
 from tallyframe.plans.registry import query
 from tallyframe.session import shared_path
@@ -47,18 +48,36 @@ def psi(t):
     return M.psi(bins(t)).select("column", F.round("psi", 8).alias("psi"))
 
 
-@query("drift_status", f"""SELECT "column", CASE WHEN psi < 0.1 THEN 'stable' WHEN psi < 0.25 THEN 'watch' ELSE 'drift' END AS status, psi > 0.25 AS retrain FROM ({PSI})""")
-def drift_status(t):
-    return M.psi(bins(t)).select("column", M.drift_status(F.col("psi")).alias("status"), M.needs_retrain(F.col("psi")).alias("retrain"))
-
-
 def _ks(c):
-    return f"""SELECT '{c}' AS "column", round(max(abs(cr / nr - cp / np)), 8) AS d FROM (
+    return f"""SELECT '{c}' AS "column", max(abs(cr / nr - cp / np)) AS d, max(nr) AS nr, max(np) AS np FROM (
       SELECT sum(r) OVER (ORDER BY v) AS cr, sum(p) OVER (ORDER BY v) AS cp, sum(r) OVER () AS nr, sum(p) OVER () AS np FROM (
         SELECT {c} AS v, count(*) FILTER (NOT is_prod) AS r, count(*) FILTER (is_prod) AS p FROM drift GROUP BY 1))"""
 
 
-@query("ks_two_sample", f"WITH {views.DRIFT} " + " UNION ALL ".join(_ks(c) for c in COLS))
+KS = " UNION ALL ".join(_ks(c) for c in COLS)
+
+
+@query("drift_status", f"""
+WITH ps AS ({PSI}),
+ks AS (WITH {views.DRIFT} SELECT "column", d, d * sqrt(nr * np / (nr + np)) AS x FROM ({KS})),
+kp AS (SELECT "column", d, CASE WHEN x < 0.2 THEN 1 ELSE 2 * list_sum(list_transform(range(1, 101),
+  lambda k: (CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END) * exp(-2.0 * k * k * x * x))) END AS p FROM ks),
+m AS (WITH {views.DRIFT} SELECT avg(l_extendedprice) AS mean FROM drift WHERE NOT is_prod),
+ac AS (WITH {views.DRIFT}, h AS (SELECT is_prod, CAST((l_extendedprice > mean) = (l_quantity > 25) AS INT) AS hit FROM drift, m)
+  SELECT avg(hit) FILTER (NOT is_prod) - avg(hit) FILTER (is_prod) AS fall FROM h)
+SELECT "column", round(psi, 8) AS psi, CASE WHEN psi < 0.1 THEN 'stable' WHEN psi < 0.25 THEN 'watch' ELSE 'drift' END AS status,
+  CASE WHEN p < 0.05 THEN 'drift' ELSE 'stable' END AS ks_status, round(fall, 6) AS accuracy_drop, psi > 0.25 OR fall >= 0.05 AS retrain
+FROM ps JOIN kp USING ("column"), ac""")
+def drift_status(t):
+    """The prediction that is judged: a price above the reference mean means more than 25 pieces."""
+    d = views.drift_pair(t)
+    mean = one_row(d.where("NOT is_prod").agg(F.avg("l_extendedprice").alias("mean")))["mean"]
+    fall = M.accuracy_drop(d, (F.col("l_extendedprice") > mean) == (F.col("l_quantity") > 25), "is_prod")
+    r = M.drift_report(bins(t), M.ks_two_sample(d, COLS, "is_prod"), fall)
+    return r.select("column", F.round("psi", 8).alias("psi"), "status", "ks_status", F.round("accuracy_drop", 6).alias("accuracy_drop"), "retrain")
+
+
+@query("ks_two_sample", f"""WITH {views.DRIFT} SELECT "column", round(d, 8) AS d FROM ({KS})""")
 def ks_two_sample(t):
     return M.ks_two_sample(views.drift_pair(t), COLS, "is_prod").select("column", F.round("d", 8).alias("d"))
 

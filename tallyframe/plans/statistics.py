@@ -179,6 +179,13 @@ def posthoc_pairwise(t):
     return S.posthoc_pairwise(t.orders, "o_totalprice", "o_orderpriority", "holm").select("a", "b", F.round("t", 6).alias("t"))
 
 
+@query("posthoc_corrected")
+def posthoc_corrected(t):
+    """Holm's p-values of all pairs; the t law has no SQL form."""
+    d = S.posthoc_pairwise(t.orders, "o_totalprice", "o_orderpriority", "holm")
+    return d.select("a", "b", F.round("t", 6).alias("t"), "p", "p_corr", (F.col("p_corr") < 0.05).alias("differs"))
+
+
 def _chi(table, a, b):
     yates = """CASE WHEN (SELECT (count(DISTINCT a) - 1) * (count(DISTINCT b) - 1) FROM o) = 1
                THEN sum(pow(abs(o - e) - least(0.5, abs(o - e)), 2) / e) ELSE sum(pow(o - e, 2) / e) END"""

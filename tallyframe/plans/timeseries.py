@@ -61,11 +61,17 @@ def adf_test(t):
 
 
 @query("acf_pacf", f"""
-WITH {views.DAILY}, c AS (SELECT row_number() OVER (ORDER BY day) AS i, y - (SELECT avg(y) FROM daily) AS c FROM daily)
-SELECT CAST(k AS INT) AS lag, round((SELECT sum(a.c * b.c) FROM c a JOIN c b ON a.i = b.i + k) / (SELECT sum(c * c) FROM c), 6) AS acf
-FROM (SELECT unnest(range(1, 11)) AS k)""")
+WITH RECURSIVE {views.DAILY}, c AS (SELECT row_number() OVER (ORDER BY day) AS i, y - (SELECT avg(y) FROM daily) AS c FROM daily),
+a AS (SELECT CAST(k AS INT) AS k, (SELECT sum(a.c * b.c) FROM c a JOIN c b ON a.i = b.i + k) / (SELECT sum(c * c) FROM c) AS r
+      FROM (SELECT unnest(range(1, 11)) AS k)),
+rs AS (SELECT list(r ORDER BY k) AS r FROM a),
+dl AS (SELECT 1 AS k, [r[1]] AS phi FROM rs UNION ALL
+  SELECT k + 1, list_append(list_transform(range(1, k + 1), lambda j: phi[j] - p * phi[k + 1 - j]), p) FROM (
+    SELECT k, phi, (r[k + 1] - list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * r[k + 1 - j])))
+      / (1 - list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * r[j]))) AS p FROM dl, rs WHERE k < 10))
+SELECT a.k AS lag, round(r, 6) AS acf, round(phi[a.k], 6) AS pacf FROM a JOIN dl ON a.k = dl.k""")
 def acf_pacf(t):
-    return TS.acf_pacf(views.daily_series(t), 10).select("lag", F.round("acf", 6).alias("acf"))
+    return TS.acf_pacf(views.daily_series(t), 10).select("lag", F.round("acf", 6).alias("acf"), F.round("pacf", 6).alias("pacf"))
 
 
 @query("temporal_holdout", f"""
