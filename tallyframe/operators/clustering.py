@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.operators.graph import connected_components
-from tallyframe.operators.ordered import one_row
+from tallyframe.operators.ordered import lookup_join, one_row
 from tallyframe.session import checkpointed
 
 SEED = 42
@@ -226,24 +226,58 @@ def cell_links(core: DataFrame, eps: float, side: float, rounds: int = 60) -> Da
     return out
 
 
+def within_reach(points: DataFrame, targets: DataFrame, by: Sequence[str], eps: float, side: float, enough: int, rounds: int = 20) -> DataFrame:
+    """How many targets lie within eps of each point: ``(*by, k)``, exact below ``enough`` and at least ``enough`` from there on.
+
+    ``points`` hold ``by``, ``x``, ``y`` and the cell to look at (``nx``, ``ny``); ``targets`` hold ``cx``, ``cy``, ``x``, ``y``.
+    A cell is met as the tight boxes around its targets. A box within eps as a whole counts with its number, one further away
+    falls, and the others are cut in eight each way for the next round; points that have enough stop. So a point never meets all
+    targets of a crowded cell, and equal targets are one box.
+    """
+    def boxes(level):
+        s = side / (1 << 3 * level)
+        return targets.groupBy("cx", "cy", F.floor(F.col("x") / s).alias("bx"), F.floor(F.col("y") / s).alias("by")).agg(
+            F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"), F.count(F.lit(1)).alias("n"))
+
+    keep = [*by, "x", "y", "nx", "ny"]
+    open_, found, counts = points.select(*dict.fromkeys(keep)), [], None
+    for level in range(rounds):
+        b = boxes(level).withColumnsRenamed({"cx": "nx", "cy": "ny"})
+        if level:
+            b = b.withColumns({"px": F.floor(F.col("bx") / 8), "py": F.floor(F.col("by") / 8)})
+        j = open_.join(b, ["nx", "ny"] + (["px", "py"] if level else []))
+        gap = lambda c: F.greatest(F.col(f"{c}0") - F.col(c), F.col(c) - F.col(f"{c}1"), F.lit(0.0))
+        far = lambda c: F.greatest(F.col(f"{c}1") - F.col(c), F.col(c) - F.col(f"{c}0"))
+        j = j.where(gap("x") * gap("x") + gap("y") * gap("y") <= eps * eps)
+        j = checkpointed(j.select(*dict.fromkeys(keep), F.col("bx").alias("px"), F.col("by").alias("py"), "n",
+                                  (far("x") * far("x") + far("y") * far("y") <= eps * eps).alias("whole")))
+        found.append(j.where("whole").groupBy(*by).agg(F.sum("n").alias("k")))
+        counts = checkpointed(reduce(DataFrame.unionByName, found).groupBy(*by).agg(F.sum("k").alias("k")))
+        found = [counts]
+        open_ = checkpointed(j.where("NOT whole").drop("n", "whole").join(counts.where(F.col("k") >= enough), list(by), "left_anti"))
+        if open_.isEmpty():
+            return counts
+    raise RuntimeError(f"points still undecided after {rounds} rounds")
+
+
 def dbscan(df: DataFrame, key: str, x: str, y: str, eps: float = 0.4, min_samples: int = 5) -> DataFrame:
     """Exact DBSCAN in two dimensions: (key, cluster, is_core); cluster = smallest core key, noise = -1.
 
     Grid cells of side eps/√2: points of one cell are always within eps, so a
     cell with ``min_samples`` points is all core and needs no pairs. Only points
-    of emptier cells look at neighbour cells, at most (min_samples - 1) per cell.
-    A border point joins its smallest neighbouring cluster.
+    of emptier cells look at neighbour cells, at most (min_samples - 1) per cell,
+    and meet them as boxes until they have enough neighbours (``within_reach``).
+    A border point joins its smallest neighbouring cluster. Points with a null or not finite coordinate are noise.
     """
     side = eps / math.sqrt(2)
     p = df.select(F.col(key).alias("id"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+    finite = lambda c: F.coalesce(F.abs(c) < float("inf"), F.lit(False))
+    lost = p.where(~(finite(F.col("x")) & finite(F.col("y")))).select("id", F.lit(-1).cast("long").alias("cluster"), F.lit(False).alias("is_core"))
+    p = p.where(finite(F.col("x")) & finite(F.col("y")))
     p = p.withColumns({"cx": F.floor(F.col("x") / side), "cy": F.floor(F.col("y") / side)})
     size = p.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n"))
-    p = checkpointed(p.join(size, ["cx", "cy"]))
-    sparse = _neighbour_cells(p.where(F.col("n") < min_samples))
-    q = p.select(F.col("cx").alias("nx"), F.col("cy").alias("ny"), F.col("id").alias("qid"), F.col("x").alias("qx"), F.col("y").alias("qy"))
-    close = (F.col("x") - F.col("qx")) * (F.col("x") - F.col("qx")) + (F.col("y") - F.col("qy")) * (F.col("y") - F.col("qy")) <= eps * eps
-    near = sparse.join(q, ["nx", "ny"]).where(close)
-    counts = near.groupBy("id").agg(F.count(F.lit(1)).alias("k"))
+    p = checkpointed(lookup_join(p, size, ["cx", "cy"]))
+    counts = within_reach(_neighbour_cells(p.where(F.col("n") < min_samples)), p, ["id"], eps, side, min_samples)
     p = checkpointed(p.join(counts, "id", "left").withColumn(
         "is_core", (F.col("n") >= min_samples) | (F.coalesce("k", F.lit(0)) >= min_samples)).drop("k"))
     core = p.where("is_core")
@@ -255,14 +289,13 @@ def dbscan(df: DataFrame, key: str, x: str, y: str, eps: float = 0.4, min_sample
     comp = connected_components(edges, name.select(F.col("cell").alias("node")))
     cells = name.join(comp, F.col("cell") == F.col("node")).select("cx", "cy", F.col("component").alias("cluster"))
     cells = checkpointed(cells)
-    core_cells = core.select(F.col("cx").alias("nx"), F.col("cy").alias("ny"), F.col("x").alias("qx"), F.col("y").alias("qy"))
-    border = _neighbour_cells(p.where("NOT is_core")).join(core_cells, ["nx", "ny"]).where(close).join(
+    border = within_reach(_neighbour_cells(p.where("NOT is_core")), core, ["id", "nx", "ny"], eps, side, 1).join(
         cells.select(F.col("cx").alias("nx"), F.col("cy").alias("ny"), "cluster"), ["nx", "ny"])
     border = border.groupBy("id").agg(F.min("cluster").alias("cluster"))
-    done = core.join(cells, ["cx", "cy"]).select("id", "cluster", F.lit(True).alias("is_core"))
+    done = lookup_join(core, cells, ["cx", "cy"]).select("id", "cluster", F.lit(True).alias("is_core"))
     rest = p.where("NOT is_core").join(border, "id", "left").select(
         "id", F.coalesce("cluster", F.lit(-1).cast("long")).alias("cluster"), F.lit(False).alias("is_core"))
-    return done.unionByName(rest).withColumnRenamed("id", key)
+    return done.unionByName(rest).unionByName(lost).withColumnRenamed("id", key)
 
 
 def cluster_count(labels: DataFrame) -> DataFrame:

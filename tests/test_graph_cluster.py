@@ -1,9 +1,12 @@
 """Graph and clustering operators against brute force."""
 
 import itertools
+import math
 import random
 from collections import defaultdict, deque
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -164,6 +167,40 @@ def test_dbscan_against_brute_force(spark, seed):
     assert len(set(got.values())) > 2
 
 
+def test_dbscan_with_a_crowded_cell(spark):
+    """Most points fill one cell; the others lie around it, so that their circles cut through the crowd."""
+    rng = np.random.default_rng(4)
+    crowd = rng.uniform(0.001, 0.211, (100_000, 2))
+    around = np.array([[0.1, 0.35], [0.39, 0.1], [0.45, 0.45], [-0.2, 0.1], [0.1, 0.512], [0.9, 0.9], [0.5105, 0.2]])
+    pts = np.vstack([crowd, around])
+    d = spark.createDataFrame(pd.DataFrame({"id": range(len(pts)), "x": pts[:, 0], "y": pts[:, 1]}))
+    d = d.unionByName(spark.createDataFrame([(-1, None, 0.1), (-2, float("nan"), 0.1), (-3, 0.1, float("inf"))], "id long, x double, y double"))
+    got = {r["id"]: (r["cluster"], r["is_core"]) for r in CL.dbscan(d, "id", "x", "y", 0.3, 5).collect()}
+    assert len(got) == len(pts) + 3 and all(got[i] == (0, True) for i in range(len(crowd))) and all(got[i] == (-1, False) for i in (-1, -2, -3))
+    for k, q in enumerate(around, len(crowd)):
+        gap = ((pts - q) ** 2).sum(axis=1)
+        core = (gap <= 0.09).sum() >= 5
+        near = core or (gap[:len(crowd)] <= 0.09).any() or any(((around[i - len(crowd)] - q) ** 2).sum() <= 0.09 and got[i][1] for i in range(len(crowd), len(pts)))
+        assert got[k] == (0 if near else -1, bool(core)), q
+
+
+def test_within_reach_counts(spark):
+    rng = np.random.default_rng(9)
+    side, eps = 0.3 / math.sqrt(2), 0.3
+    t = np.vstack([rng.uniform(0, side, (3000, 2)), np.full((500, 2), 0.1)])
+    q = rng.uniform(-0.3, 0.5, (40, 2))
+    targets = spark.createDataFrame(pd.DataFrame({"x": t[:, 0], "y": t[:, 1]})).select(
+        F.lit(0).cast("long").alias("cx"), F.lit(0).cast("long").alias("cy"), "x", "y")
+    points = spark.createDataFrame(pd.DataFrame({"id": range(40), "x": q[:, 0], "y": q[:, 1]})).withColumns(
+        {"nx": F.lit(0).cast("long"), "ny": F.lit(0).cast("long")})
+    want = {i: int((((t - p) ** 2).sum(axis=1) <= eps * eps).sum()) for i, p in enumerate(q)}
+    want = {i: n for i, n in want.items() if n}
+    got = {r["id"]: r["k"] for r in CL.within_reach(points, targets, ["id"], eps, side, 10 ** 9).collect()}
+    assert got == want
+    some = {r["id"]: r["k"] for r in CL.within_reach(points, targets, ["id"], eps, side, 5).collect()}
+    assert set(some) == set(want) and all(min(some[i], 5) == min(want[i], 5) for i in want)
+
+
 def test_silhouette_by_hand(spark):
     d = spark.createDataFrame([([0.0], 0), ([1.0], 0), ([10.0], 1), ([5.0], -1)], "v array<double>, c int")
     r = CL.silhouette(d, "v", "c").first()
