@@ -67,24 +67,27 @@ def _outside(col: str) -> Column:
     return (F.col(col) < F.col("__p.flag_lower")) | (F.col(col) > F.col("__p.flag_upper"))
 
 
+def _capped(col: str) -> Column:
+    return F.when(F.col(col).isNotNull(), F.greatest(F.least(F.col(col), F.col("__p.upper")), F.col("__p.lower")))
+
+
 def cap_outliers(df: DataFrame, col: str, method: str = "iqr", k: float = 1.5, flag: str | None = None) -> DataFrame:
     """Clip to the bounds; rows are kept. ``flag`` names a 0/1 column that marks the rows outside, judged before clipping."""
     d = df.withColumn("__p", one_row(_bounds(df, col, method, k)))
     if flag is not None:
         d = d.withColumn(flag, F.coalesce(_outside(col), F.lit(False)).cast("int"))
-    capped = F.greatest(F.least(F.col(col), F.col("__p.upper")), F.col("__p.lower"))
-    return d.withColumn(col, F.when(F.col(col).isNotNull(), capped)).drop("__p")
+    return d.withColumn(col, _capped(col)).drop("__p")
 
 
 def outlier_stats(df: DataFrame, col: str, method: str = "iqr", k: float = 1.5) -> DataFrame:
-    """One row: flagged rows, their percent of all rows, and the bounds, rounded to 2 places."""
+    """One row: flagged rows, their percent of all rows, the bounds and the sum after clipping, rounded to 2 places."""
     p = one_row(_bounds(df, col, method, k))
     d = df.select(col).withColumn("__p", p)
     n = F.count_if(_outside(col))
-    return d.groupBy("__p").agg(n.alias("n_outliers"), F.count(F.lit(1)).alias("n")).select(
+    return d.groupBy("__p").agg(n.alias("n_outliers"), F.count(F.lit(1)).alias("n"), F.sum(_capped(col)).alias("s")).select(
         F.lit(col).alias("column"), F.lit(method).alias("method"), "n_outliers",
         F.round(F.col("n_outliers") / F.col("n") * 100, 2).alias("pct"),
-        F.round("__p.lower", 2).alias("lower"), F.round("__p.upper", 2).alias("upper"))
+        F.round("__p.lower", 2).alias("lower"), F.round("__p.upper", 2).alias("upper"), F.round("s", 2).alias("capped_sum"))
 
 
 def drop_outliers(df: DataFrame, col: str, method: str = "zscore", k: float = 1.5) -> DataFrame:

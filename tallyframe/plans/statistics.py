@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyframe.functions import distributions as D
-from tallyframe.operators import stats as S
+from tallyframe.operators import features as FE, stats as S
 from tallyframe.plans.registry import query
 
 COLS = ["l_discount", "l_extendedprice", "l_quantity", "l_tax"]
@@ -53,7 +53,7 @@ def pearson_pvalues(t):
 def ols_regression(t):
     """l_extendedprice ~ l_quantity + l_discount + C(l_returnflag) + l_tax: coefficients and summary in one table."""
     coef, summary, _ = S.ols(t.lineitem, "l_extendedprice", ["l_quantity", "l_discount", "l_tax"],
-                             {"l_returnflag": ["A", "N", "R"]})
+                             {"l_returnflag": FE.fitted_categories(t.lineitem, "l_returnflag")})
     s = summary.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("term"), F.col(c).cast("double").alias("coef")) for c in summary.columns])))
     return coef.unionByName(s, allowMissingColumns=True)
