@@ -10,13 +10,14 @@ a two-feature logistic curve turns the document's best and summed excess into a
 from __future__ import annotations
 
 import re
-import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,7 +25,6 @@ from pyspark.sql import types as T
 from tallyframe.llm.common import map_texts
 from tallyframe.session import checkpointed
 
-BUCKETS = 1 << 20  # hashed features: bounds the model whatever the vocabulary
 MAX_LABELLED = 100_000  # labelled rows the classifier learns from, the first by hash of the id
 PREFIXES = (4, 5, 6)
 DRIFT = 0.7
@@ -37,15 +37,11 @@ _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _CHUNK = re.compile(r"\S+")
 
 
-#: Checksums of what stands before a word or its prefix in the name of a feature.
-_WORD, _PREFIX = zlib.crc32(b"w:"), [(k, zlib.crc32(f"{k}:".encode())) for k in PREFIXES]
-
-
 def _features(word: str) -> list[int]:
-    """Buckets of a word from coarse to fine: its prefixes, then itself."""
+    """64-bit names of a word's features from coarse to fine: its prefixes, then itself."""
     whole = word.encode("utf-8", "surrogatepass")
     part = whole.__getitem__ if len(whole) == len(word) else lambda s: word[s].encode("utf-8", "surrogatepass")
-    return [zlib.crc32(part(slice(k)), c) % BUCKETS for k, c in _PREFIX if len(word) > k] + [zlib.crc32(whole, _WORD) % BUCKETS]
+    return [xxhash.xxh64_intdigest(part(slice(k)), k) for k in PREFIXES if len(word) > k] + [xxhash.xxh64_intdigest(whole)]
 
 
 def _word(chunk: str) -> str:
@@ -55,8 +51,9 @@ def _word(chunk: str) -> str:
 
 @dataclass
 class Model:
-    """Bounded by BUCKETS; small enough to go to every task."""
+    """Evidence of every feature with a labelled occurrence, by its name in order; bounded by the labelled sample."""
 
+    keys: np.ndarray
     toxic: np.ndarray
     clean: np.ndarray
     prior: np.ndarray
@@ -66,26 +63,68 @@ class Model:
     k: float = 0.1
     curve: tuple[float, float, float] = (-1.0, 0.0, 1.0)
 
+    def evidence(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Toxic and clean occurrences and the prior's strength; a feature that no labelled text has passes its prior on."""
+        at, known = _places(self.keys, names)
+        out = np.zeros(len(names)), np.zeros(len(names)), np.full(len(names), PRIOR)
+        for o, a in zip(out, (self.toxic, self.clean, self.prior)):
+            o[known] = a[at[known]]
+        return out
+
     def weights(self, chunks: list[str]) -> np.ndarray:
         """Log-odds of white-space delimited tokens less the drift; a token without letters or digits has the drift only."""
         words = [_word(c) for c in chunks]
-        buckets = [_features(w) if w else [] for w in words]
-        levels = np.full((len(chunks), len(PREFIXES) + 1), -1, np.int64)
-        for i, b in enumerate(buckets):
-            levels[i, : len(b)] = b
+        levels, depth = np.zeros((len(chunks), len(PREFIXES) + 1), np.uint64), np.zeros(len(chunks), np.int64)
+        for i, w in enumerate(words):
+            if w:
+                names = _features(w)
+                depth[i] = len(names)
+                levels[i, : len(names)] = names
         base = self.n_toxic / self.n_clean
         odds = np.full(len(chunks), base)
-        for b in levels.T:
-            i = np.flatnonzero(b >= 0)
-            b = b[i]
-            q, s = np.clip(odds[i] / (1 + odds[i]), SURE, 1 - SURE), self.prior[b].astype(float)  # a sure prefix never decides alone
-            odds[i] = (self.toxic[b] + s * q) / (self.clean[b] + s * (1 - q))
-        return np.where(levels[:, 0] < 0, -DRIFT, np.log(odds / base) - DRIFT)
+        for k in range(levels.shape[1]):
+            i = np.flatnonzero(depth > k)
+            q = np.clip(odds[i] / (1 + odds[i]), SURE, 1 - SURE)  # a sure prefix never decides alone
+            toxic, clean, s = self.evidence(levels[i, k])
+            odds[i] = (toxic + s * q) / (clean + s * (1 - q))
+        return np.where(depth == 0, -DRIFT, np.log(odds / base) - DRIFT)
 
     def weight(self, chunk: str) -> float:
         return float(self.weights([chunk])[0])
 
 
+def _places(keys: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where names stand in the ordered keys, and which of them do."""
+    at = np.searchsorted(keys, names)
+    known = at < len(keys)
+    known[known] = keys[at[known]] == names[known]
+    return at, known
+
+
+class _Counts:
+    """Occurrences of the features of texts by class, handed over whenever CACHE distinct tokens have come together."""
+
+    def __init__(self, classes: int):
+        self.words = [Counter() for _ in range(classes)]
+
+    def full(self) -> bool:
+        return sum(map(len, self.words)) > CACHE
+
+    def take(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(name, class, occurrences)``, one for each token and feature; starts anew."""
+        names, classes, counts = array("Q"), array("b"), array("q")
+        for k, c in enumerate(self.words):
+            for chunk, n in c.items():
+                word = _word(chunk)
+                if word:
+                    for f in _features(word):
+                        names.append(f)
+                        classes.append(k)
+                        counts.append(n)
+            c.clear()
+        return np.frombuffer(names, np.uint64), np.frombuffer(classes, np.int8), np.frombuffer(counts, np.int64)
+
+
 class _Weights:
     """Weights of the tokens of one task, kept for at most CACHE distinct ones."""
 
@@ -197,8 +236,10 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column, doc_id: str = "do
           max_labelled: int = MAX_LABELLED) -> Model:
     """Learns weights and calibration. ``allowed`` is a condition on the label rows that may be learned from.
 
-    The background counts cover all documents. The labelled sample is bounded by ``max_labelled``, so it is
-    broadcast. Without labels of both classes all weights are the drift and every score is low.
+    The labelled sample is bounded by ``max_labelled``, so it is broadcast, and so are the features its texts have;
+    each is counted by itself. How often they stand in the whole corpus is then counted over all documents. Repeated
+    rows count as often as they stand; a null text has no tokens. Without labels of both classes, as in an empty
+    table, all weights are the drift and every score is low.
     """
     sample = labelled_rows(labels, allowed, max_labelled, doc_id, label)
     base = docs.select(F.col(doc_id).alias("__id"), F.col(text).cast("string").alias("__t"))
@@ -206,43 +247,60 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column, doc_id: str = "do
         "__t", F.when(F.col("__fit"), F.col("__y")).otherwise(-1).alias("__y"), F.coalesce(~F.col("__fit"), F.lit(False)).alias("__cal"),
         F.col("__y").alias("__label"))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, words = np.zeros((3, BUCKETS), np.int64), [Counter(), Counter(), Counter()]
+    def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = _Counts(2)
 
-        def flush() -> None:
-            for k, c in enumerate(words):
-                for word, n in c.items():
-                    word = _word(word)
-                    if word:
-                        for b in _features(word):
-                            sums[k, b] += n
-                c.clear()
+        def flush() -> pa.RecordBatch:
+            names, classes, n = counts.take()
+            keys, at = np.unique(names, return_inverse=True)
+            sums = [np.bincount(at, n * (classes == k), len(keys)).astype(np.int64) for k in (0, 1)]
+            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), *map(pa.array, sums)], names=["f", "c", "t"])
 
         for batch in batches:
             for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words[y + 1].update((t or "").split())
-                if sum(map(len, words)) > CACHE:
-                    flush()
-        flush()
-        some = np.flatnonzero(sums.any(axis=0))
-        for at in range(0, len(some), 100_000):
-            s = some[at:at + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(s.astype(np.int32)), *[pa.array(sums[k, s]) for k in range(3)]], names=["b", "u", "c", "t"])
-
-    counts = marked.select("__t", F.col("__y").cast("int")).mapInArrow(count, "b int, u long, c long, t long")
-    counts = counts.groupBy("b").agg(F.sum("u").alias("u"), F.sum("c").alias("c"), F.sum("t").alias("t"))
-    counts = checkpointed(counts)
-    total = counts.agg(F.sum(F.col("u") + F.col("c") + F.col("t")).alias("n")).first()["n"] or 1
-    # buckets without a labelled occurrence only pass on their prior, so at most BUCKETS rows of evidence are read
-    got = counts.where("c + t > 0").select("b", "c", "t", F.col("u") + F.col("c") + F.col("t")).toArrow()
-    b, c, t, a = (got.column(i).to_numpy() for i in range(4))
-    toxic, clean, prior = np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS, np.float32), np.full(BUCKETS, PRIOR, np.float32)
-    toxic[b], clean[b], prior[b] = t, c, PRIOR + BACKGROUND * a / total
-    model = Model(toxic, clean, prior, float(t.sum()), float(c.sum()))
+                counts.words[y].update((t or "").split())
+                if counts.full():
+                    yield flush()
+        yield flush()
+
+    rows = marked.where("__y >= 0").select("__t", F.col("__y").cast("int")).mapInArrow(labelled, "f long, c long, t long")
+    got = checkpointed(rows.groupBy("f").agg(F.sum("c").alias("c"), F.sum("t").alias("t"))).toArrow()
+    keys, c, t = got.column(0).to_numpy().view(np.uint64), got.column(1).to_numpy(), got.column(2).to_numpy()
+    order = np.argsort(keys)
+    keys, clean, toxic = keys[order], c[order].astype(np.float32), t[order].astype(np.float32)
+    model = Model(keys, toxic, clean, np.full(len(keys), PRIOR, np.float32), float(t.sum()), float(c.sum()))
     if not model.n_toxic or not model.n_clean:
         model.n_toxic = model.n_clean = 1.0
         model.toxic, model.clean = np.zeros_like(toxic), np.zeros_like(clean)
         return model
+    sent = docs.sparkSession.sparkContext.broadcast(keys)
+
+    def background(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts = sent.value, _Counts(1)
+        sums = np.zeros(len(keys) + 1, np.int64)  # the last one is the total of all features, known or not
+
+        def flush() -> None:
+            names, _, n = counts.take()
+            at, known = _places(keys, names)
+            np.add.at(sums, at[known], n[known])
+            sums[-1] += n.sum()
+
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                counts.words[0].update((t or "").split())
+                if counts.full():
+                    flush()
+        flush()
+        some = np.flatnonzero(sums)
+        for at in range(0, len(some), 100_000):
+            s = some[at:at + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(s.astype(np.int32)), pa.array(sums[s])], names=["i", "n"])
+
+    every = base.select("__t").mapInArrow(background, "i int, n long").groupBy("i").agg(F.sum("n").alias("n"))
+    got = checkpointed(every).toArrow()
+    sums = np.zeros(len(keys) + 1, np.int64)
+    sums[got.column(0).to_numpy()] = got.column(1).to_numpy()
+    model.prior = (PRIOR + BACKGROUND * sums[:-1] / max(sums[-1], 1)).astype(np.float32)
     return _calibrate(marked.where("__cal"), model)
 
 
@@ -285,7 +343,8 @@ SEGMENTS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.
 def score_texts(docs: DataFrame, model: Model, text: str = "text", name: str = "toxicity", segments: str = "toxic_segments") -> DataFrame:
     """Adds the score (0 to 1) and the significant segments as character spans (end exclusive) with their excess.
 
-    A null or empty text has no segments and the score of a text without any. Other columns pass through.
+    A null or empty text has no segments and the score of a text without any; repeated rows get equal scores, an empty
+    table gives no rows. Other columns pass through; give ``name`` and ``segments`` that none of them has.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
     task: list[_Weights] = []  # every task has its own copy, gone with the task

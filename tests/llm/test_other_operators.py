@@ -2,13 +2,15 @@
 
 import hashlib
 import random
+import zlib
+from collections import Counter
 from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyframe.llm import chat, decontam, lcp, licenses, sharding, toxicity, urlfilter
+from tallyframe.llm import chat, decontam, lcp, licenses, queries, sharding, toxicity, urlfilter
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -338,8 +340,51 @@ def test_logistic_fit_settles_on_separable_rows():
 
 
 def test_weights_stay_finite_for_very_frequent_words():
-    big = np.full(toxicity.BUCKETS, 1e7, np.float32)
-    zero, prior = np.zeros(toxicity.BUCKETS, np.float32), np.full(toxicity.BUCKETS, 3, np.float32)
+    keys = np.sort(np.array(toxicity._features("abcdefghijkl"), np.uint64))
+    big, zero, prior = (np.full(len(keys), x, np.float32) for x in (1e7, 0, 3))
     for toxic, clean, sign in ((big, zero, 1), (zero, big, -1)):
-        w = toxicity.Model(toxic, clean, prior, 2e6, 2e7).weight("Abcdefghijkl!")
+        w = toxicity.Model(keys, toxic, clean, prior, 2e6, 2e7).weight("Abcdefghijkl!")
         assert np.isfinite(w) and w * sign > 0
+
+
+def plain_names(text):
+    """Features of a text with their counts: every word's prefixes of 4, 5 and 6 letters, and the word itself."""
+    words = [w.lower().strip(".,!?") for w in (text or "").split()]
+    return Counter(x for w in words if w for x in [*[(k, w[:k]) for k in (4, 5, 6) if len(w) > k], (0, w)])
+
+
+def test_every_feature_is_counted_by_itself(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "CACHE", 40)  # counts are handed over many times
+    rng = random.Random(9)
+    words = [a + b for a in ("alpha", "beta", "gammas", "de") for b in ("", "x", "yz", "one", "two.", "É")]
+    docs = [(i, " ".join(rng.choices(words, k=rng.randrange(0, 30))) or None) for i in range(150)] + [(3, "alpha repeated"), (None, "alphayz lost")]
+    labels = {i: i % 3 == 0 for i in range(90)}
+    model = toxicity.train(spark.createDataFrame(docs, "doc_id long, text string").repartition(3),
+                           spark.createDataFrame([(i, int(y)) for i, y in labels.items()], "doc_id long, toxic int"), F.lit(True))
+    fit = {r[0] for r in toxicity.labelled_rows(spark.createDataFrame([(i, int(y)) for i, y in labels.items()], "doc_id long, toxic int"), F.lit(True), 1000)
+           .where("__fit").collect()}
+    toxic, clean, every = Counter(), Counter(), Counter()
+    for i, t in docs:
+        names = plain_names(t)
+        every += names
+        if i in fit:
+            (toxic if labels[i] else clean).update(names)
+    seen = sorted(set(toxic) | set(clean))
+    assert len(model.keys) == len(seen) and (model.n_toxic, model.n_clean) == (sum(toxic.values()), sum(clean.values()))
+    names = np.array([toxicity.xxhash.xxh64_intdigest(w.encode(), k) for k, w in seen], np.uint64)
+    t, c, p = model.evidence(names)
+    assert t.tolist() == [toxic[x] for x in seen] and c.tolist() == [clean[x] for x in seen]
+    assert np.allclose(p, [toxicity.PRIOR + toxicity.BACKGROUND * every[x] / sum(every.values()) for x in seen])
+
+
+def test_held_out_labels_are_never_used(spark):
+    """The query's scores stay the same when every held-out label is flipped."""
+    docs, labels = (spark.read.parquet(f"{FOLDER}/{n}.parquet") for n in ("documents", "labels"))
+    flipped = labels.withColumn("toxic", F.when(queries.held_out(), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    a, b = (toxicity.train(docs, x, ~queries.held_out()) for x in (labels, flipped))
+    assert a.curve == b.curve and (a.lam, a.k) == (b.lam, b.k)
+    for x, y in ((a.keys, b.keys), (a.toxic, b.toxic), (a.clean, b.clean), (a.prior, b.prior)):
+        assert np.array_equal(x, y)
+    out = queries.QUERIES["op1_toxicity"](spark, FOLDER).collect()
+    assert len(out) == docs.count() and all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in out)
+    assert all(r.predicted == int(r.score >= 0.5) and 0 <= r.score <= 1 for r in out)
