@@ -3,7 +3,8 @@
 Each level joins runs, tosses deterministic coins (the lowest bit in which a symbol differs from the one before,
 three times over, leaves six labels) and starts a phrase at every local maximum. A phrase's name is a hash of its
 symbols, so equal substrings get equal names except within a few symbols of their ends, wherever they stand. The
-fingerprint is the smallest names of levels two and three (about 10 and 40 characters a phrase).
+fingerprint is made of names of levels two and three (about 10 and 40 characters a phrase): all that lie below a
+fixed bound, so it grows with the text, and the smallest ``KEPT`` at least, so short texts keep all of theirs.
 """
 
 from __future__ import annotations
@@ -18,7 +19,8 @@ from pyspark.sql import functions as F
 from tallyframe.session import shuffle_parallelism
 
 LEVELS = (2, 3)
-KEPT = 64  # names in a fingerprint
+KEPT = 64  # names a fingerprint has at least, if the text has as many
+BOUND = 1 << 29  # every name below it is kept: one in eight
 CHARS = 1 << 20  # characters parsed at once
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 with np.errstate(over="ignore"):
@@ -72,7 +74,7 @@ def parse_level(sym: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def fingerprints(texts: list[str]) -> list[np.ndarray]:
-    """The ``KEPT`` smallest distinct 32-bit names of each text, ascending; an empty text has none."""
+    """The distinct 32-bit names of each text below ``BOUND``, and at least its ``KEPT`` smallest, ascending; an empty text has none."""
     out: list[np.ndarray] = [np.empty(0, np.uint32)] * len(texts)
     group: list[int] = []
     size = 0
@@ -104,15 +106,27 @@ def _parse(texts: list[str], group: list[int], out: list[np.ndarray]) -> None:
     end = np.append(begin[1:], len(keys))
     names = (keys & 0xFFFFFFFF).astype(np.uint32)
     for k, i in enumerate(group):
-        out[i] = names[begin[k]:min(end[k], begin[k] + KEPT)]
+        mine = names[begin[k]:end[k]]
+        out[i] = mine[:max(KEPT, int(np.searchsorted(mine, BOUND)))]
+
+
+def _reach(names: np.ndarray) -> int:
+    """Below this a fingerprint holds every name of its text; one of fewer than ``KEPT`` names holds all."""
+    return 1 << 32 if len(names) < KEPT else max(BOUND, int(names[-1]) + 1)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """Share of the smallest names of both that both have (bottom-k Jaccard); two empty fingerprints are alike."""
+    """Jaccard likeness of the names as far as both fingerprints hold all of theirs; two empty ones are alike.
+
+    It is exact for two texts of fewer than ``KEPT`` names and else an estimate from all names below the smaller
+    reach, one in eight at least.
+    """
     if not len(a) or not len(b):
         return float(len(a) == len(b))
-    union = np.union1d(a, b)[:KEPT]
-    return float(np.isin(union, np.intersect1d(a, b, assume_unique=True)).mean())
+    reach = min(_reach(a), _reach(b))
+    a, b = (x[:np.searchsorted(x, reach)] for x in (a, b))
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / max(len(a) + len(b) - both, 1)
 
 
 def as_hex(names: np.ndarray) -> str:

@@ -211,6 +211,70 @@ def test_fingerprints_follow_the_text_alone():
     assert lcp.likeness(alone[0], alone[0]) == 1.0 and lcp.likeness(alone[0], alone[5]) == 0.0
 
 
+def plain_level(syms):
+    """One level of the parse of one text, symbol by symbol: runs, three coin tosses, phrases at local maxima, names."""
+    mix, mask = lcp._mix, (1 << 64) - 1
+    hashed = lambda x: int(mix(np.array([x & mask], np.uint64))[0])
+    runs = []
+    for x in syms:
+        if runs and runs[-1][0] == x:
+            runs[-1][1] += 1
+        else:
+            runs.append([x, 1])
+    syms = [x if n == 1 else hashed(x + n * int(lcp._A)) for x, n in runs]
+    coins = syms
+    for _ in range(3):
+        tossed = []
+        for i, x in enumerate(coins):
+            diff = 1 if i == 0 else x ^ coins[i - 1]
+            k = (diff & -diff).bit_length() - 1 if diff else (64 if coins is syms else 8)
+            tossed.append(2 * k + (x >> k & 1))
+        coins = tossed
+    begin = [i for i, c in enumerate(coins) if i == 0 or (i + 1 < len(coins) and coins[i - 1] < c > coins[i + 1])]
+    out = []
+    for a, b in zip(begin, [*begin[1:], len(syms)]):
+        out.append(hashed(sum(hashed(x + int(lcp._A)) * pow(int(lcp._C), k + 1, 1 << 64) for k, x in enumerate(syms[a:b]))))
+    return out
+
+
+def plain_fingerprint(text):
+    syms, names = [ord(c) for c in text], set()
+    for level in (1, 2, 3):
+        syms = plain_level(syms) if syms else []
+        names |= {x >> 32 for x in syms} if level > 1 else set()
+    names = sorted(names)
+    return [x for k, x in enumerate(names) if k < lcp.KEPT or x < lcp.BOUND], names
+
+
+def test_fingerprints_equal_a_plain_parse():
+    rng = random.Random(12)
+    words = ["alpha", "beta", "gamma", "delta", "eps", "ééé", "日本", "\U0001f600"]
+    texts = ["", "a", "aaaa", "aab" * 9, *[" ".join(rng.choices(words, k=rng.randrange(1, 120))) for _ in range(25)],
+             " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(2500))]
+    with np.errstate(over="ignore"):
+        want = [plain_fingerprint(t) for t in texts]
+    got = lcp.fingerprints(texts)
+    assert [g.tolist() for g in got] == [w for w, _ in want]
+    assert len(got[-1]) > 2 * lcp.KEPT  # long texts keep more
+    for i in range(4, len(texts)):  # the likeness is that of all names, or near it
+        a, b = set(want[i - 1][1]), set(want[i][1])
+        exact = len(a & b) / len(a | b)
+        assert abs(lcp.likeness(got[i - 1], got[i]) - exact) <= (0 if max(len(a), len(b)) < lcp.KEPT else 0.2)
+
+
+def test_likeness_of_long_texts():
+    """Over long texts the estimate stays near the likeness of all names."""
+    rng = random.Random(13)
+    words = [f"{rng.randrange(10 ** 5)}" for _ in range(3000)]
+    errors = []
+    for share in (0.1, 0.3, 0.5, 0.7, 0.9):
+        texts = [" ".join(words), " ".join(words[:int(share * 3000)] + [f"x{rng.randrange(10 ** 5)}" for _ in range(1500)])]
+        with np.errstate(over="ignore"):
+            a, b = (set(plain_fingerprint(t)[1]) for t in texts)
+        errors.append(abs(lcp.likeness(*lcp.fingerprints(texts)) - len(a & b) / len(a | b)))
+    assert np.mean(errors) < 0.03 and max(errors) < 0.06, errors
+
+
 def test_next_document(spark, odd_docs, no_docs):
     rows = [(r.doc_id, r.text or "") for r in odd_docs.collect() if r.doc_id is not None]
     rows = list(dict(rows).items())
@@ -240,6 +304,18 @@ def test_cascade_is_exact_on_its_universe(spark):
     assert got.tolist() == [x for *_, x in rows]
 
 
+def test_large_universe_is_split(spark, monkeypatch):
+    """A short list over a large universe takes several cascades as well, and deeper ones; answers stay exact."""
+    built = []
+    build = urlfilter.build
+    monkeypatch.setattr(urlfilter, "build", lambda u: built.append(build(u)) or built[-1])
+    rows = spark.range(60_000).select(F.array(F.struct(*[h.alias(n) for h, n in zip(urlfilter.key_hash(F.col("id").cast("string")), ("h1", "h2"))])).alias("k"), "id")
+    listed = spark.range(0, 60_000, 300).select(F.col("id").cast("string").alias("key"))
+    got = urlfilter.flag(rows, listed, "k", "hit", per_cascade=150).select("id", F.col("hit")[0].alias("hit")).collect()
+    assert len(built) == 2 and max(len(c.levels) for c in built) >= 2
+    assert len(got) == 60_000 and all(r.hit == (r.id % 300 == 0) for r in got)
+
+
 @pytest.mark.parametrize("per", [4_000_000, 3])
 def test_urls(spark, monkeypatch, per):
     monkeypatch.setattr(urlfilter.flag, "__defaults__", ("key", per))
