@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from tallyframe.session import checkpointed
 
-KEYS_PER_CASCADE = 4_000_000  # listed keys in one cascade, about 8 MB of bits; longer lists take more passes
+KEYS_PER_CASCADE = 4_000_000  # keys in a level of one cascade, about 8 MB of bits; longer lists and larger universes take more passes
+ONE_WRONG_IN = 200  # keys of the universe that pass a level by mistake (about 1 in 215 by bits and hashes)
 BITS_PER_KEY = 12
 HASHES = 5
 MAX_LEVELS = 64
@@ -108,14 +109,16 @@ def build(universe: DataFrame) -> Cascade:
 def flag(rows: DataFrame, listed: DataFrame, hashes: str, name: str, key: str = "key", per_cascade: int = KEYS_PER_CASCADE) -> DataFrame:
     """Adds ``name``: for each key hash in the array ``hashes`` of ``(h1, h2)`` whether the key is listed; exact.
 
-    The universe is all keys of ``rows``. Lists beyond ``per_cascade`` keys are split by hash into several
-    cascades, applied one after the other, so what is broadcast stays bounded.
+    The universe is all keys of ``rows``. Level 0 grows with the list, level 1 with the universe; if either would have
+    more than ``per_cascade`` keys, the universe is split by hash into several cascades, applied one after the other,
+    so what is broadcast stays bounded.
     """
     lists = checkpointed(listed.where(F.col(key).isNotNull()).select(*[h.alias(n) for h, n in zip(key_hash(F.col(key)), ("h1", "h2"))]).distinct())
-    parts = max(1, -(-lists.count() // per_cascade))
     keys = rows.select(F.explode(hashes).alias("x")).select("x.h1", "x.h2").distinct()
     every = keys.withColumn("listed", F.lit(False)).unionByName(lists.withColumn("listed", F.lit(True)))
     universe = checkpointed(every.groupBy("h1", "h2").agg(F.max("listed").alias("listed")))
+    total, listed_keys = universe.agg(F.count(F.lit(1)), F.count_if("listed")).first()
+    parts = max(1, -(-max(listed_keys, total // ONE_WRONG_IN) // per_cascade))
     out = rows.withColumn(name, F.transform(hashes, lambda x: F.lit(False)))
     at, to = rows.columns.index(hashes), len(rows.columns)
     for k in range(parts):
