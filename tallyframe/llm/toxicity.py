@@ -10,14 +10,12 @@ a two-feature logistic curve turns the document's best and summed excess into a
 from __future__ import annotations
 
 import re
-from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,11 +35,33 @@ _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _CHUNK = re.compile(r"\S+")
 
 
-def _features(word: str) -> list[int]:
-    """64-bit names of a word's features from coarse to fine: its prefixes, then itself."""
-    whole = word.encode("utf-8", "surrogatepass")
-    part = whole.__getitem__ if len(whole) == len(word) else lambda s: word[s].encode("utf-8", "surrogatepass")
-    return [xxhash.xxh64_intdigest(part(slice(k)), k) for k in PREFIXES if len(word) > k] + [xxhash.xxh64_intdigest(whole)]
+_A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * _B
+    x = (x ^ (x >> np.uint64(27))) * _C
+    return x ^ (x >> np.uint64(31))
+
+
+def _features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit names of the words' features, a column each from coarse to fine (prefixes, then the word), and which there are.
+
+    A name is a hash of code points by their places, so sums up to a place give every prefix's.
+    """
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    code = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    begin = np.cumsum(size) - size
+    place = np.arange(len(code)) - np.repeat(begin, size)
+    powers = np.cumprod(np.full(int(size.max(initial=0)) + 1, _C, np.uint64))
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(code + _A) * powers[place], dtype=np.uint64)])
+    names, has = np.zeros((len(words), len(PREFIXES) + 1), np.uint64), np.zeros((len(words), len(PREFIXES) + 1), bool)
+    for k, n in enumerate(PREFIXES):
+        i = np.flatnonzero(size > n)
+        names[i, k] = _mix(total[begin[i] + n] - total[begin[i]] + np.uint64(n))
+        has[i, k] = True
+    names[:, -1], has[:, -1] = _mix(total[begin + size] - total[begin]), size > 0
+    return names, has
 
 
 def _word(chunk: str) -> str:
@@ -73,21 +93,15 @@ class Model:
 
     def weights(self, chunks: list[str]) -> np.ndarray:
         """Log-odds of white-space delimited tokens less the drift; a token without letters or digits has the drift only."""
-        words = [_word(c) for c in chunks]
-        levels, depth = np.zeros((len(chunks), len(PREFIXES) + 1), np.uint64), np.zeros(len(chunks), np.int64)
-        for i, w in enumerate(words):
-            if w:
-                names = _features(w)
-                depth[i] = len(names)
-                levels[i, : len(names)] = names
+        names, has = _features([_word(c) for c in chunks])
         base = self.n_toxic / self.n_clean
         odds = np.full(len(chunks), base)
-        for k in range(levels.shape[1]):
-            i = np.flatnonzero(depth > k)
+        for k in range(names.shape[1]):
+            i = np.flatnonzero(has[:, k])
             q = np.clip(odds[i] / (1 + odds[i]), SURE, 1 - SURE)  # a sure prefix never decides alone
-            toxic, clean, s = self.evidence(levels[i, k])
+            toxic, clean, s = self.evidence(names[i, k])
             odds[i] = (toxic + s * q) / (clean + s * (1 - q))
-        return np.where(depth == 0, -DRIFT, np.log(odds / base) - DRIFT)
+        return np.where(has[:, -1], np.log(odds / base) - DRIFT, -DRIFT)
 
     def weight(self, chunk: str) -> float:
         return float(self.weights([chunk])[0])
@@ -112,17 +126,13 @@ class _Counts:
 
     def take(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``(name, class, occurrences)``, one for each token and feature; starts anew."""
-        names, classes, counts = array("Q"), array("b"), array("q")
+        out = []
         for k, c in enumerate(self.words):
-            for chunk, n in c.items():
-                word = _word(chunk)
-                if word:
-                    for f in _features(word):
-                        names.append(f)
-                        classes.append(k)
-                        counts.append(n)
+            names, has = _features([_word(chunk) for chunk in c])
+            n = np.fromiter(c.values(), np.int64, len(c))
+            out.append((names[has], np.full(has.sum(), k, np.int8), np.repeat(n, has.sum(axis=1))))
             c.clear()
-        return np.frombuffer(names, np.uint64), np.frombuffer(classes, np.int8), np.frombuffer(counts, np.int64)
+        return tuple(map(np.concatenate, zip(*out)))
 
 
 class _Weights:
