@@ -315,7 +315,10 @@ class SmoothIdf(Estimator):
         return ElementwiseProduct(inputCol=self.input, outputCol=self.output, scalingVec=Vectors.dense(idf))
 
 
-def text_stages(size: int = 100) -> list:
+VOCABULARY = 100  # terms of a text classifier
+
+
+def text_stages(size: int = VOCABULARY) -> list:
     """Counts of the most frequent terms, weighted and scaled to unit length as in ``operators.text.tfidf``."""
     from pyspark.ml.feature import CountVectorizer, Normalizer
 
@@ -323,7 +326,7 @@ def text_stages(size: int = 100) -> list:
             Normalizer(inputCol="weighted", outputCol="features", p=2.0)]
 
 
-def text_classifier(kind: str, train: DataFrame, label: str, size: int = 100) -> Pipeline:
+def text_classifier(kind: str, train: DataFrame, label: str, size: int = VOCABULARY) -> Pipeline:
     """Classifier of ``terms`` whose classes are the labels of the training rows, in order; ``predicted`` is the label as text.
 
     A row with a null label, or one the training rows do not have, is left out of a fit and of a score by label.

@@ -219,8 +219,10 @@ FOLDS = 5
 
 
 def texts(t):
-    words = spread(t.documents).select("doc_id", "lang", TX.ngrams(tokens(F.col("text"))).alias("terms"))
-    return checkpointed(SP.stratified_folds(words, "doc_id", "lang", FOLDS))
+    """Documents in folds, with the words and pairs that a vocabulary of any training set can hold."""
+    lines = checkpointed(TX.word_lines(spread(t.documents), "text", "doc_id", "lang"))
+    folds = checkpointed(SP.stratified_folds(lines, "doc_id", "lang", FOLDS))
+    return checkpointed(TX.candidate_terms(folds, M.VOCABULARY, "fold", FOLDS))
 
 
 @query("text_classifiers")
@@ -267,7 +269,7 @@ def classify_new_text(t):
     d = texts(t)
     model = M.without_labels(M.text_classifier("logistic", d, "lang").fit(d))
     model = M.save_and_reload(model, shared_path(t.spark, "text-model"))
-    new = t.conversations.select("conv_id", "turn", TX.ngrams(tokens(F.col("text"))).alias("terms"))
+    new = TX.listed_terms(TX.word_lines(spread(t.conversations), "text", "conv_id", "turn"), model.stages[0].vocabulary)
     return model.transform(new).select("conv_id", "turn", F.col("predicted").alias("lang"))
 
 
