@@ -41,3 +41,18 @@ def test_wedges_are_counted(spark):
     o = [(1, 2), (1, 3), (1, 4), (2, 3), (3, 4), (5, 3)]
     assert G._wedges(spark.createDataFrame(o, "s long, t long")) == (3, 1 + 3)
     assert G._wedges(spark.createDataFrame([], "s long, t long")) == (0, 0)
+
+
+def test_best_gains_are_found_without_sorting_rows(spark, monkeypatch):
+    """Communities of two cliques and a bridge, with the smaller number among equal gains; no step sorts rows to find a maximum."""
+    e = list(itertools.combinations(range(6), 2)) + list(itertools.combinations(range(10, 16), 2)) + [(5, 10)]
+    plans, write = [], G.checkpointed
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df)
+
+    monkeypatch.setattr(G, "checkpointed", seen)
+    got = {r.node: r.community for r in G.communities(spark.createDataFrame(e, "u long, v long")).collect()}
+    assert [len({got[x] for x in r}) for r in (range(6), range(10, 16), got)] == [1, 1, 2]
+    assert plans and not [p for p in plans if "SortAggregate" in p]
