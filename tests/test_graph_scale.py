@@ -56,3 +56,23 @@ def test_best_gains_are_found_without_sorting_rows(spark, monkeypatch):
     got = {r.node: r.community for r in G.communities(spark.createDataFrame(e, "u long, v long")).collect()}
     assert [len({got[x] for x in r}) for r in (range(6), range(10, 16), got)] == [1, 1, 2]
     assert plans and not [p for p in plans if "SortAggregate" in p]
+
+
+def test_all_sources_advance_together(spark, monkeypatch):
+    """Distance sums write as many tables for four parts of the sources as for one, and runs of parts add up."""
+    rng = random.Random(8)
+    e = spark.createDataFrame(sorted({(i, rng.randrange(min(i, 3))) for i in range(1, 200)} | {(900, 901)}), "u long, v long")
+    written = []
+    for name in ("checkpointed", "bucketed"):
+        monkeypatch.setattr(G, name, lambda *a, f=getattr(G, name): written.append(1) or f(*a))
+    want, one = sorted(G.distance_sums(e, words=4).collect()), len(written)
+    assert sorted(G.distance_sums(e, words=1).collect()) == want and len(written) == 2 * one
+    assert sorted(G.distance_sums(e, words=1, state_rows=500).collect()) == want
+
+
+def test_distance_sums_of_few_sources_and_null_nodes(spark):
+    e = spark.createDataFrame([(1, 2), (2, 3), (3, 4), (3, 3), (7, 8), (1, 2), (None, None)], "u long, v long")
+    one = spark.createDataFrame([(4,), (4,), (99,)], "source long")
+    got = {r.node: (r.reached, r.total, r.farthest) for r in G.distance_sums(e, one).collect()}
+    assert got == {1: (1, 3, 3), 2: (1, 2, 2), 3: (1, 1, 1), 4: (0, 0, 0), 7: (0, 0, 0), 8: (0, 0, 0), None: (0, 0, 0)}
+    assert {r.node: r.reached for r in G.distance_sums(e).collect()} == {1: 3, 2: 3, 3: 3, 4: 3, 7: 1, 8: 1, None: 0}
