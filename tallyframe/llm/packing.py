@@ -10,10 +10,10 @@ from __future__ import annotations
 
 import gc
 import os
-import sys
+import string
 import zlib
-from array import array
 from collections.abc import Iterator
+from itertools import chain, filterfalse
 from unicodedata import is_normalized
 
 import numpy as np
@@ -30,8 +30,9 @@ LEAST_GAP = 2  # units of room in a sequence that are worth a cut
 ROUNDING = 0.02  # share of the tokens that may be lost to whole units; beyond it lengths are rounded by their size
 FINE, FINE_GAP = 6, 16  # lengths up to 2^FINE exact, then half as many steps an octave; tokens of room worth a cut
 END_ID = 1
-CHUNK_CACHE, PART_CACHE = 300_000, 500_000  # entries kept by a worker
+CACHE = 600_000  # entries kept by a worker
 CHARS = 1 << 20  # characters split at once
+CLOSING = "".join(set(string.punctuation) - set("'<|>"))  # no part of contractions and special tokens
 
 
 class _Ids:
@@ -39,7 +40,8 @@ class _Ids:
 
     The vocabulary's model never joins text across white space, nor letters with the punctuation behind them, and
     lower-cases. So chunks that differ in case or closing punctuation share the ids of their letters, and only
-    letters not seen before reach the tokenizer, many at a time.
+    letters not seen before reach the tokenizer, many in one string. What a chunk is made of is a chunk itself, so one
+    table holds both.
     """
 
     def __init__(self, path: str):
@@ -50,16 +52,31 @@ class _Ids:
         # lower-case letters in composed form need neither the normalizer nor the splitting pattern
         self.letters = Tokenizer.from_file(path)
         self.letters.normalizer = normalizers.Sequence([])
-        self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocab = self.letters.get_vocab()
+        self.last = np.zeros(max(vocab.values(), default=0) + 1, bool)  # ids that end a word
+        self.last[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.chunks: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
 
     def forget(self) -> None:
-        self.chunks, self.parts = {}, {}
-
-    def _learn(self, parts: list[str], tokenizer) -> None:
-        for p, e in zip(parts, tokenizer.encode_batch_fast(parts, add_special_tokens=False)):
-            self.parts[p] = array("I", e.ids).tobytes() if sys.byteorder == "little" else np.array(e.ids, "<u4").tobytes()
+        self.chunks = {}
+
+    def _learn(self, chunks: list[str], tokenizer) -> None:
+        for c, e in zip(chunks, tokenizer.encode_batch_fast(chunks, add_special_tokens=False)):
+            self.chunks[c] = np.array(e.ids, "<u4").tobytes()
+
+    def _learn_words(self, words: list[str]) -> None:
+        """Ids of words of letters; every word ends with the only id of its own that ends words."""
+        if not words:
+            return
+        ids = np.array(self.letters.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ends = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
+        if len(ends) != len(words):  # a vocabulary without marks of the end
+            self._learn(words, self.letters)
+            return
+        ids = ids.tobytes()
+        self.chunks.update(zip(words, [ids[i:j] for i, j in zip([0, *ends], ends)]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         gc.disable()  # many small objects, no cycles
@@ -70,31 +87,28 @@ class _Ids:
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.chunks) > CHUNK_CACHE:
+        if len(self.chunks) > CACHE:
             self.chunks.clear()
-        if len(self.parts) > PART_CACHE:
-            self.parts.clear()
-        parts, cut = self.parts, []
+        chunks, cut = self.chunks, []
         words, other = set(), set()
-        for c in set().union(*map(set, split)).difference(self.chunks):
-            letters = c.rstrip(".,!?;:")
+        for c in set(filterfalse(chunks.__contains__, chain.from_iterable(split))):
+            letters = c.rstrip(CLOSING)
             low = letters.lower()
             # a capital sigma is lower-cased by its place in a word, so it is left to the tokenizer
             if letters.isalpha() and (letters.isascii() or "\u03a3" not in letters and low.isalpha() and is_normalized("NFC", low)):
-                rest = c[len(letters):]
-                if low not in parts:
+                if low not in chunks:
                     words.add(low)
+                if low != c:
+                    rest = c[len(letters):]
+                    if rest not in chunks:
+                        other.add(rest)
+                    cut.append((c, low, rest))
             else:
-                low, rest = c, ""
-                if c not in parts:
-                    other.add(c)
-            if rest not in parts:
-                other.add(rest)
-            cut.append((c, low, rest))
-        self._learn(list(words), self.letters)
+                other.add(c)
+        self._learn_words(list(words))
         self._learn(list(other), self.whole)
-        self.chunks.update([(c, parts[low] + parts[rest]) for c, low, rest in cut])
-        get = self.chunks.__getitem__
+        chunks.update([(c, chunks[low] + chunks[rest]) for c, low, rest in cut])
+        get = chunks.__getitem__
         return [b"".join(map(get, s)) for s in split]
 
 

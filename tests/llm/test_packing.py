@@ -25,6 +25,27 @@ def test_chunked_ids_equal_one_call(tokenizer):
         assert next(iter(packing.token_bytes([t], PATH))) == want, t
 
 
+def test_letters_are_asked_once_whatever_closes_them(tokenizer):
+    """Only what closes the words reaches the full tokenizer; contractions, special tokens and other scripts keep their ids."""
+    ids, asked = packing._Ids(PATH), []
+
+    class Whole:
+        def encode_batch_fast(self, texts, **kw):
+            asked.extend(texts)
+            return tokenizer.encode_batch_fast(texts, **kw)
+
+    ids.whole = Whole()
+    texts = ["Abc### abc*** (abc) abc) ABC% abc. zyx", "Straße]] été\" Ñu}.. abc`~", "", "abc"]
+    odd = ["it's'' ab' we'LL, x<|endoftext|>## <|startoftext|>a.", "12a3)) a_b_ __ ΣΑΣ## é)) K@ ǅ/ \U0001f600## ·a ·", "x" * 300 + "$$$ \n\n a"]
+    want = lambda ts: [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in ts]
+    assert ids.encode(texts) == want(texts)
+    assert set(asked) == {"", "###", "***", "(abc)", ")", "%", ".", "]]", '"', "}..", "`~"}
+    assert ids.encode(odd) == want(odd) and ids.encode(texts[::-1]) == want(texts[::-1])
+    ids.forget()
+    ids.last[:] = False  # a vocabulary without marks of the end of words
+    assert ids.encode(texts + odd) == want(texts + odd)
+
+
 def check(rows, docs, tokenizer):
     left = {}
     for d, t in docs:
