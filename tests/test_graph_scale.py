@@ -4,7 +4,10 @@ import itertools
 import random
 from collections import Counter
 
-from tallyframe.operators import graph as G
+import pyarrow as pa
+import pytest
+
+from tallyframe.operators import graph as G, packed
 
 
 def test_triangles_from_either_side(spark):
@@ -76,3 +79,55 @@ def test_distance_sums_of_few_sources_and_null_nodes(spark):
     got = {r.node: (r.reached, r.total, r.farthest) for r in G.distance_sums(e, one).collect()}
     assert got == {1: (1, 3, 3), 2: (1, 2, 2), 3: (1, 1, 1), 4: (0, 0, 0), 7: (0, 0, 0), 8: (0, 0, 0), None: (0, 0, 0)}
     assert {r.node: r.reached for r in G.distance_sums(e).collect()} == {1: 3, 2: 3, 3: 3, 4: 3, 7: 1, 8: 1, None: 0}
+
+
+def searched(edges, sources):
+    """``{node: (reached, total, farthest)}`` by plain search."""
+    a = {}
+    for u, v in edges:
+        a.setdefault(u, set()).add(v)
+        a.setdefault(v, set()).add(u)
+    out = {x: [0, 0, 0] for x in a}
+    for s in set(sources) & set(a):
+        d, level = {s: 0}, [s]
+        while level:
+            level = sorted({y for x in level for y in a[x]} - set(d))
+            d |= {y: max(d.values()) + 1 for y in level}
+        for x, k in d.items():
+            out[x] = [out[x][0] + (k > 0), out[x][1] + k, max(out[x][2], k)]
+    return {x: tuple(r) for x, r in out.items()}
+
+
+@pytest.mark.parametrize("words", [1, 3])
+def test_packed_search_is_the_search_by_level(spark, monkeypatch, words):
+    """Hubs, chains, several components, loops, parallel edges, text nodes; nothing is written from level to level."""
+    rng = random.Random(3)
+    g = [(0, i) for i in range(1, 150)] + [(1, i) for i in range(100, 260)] + [(300 + i, 301 + i) for i in range(70)] + [(5, 300), (7, 7), (0, 1), (1, 0)]
+    g += [(500 + i, 500 + rng.randrange(i)) for i in range(1, 90)] + [(900, 900)]
+    few = [0, 150, 350, 501, 589, 900, 12345]
+    calls = []
+    for name in ("checkpointed", "bucketed"):
+        monkeypatch.setattr(G, name, lambda *a, f=getattr(G, name): calls.append(1) or f(*a))
+    e, named = spark.createDataFrame(g, "u long, v long"), spark.createDataFrame([(f"n{u}", f"n{v}") for u, v in g], "u string, v string")
+    rows = lambda d: {r.node: (r.reached, r.total, r.farthest) for r in d.collect()}
+    assert rows(G.distance_sums(e, words=words)) == searched(g, range(1000)) and len(calls) <= 3
+    assert rows(G.distance_sums(e, spark.createDataFrame([(x,) for x in few], "source long"), words=words)) == searched(g, few)
+    assert rows(G.distance_sums(named, words=words)) == {f"n{x}": r for x, r in searched(g, range(1000)).items()}
+
+
+def test_graphs_too_large_for_a_task_are_searched_by_level(spark):
+    g = [(i, i // 3) for i in range(1, 40)] + [(100, 101)]
+    e = spark.createDataFrame(g, "u long, v long")
+    assert packed.pack(e, len(g) - 1) is None and len(packed.pack(e, len(g)).names) == 42
+    assert sorted(G.distance_sums(e, packed_edges=0).collect()) == sorted(G.distance_sums(e).collect())
+    assert packed.pack(spark.createDataFrame([(1, None), (1, 2)], "u long, v long"), 9) is None
+    assert len(packed.pack(spark.createDataFrame([(None, None), (3, 3)], "u long, v long"), 9).names) == 0
+
+
+def test_components_of_packed_edges():
+    rng = random.Random(6)
+    pairs = [(i, i + 1) for i in range(200)] + [(300 + i, 300 + rng.randrange(i)) for i in range(1, 60)] + [(400, 401)]
+    rng.shuffle(pairs)
+    g = packed.pack_arrays(pa.table({"u": [u for u, _ in pairs], "v": [v for _, v in pairs]}))
+    label = dict(zip(g.names.to_pylist(), packed.components(g)))
+    assert [len({label[x] for x in r}) for r in (range(201), range(300, 360), (400, 401))] == [1, 1, 1] and len(set(label.values())) == 3
