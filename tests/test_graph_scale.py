@@ -4,6 +4,7 @@ import itertools
 import random
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -129,5 +130,43 @@ def test_components_of_packed_edges():
     pairs = [(i, i + 1) for i in range(200)] + [(300 + i, 300 + rng.randrange(i)) for i in range(1, 60)] + [(400, 401)]
     rng.shuffle(pairs)
     g = packed.pack_arrays(pa.table({"u": [u for u, _ in pairs], "v": [v for _, v in pairs]}))
-    label = dict(zip(g.names.to_pylist(), packed.components(g)))
+    label = dict(zip(g.names.to_pylist(), packed.components(g)[g.row].tolist()))
     assert [len({label[x] for x in r}) for r in (range(201), range(300, 360), (400, 401))] == [1, 1, 1] and len(set(label.values())) == 3
+
+
+def test_nodes_with_the_same_few_edges_share_a_row():
+    """By their one or two edges, parallel ones counted; nodes of higher degree never."""
+    pairs = [(1, 2), (3, 2), (4, 2), (4, 2), (5, 2), (5, 6), (7, 6), (7, 2), (8, 6), (8, 2), (8, 9), (10, 6), (10, 2), (10, 9)]
+    t = pa.table({"u": [u for u, _ in pairs], "v": [v for _, v in pairs]})
+    for parallel in (False, True):
+        g = packed.pack_arrays(t, parallel)
+        rows = {}
+        for x, r in zip(g.names.to_pylist(), g.row.tolist()):
+            rows.setdefault(r, set()).add(x)
+        alike = [{1, 3}, {4}] if parallel else [{1, 3, 4}]
+        assert sorted(map(sorted, rows.values())) == sorted(map(sorted, [*alike, {2}, {5, 7}, {6}, {8}, {9}, {10}]))
+        assert all(g.many[r] == len(x) for r, x in rows.items()) and (np.diff(np.diff(g.ptr)) <= 0).all()
+
+
+def test_packed_betweenness_counts_every_path(spark, monkeypatch):
+    """Nodes alike, hubs, a cycle of four, parallel edges, loops and several components, from all and from some sources, as level by level."""
+    rng = random.Random(4)
+    g = [(0, i) for i in range(1, 90)] + [(rng.randrange(100, 104), i) for i in range(1, 60)] + [(100 + i, 101 + i) for i in range(3)]
+    g += [(200, 201), (201, 202), (202, 203), (203, 200), (5, 200), (300, 301), (300, 301), (301, 302), (7, 7), (0, 1), (1, 0)]
+    e = spark.createDataFrame(g, "u long, v long")
+    rows = lambda d: {r.node: r.betweenness for r in d.collect()}
+    some = spark.createDataFrame([(x,) for x in (0, 3, 3, 50, 51, 201, 301, 999)], "source long")
+    for sources in (None, some):
+        want = rows(G.betweenness(e, sources, packed_edges=0))
+        for columns in (3, 32):
+            monkeypatch.setattr(packed, "COLUMNS", columns)
+            assert rows(G.betweenness(e, sources)) == pytest.approx(want)
+
+
+def test_betweenness_writes_no_table_a_level(spark, monkeypatch):
+    calls = []
+    for name in ("checkpointed", "bucketed"):
+        monkeypatch.setattr(G, name, lambda *a, f=getattr(G, name): calls.append(1) or f(*a))
+    e = spark.createDataFrame([(i, i + 1) for i in range(30)], "u long, v long")
+    got = {r.node: r.betweenness for r in G.betweenness(e).collect()}
+    assert got == pytest.approx({i: 2 * i * (30 - i) / (30 * 29) for i in range(31)}) and len(calls) <= 4
