@@ -170,3 +170,28 @@ def test_betweenness_writes_no_table_a_level(spark, monkeypatch):
     e = spark.createDataFrame([(i, i + 1) for i in range(30)], "u long, v long")
     got = {r.node: r.betweenness for r in G.betweenness(e).collect()}
     assert got == pytest.approx({i: 2 * i * (30 - i) / (30 * 29) for i in range(31)}) and len(calls) <= 4
+
+
+@pytest.mark.parametrize("nodes", [1 << 20, 3])
+def test_edges_are_not_shuffled_to_the_communities(spark, monkeypatch, nodes):
+    """Where the tables by community may be broadcast, all joins of the edges with them are; the labels are the same without."""
+    rng = random.Random(9)
+    g = sorted({(min(p), max(p)) for b in range(4) for p in ((20 * b + rng.randrange(12), 20 * b + rng.randrange(12)) for _ in range(40)) if p[0] != p[1]} | {(0, 20), (25, 40), (41, 60)})
+    e = spark.createDataFrame(g, "u long, v long")
+    want = sorted(G.communities(e).collect())
+    plans, write = [], G.checkpointed
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df)
+
+    monkeypatch.setattr(G, "checkpointed", seen)
+    monkeypatch.setattr(G, "BROADCAST_NODES", nodes)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sorted(G.communities(e).collect()) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    best = [p for p in plans if "bigger" in p and "most" in p]
+    assert best and all(("SortMergeJoin" not in p) == (nodes > 3) for p in best)
